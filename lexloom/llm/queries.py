@@ -5,22 +5,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import sharding
+from . import bpe, secret_scan, sharding
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op5_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(_read(spark, sf_dir, "documents")))
+
+
 def op6_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "region", "rack"
     )
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
+    import public_tokenizers
+
+    path, pattern = public_tokenizers.path(vocabulary), public_tokenizers.PATTERN
+    out = bpe.encode(_read(spark, sf_dir, "documents"), path, pattern)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "decoded_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_hash_tree_sharding,)}
+    return {f.__name__: f for f in (op5_secret_automaton, op6_hash_tree_sharding, op8_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
