@@ -17,7 +17,7 @@ Law: ``key`` - the key and the weights decide, nothing else does.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,80 +29,86 @@ RACK, REGION = 4, 2
 SLOT_BLOCKS = 64
 
 
-def descend(key: Column, weights: Sequence[float], count: int | None = None) -> Column:
-    """Struct (region, rack, shard) of ``key`` in the tree of the first ``count`` weights.
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def draws(key: Column, weights: Sequence[float]) -> Column:
+    """Array of the draws of ``key`` for all leaves.
 
     A weight of 0 or less takes no rows.  A null key is a key of its own.
     """
-    n = len(weights) if count is None else count
-    if not any(w > 0 for w in weights[:n]):
+    if not any(w > 0 for w in weights):
         raise ValueError("a tree needs a leaf of positive weight")
-    per_region = RACK * REGION
-    table = F.array(*[F.lit(float(w)) for w in weights[:n]])
+    # a literal, made once: the path of each leaf and its weight
+    leaves = F.array(*[F.struct(F.lit(f"{s // (RACK * REGION)}/{s // RACK}/{s}").alias("path"), F.lit(float(w)).alias("w")) for s, w in enumerate(weights)])
 
-    def leaf(s: Column) -> Column:
-        path = F.concat_ws("/", F.floor(s / per_region).cast("string"), F.floor(s / RACK).cast("string"), s.cast("string"))
+    def draw(known: Column, leaf: Column) -> Column:
         # 53 bits, one added: u is in (0, 1]
-        u = (F.shiftrightunsigned(F.xxhash64(F.coalesce(key.cast("string"), F.lit("\0null")), path), 11) + 1).cast("double") / F.lit(float(2**53))
-        w = F.get(table, s)
-        return F.struct(F.when(w > 0, -F.ln(u) / w).otherwise(F.lit(float("inf"))).alias("draw"), s.alias("node"))
-
-    def level(nodes: Column, width: int, size: int) -> Column:
-        """Struct (least draw below, index) of each parent of ``width`` nodes."""
-        parents = -(-size // width)
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(parents - 1)),
-            lambda p: F.struct(F.array_min(F.slice(nodes, p * width + 1, width)).getField("draw").alias("draw"), p.alias("node")),
-        )
-
-    n_racks = -(-n // RACK)
-
-    def walk(leaves: Column) -> Column:
-        racks = level(leaves, RACK, n)
-        regions = level(racks, REGION, n_racks)
-        region = F.array_min(regions).getField("node")
-        rack = F.array_min(F.slice(racks, region * REGION + 1, REGION)).getField("node")
-        shard = F.array_min(F.slice(leaves, rack * RACK + 1, RACK)).getField("node")
+        u = (F.shiftrightunsigned(F.xxhash64(known, leaf["path"]), 11) + 1).cast("double") / F.lit(float(2**53))
+        return F.when(leaf["w"] > 0, -F.ln(u) / leaf["w"]).otherwise(F.lit(float("inf")))
+
+    return let(F.coalesce(key.cast("string"), F.lit("\0null")), lambda known: F.transform(leaves, lambda leaf: draw(known, leaf)))
+
+
+def descend(drawn: Column, count: int) -> Column:
+    """Struct (region, rack, shard): the way down a tree of the first ``count`` leaves.
+
+    ``drawn`` is an array of :func:`draws`.
+    """
+
+    def least(nodes: Column, width: int, size: int) -> Column:
+        parents = F.sequence(F.lit(0), F.lit(-(-size // width) - 1))
+        return F.transform(parents, lambda p: F.array_min(F.slice(nodes, p * width + 1, F.least(F.lit(width), F.lit(size) - p * width))))
+
+    def argmin(nodes: Column) -> Column:
+        return let(nodes, lambda x: (F.array_position(x, F.array_min(x)) - 1).cast("int"))
+
+    def in_rack(region: Column, rack: Column) -> Column:
+        shard = rack * RACK + argmin(F.slice(drawn, rack * RACK + 1, F.least(F.lit(RACK), F.lit(count) - rack * RACK)))
         return F.struct(region.alias("region"), rack.alias("rack"), shard.alias("shard"))
 
-    leaves = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), leaf)
-    # one lambda binds the leaves, so that their draws are made once
-    return F.transform(F.array(leaves), walk)[0]
+    def in_region(racks: Column, region: Column) -> Column:
+        return let(region * REGION + argmin(F.slice(racks, region * REGION + 1, REGION)), lambda rack: in_rack(region, rack))
+
+    return let(
+        least(drawn, RACK, count),
+        lambda racks: let(argmin(least(racks, REGION, -(-count // RACK))), lambda region: in_region(racks, region)),
+    )
 
 
 def shard_documents(
     docs: DataFrame,
     weights: Sequence[float] = (1.0,) * 40,
-    grown: Sequence[float] | None = None,
+    added: float = 1.0,
     key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
     """Shard, slot and size of every row, without its text.
 
     Returns key, size, text_crc32, law, region, rack, shard, slot, grown_shard.
-    ``grown`` is the tree to compare with, by default one more leaf of weight 1.
+    ``grown_shard`` is the place in a tree with one more leaf, of weight ``added``.
     A null text has no bytes; its crc32 is that of the empty text.  Rows with
     the same key go to the same shard with slots of their own.  Groups (equal
     texts) are not kept together: the key decides alone.  No rows: no result
     rows.  Slots number a shard's rows from 0 by block of keys, key, crc32.
     """
-    grown = [*weights, 1.0] if grown is None else list(grown)
     body = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
-    key_of = F.col(key)
+    key_of, n = F.col(key), len(weights)
+    block = F.pmod(F.xxhash64(key_of), F.lit(SLOT_BLOCKS)).cast("int").alias("block")
+    way = let(draws(key_of, [*weights, added]), lambda d: F.struct(descend(d, n).alias("place"), descend(d, n + 1).getField("shard").alias("grown_shard")))
     placed = docs.select(
         key_of,
         (F.octet_length(body).cast("long") + 16).alias("size"),
         F.crc32(body).alias("text_crc32"),
         F.lit("key").alias("law"),
-        descend(key_of, weights).alias("place"),
-        descend(key_of, grown).getField("shard").alias("grown_shard"),
-        F.pmod(F.xxhash64(key_of), F.lit(SLOT_BLOCKS)).cast("int").alias("block"),
-    ).select("*", "place.*").drop("place")
+        way.alias("way"),
+        block,
+    ).select("*", "way.place.*", "way.grown_shard").drop("way")
     # the counts need the keys alone: a scan of one column
-    blocks = (
-        docs.select(descend(key_of, weights).getField("shard").alias("shard"), F.pmod(F.xxhash64(key_of), F.lit(SLOT_BLOCKS)).cast("int").alias("block"))
-        .groupBy("shard", "block").count()
-    )
+    shard = let(draws(key_of, weights), lambda d: descend(d, n).getField("shard"))
+    blocks = docs.select(shard.alias("shard"), block).groupBy("shard", "block").count()
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select("shard", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
     within = Window.partitionBy("shard", "block").orderBy(F.col(key).asc_nulls_first(), "text_crc32", "size")
@@ -116,4 +122,5 @@ def shard_documents(
 
 def write_shards(docs: DataFrame, path: str, weights: Sequence[float] = (1.0,) * 40, key: str = "doc_id") -> None:
     """Write the rows of ``docs`` as Parquet under ``path/shard=<n>``."""
-    docs.withColumn("shard", descend(F.col(key), weights).getField("shard")).write.partitionBy("shard").parquet(path)
+    shard = let(draws(F.col(key), weights), lambda d: descend(d, len(weights)).getField("shard"))
+    docs.withColumn("shard", shard).write.partitionBy("shard").parquet(path)
