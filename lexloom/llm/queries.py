@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, secret_scan, sharding
+from . import bpe, html_extract, secret_scan, sharding
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(_read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op5_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(_read(spark, sf_dir, "documents")))
 
@@ -33,7 +37,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_5
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_secret_automaton, op6_hash_tree_sharding, op8_byte_bpe)}
+    return {f.__name__: f for f in (op1_text_density, op5_secret_automaton, op6_hash_tree_sharding, op8_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
