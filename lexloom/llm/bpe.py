@@ -26,6 +26,7 @@ import functools
 import hashlib
 import heapq
 import json
+import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -147,11 +148,60 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p is not None]
 
 
-def distinct_words(docs: DataFrame, pattern: str, text: str = "text", flush: int = 1 << 19) -> DataFrame:
+#: White space as Unicode has it; the library's own classes add control characters.
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Letters and numbers below U+0250.
+_LATIN = {r"\p{L}": r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", r"\p{N}": r"0-9\xb2\xb3\xb9\xbc-\xbe"}
+
+
+def _classes(pattern: str, known: dict[str, str]) -> str:
+    """``pattern`` with its classes (``known`` ones, white space) spelt out."""
+    out, within, i = [], False, 0
+    while i < len(pattern):
+        for name, what in ((r"\s", SPACE), *known.items()):
+            if pattern.startswith(name, i):
+                out.append(what if within else f"[{what}]")
+                i += len(name)
+                break
+        else:
+            if pattern.startswith(r"\S", i) and not within:
+                out.append(f"[^{SPACE}]")
+                i += 2
+            elif pattern[i] == "\\":
+                out.append(pattern[i : i + 2])
+                i += 2
+            else:
+                within = {"[": True, "]": False}.get(pattern[i], within)
+                out.append(pattern[i])
+                i += 1
+    return "".join(out)
+
+
+@functools.lru_cache(maxsize=4)
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """The matches of ``pattern`` in a text; twice as fast where it is all Latin."""
+    full = regex.compile(_classes(pattern, {})).findall
+    spelt = _classes(pattern, _LATIN)
+    if r"\p" in spelt or r"\P" in spelt:
+        return full
+    latin, other = re.compile(spelt).findall, re.compile("[^\0-\u024f]").search
+    return lambda text: full(text) if other(text) else latin(text)
+
+
+class _Codes(dict):
+    """Codes of words; a word that has none gets the next of its row's own."""
+
+    own: dict[str, int]
+
+    def __missing__(self, word: str) -> int:
+        return -1 - self.own.setdefault(word, len(self.own))
+
+
+def distinct_words(docs: DataFrame, pattern: str, text: str = "text", flush: int = 1 << 18) -> DataFrame:
     """(word, n): every distinct word of the corpus and how often it occurs."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, seen = regex.compile(pattern).findall, Counter()
+        split, seen = splitter(pattern), Counter()
 
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
@@ -195,27 +245,24 @@ def encode(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: s
     top = frequent(words, cache).select("word")
     top = top.repartition(max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))).select("word", fold_merges(F.array("word"), path)[0].alias("ids"))
     got = top.toArrow()
-    known = [np.asarray(x, "<u4").tobytes() for x in got.column("ids").to_pylist()]
-    cached = docs.sparkSession.sparkContext.broadcast((got.column("word").to_pylist(), known))
-    del got, known
+    sc = docs.sparkSession.sparkContext
+    cached = sc.broadcast(got.column("word").to_pylist())
+    flat = got.column("ids").combine_chunks()
+    known_ids = sc.broadcast((flat.offsets.to_numpy(), flat.values.to_numpy().astype("<u4")))
+    del got, flat
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Codes of words: n >= 0 is word n of the broadcast, -1 - k is word k of ``rare``."""
-        findall = regex.compile(pattern).findall
-        place = {w: i for i, w in enumerate(cached.value[0])}
+        findall = splitter(pattern)
+        place = _Codes(zip(cached.value, range(len(cached.value))))
         ranks = load_ranks(path)
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
                 codes, rare, long = [], [], []
                 for x in part.column(1).to_pylist():
-                    found = findall(x) if x else []
-                    row = list(map(place.get, found))
-                    own: dict[str, int] = {}
-                    if None in row:
-                        for k, c in enumerate(row):
-                            if c is None:
-                                row[k] = -1 - own.setdefault(found[k], len(own))
+                    own = place.own = {}
+                    row = [place[w] for w in findall(x)] if x else []
                     codes.append(np.asarray(row, np.int32))
                     # a long word has its ids beside it, and is empty for the fold
                     over = {k: merge_long(w.encode(), ranks) for w, k in own.items() if len(w) * 4 > LONG and len(w.encode()) > LONG}
@@ -229,7 +276,8 @@ def encode(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: s
                 )
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = cached.value[1]
+        offsets, values = known_ids.value
+        known = [values[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
         pieces = decoder(path)
         for batch in batches:
             n_tokens, ids, decoded = [], [], []

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: Rows that a Python worker gets at a time.
+BATCH_ROWS = 1000
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
@@ -48,7 +52,8 @@ def arrow_map(
     func: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]],
     schema: str | StructType,
 ) -> DataFrame:
-    """``mapInArrow`` under one name, so that tests can swap it."""
+    """``mapInArrow`` in batches of so few rows that long texts fit a worker's memory."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(func, schema)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_extract, secret_scan, sharding
+from . import bpe, html_extract, secret_scan, sharding, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -36,8 +36,12 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_5
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "decoded_sha256")
 
 
+def op10_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_text_density, op5_secret_automaton, op6_hash_tree_sharding, op8_byte_bpe)}
+    return {f.__name__: f for f in (op1_text_density, op5_secret_automaton, op6_hash_tree_sharding, op8_byte_bpe, op10_weak_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
