@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import arrow_map, held_out, not_held_out
 from .tokens import NOT_LETTERS, Words, groups, mix
@@ -172,7 +173,7 @@ def score(docs: DataFrame, scorer: LinearScorer, text: str = "text", into: str =
             found = scores(batch.column(place).to_pylist(), scorer)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*batch.schema.names, into])
 
-    return arrow_map(docs, work, docs.schema.add(into, "double"))
+    return arrow_map(docs, work, StructType([*docs.schema.fields, StructField(into, DoubleType())]))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
