@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_extract, secret_scan, sharding, toxicity
+from . import bpe, html_extract, lang_id, quality, secret_scan, sharding, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(_read(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op3_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_read(spark, sf_dir, "documents"))
+
+
 def op5_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(_read(spark, sf_dir, "documents")))
 
@@ -36,12 +40,16 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_5
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "decoded_sha256")
 
 
+def op9_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify(_read(spark, sf_dir, "documents"))
+
+
 def op10_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_text_density, op5_secret_automaton, op6_hash_tree_sharding, op8_byte_bpe, op10_weak_toxicity)}
+    return {f.__name__: f for f in (op1_text_density, op3_weak_quality, op5_secret_automaton, op6_hash_tree_sharding, op8_byte_bpe, op9_byte_cnn, op10_weak_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

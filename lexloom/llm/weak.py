@@ -39,10 +39,10 @@ class LabelModel:
         return sigmoid(x)
 
 
-def fit_label_model(votes: np.ndarray, prior: float, anchor: np.ndarray | None = None, rounds: int = 30) -> LabelModel:
+def fit_label_model(votes: np.ndarray, prior: float, anchor: np.ndarray | None = None, start: np.ndarray | None = None, rounds: int = 30) -> LabelModel:
     """Expectation-maximisation over ``votes`` (rows x voters; 1, -1, 0 abstains).
 
-    Starts from the weighted majority.  ``anchor``: log odds that rows have from
+    Starts from the posteriors ``start``, by default from the majority.  ``anchor``: log odds that rows have from
     elsewhere, as from a person's label; they enter every posterior.  A voter whose errors go with those of
     others, given the class, counts for less: its log odds are divided by one
     plus its positive correlations.
@@ -51,6 +51,7 @@ def fit_label_model(votes: np.ndarray, prior: float, anchor: np.ndarray | None =
     prior = float(np.clip(prior, 0.005, 0.995))
     known = np.zeros(n) if anchor is None else anchor
     q = sigmoid(np.log(prior / (1 - prior)) + known + (2.0 * votes.sum(1) if anchor is None else 0.0))
+    q = q if start is None else start
     weight, table, rho = np.ones(m), np.zeros((m, 3)), np.zeros((m, m))
     hits = [[votes[:, j] == v for v in (-1, 0, 1)] for j in range(m)]
     p1 = p0 = None
