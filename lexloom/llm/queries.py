@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_extract, lang_id, quality, secret_scan, sharding, toxicity
+from . import bpe, html_extract, lang_id, parity_join, quality, secret_scan, sharding, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(_read(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op2_parity_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.classes(_read(spark, sf_dir, "documents"), parity_join.Link(words=4, p=85, q=100))
+
+
 def op3_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_read(spark, sf_dir, "documents"))
 
@@ -49,7 +53,17 @@ def op10_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_text_density, op3_weak_quality, op5_secret_automaton, op6_hash_tree_sharding, op8_byte_bpe, op9_byte_cnn, op10_weak_toxicity)}
+    found = (
+        op1_text_density,
+        op2_parity_sketch,
+        op3_weak_quality,
+        op5_secret_automaton,
+        op6_hash_tree_sharding,
+        op8_byte_bpe,
+        op9_byte_cnn,
+        op10_weak_toxicity,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
