@@ -5,7 +5,7 @@ languages, patterns (an address with an insult, a wish of harm) and lexicons of
 that go with the label in the training rows.  A generative model estimates
 their accuracies and correlations by expectation-maximisation, with a
 person's label as an anchor of known reliability; its posteriors train a hashed linear classifier on
-words, stems and word pairs, which alone scores documents.
+words and stems, which alone scores documents.
 """
 
 from __future__ import annotations
@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import arrow_map, held_out, not_held_out
-from .tokens import NOT_LETTERS, Words, groups, mix
+from .tokens import NOT_LETTERS, Words, groups
 from .weak import Features, LabelModel, LinearScorer, fit_label_model, fit_linear
 
 #: Bounds of the training sample: labelled rows, and bytes of each.
-SAMPLE, LONGEST = 12_000, 16_384
+SAMPLE, LONGEST = 6000, 8192
 #: A document is toxic from this score on.
 THRESHOLD = 0.3
 #: Log odds that a person's label gives a training row.
@@ -59,19 +59,23 @@ def _lower(texts: Sequence[str | None]) -> list[str]:
 
 
 def features(words: Words) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(rows, hashes) of words, stems and pairs of neighbours."""
+    """(rows, hashes) of words and stems."""
     out = [(words.row, words.hash)]
     for size in STEMS:
         long, stem = words.prefix(size)
         out.append((words.row[long], stem))
-    if len(words.row) > 1:
-        same = np.flatnonzero(words.row[1:] == words.row[:-1])
-        out.append((words.row[same], mix(words.hash[same] * np.uint64(3) + words.hash[same + 1])))
     return out
 
 
-def _all(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    return np.concatenate([r for r, _ in found]), np.concatenate([h for _, h in found])
+def _all(texts: Sequence[str]) -> Features:
+    """The features of all texts, each once a text; a group of texts at a time."""
+    rows, hashes = [], []
+    for low, high in groups(texts):
+        for r, h in features(Words(texts[low:high], NOT_LETTERS, lower=False)):
+            part = Features(r, h)
+            rows.append((part.rows + low).astype(np.int32))
+            hashes.append(part.hashes)
+    return Features(np.concatenate(rows), np.concatenate(hashes))
 
 
 def _member(words: Words, n: int, keys: np.ndarray) -> np.ndarray:
@@ -93,7 +97,7 @@ def votes(texts: Sequence[str], words: Words, labels: np.ndarray) -> np.ndarray:
     for pattern in (ADDRESS, WISH):
         columns.append(np.array([1 if pattern.search(x) else 0 for x in texts]))
     half = np.arange(n) % 2 == 0
-    for rows, hashes in features(words)[:-1]:
+    for rows, hashes in features(words):
         found = Features(rows, hashes)
         keys, place = np.unique(found.hashes, return_inverse=True)
         place = place.reshape(-1)
@@ -121,7 +125,7 @@ def train(texts: Sequence[str], labels: np.ndarray) -> tuple[LinearScorer, Label
     cast = votes(texts, words, labels)
     model = fit_label_model(cast, labels.mean(), anchor)
     target = model.posterior(cast, anchor)
-    return fit_linear(len(texts), Features(*_all(features(words))), target), model
+    return fit_linear(len(texts), _all(texts), target), model
 
 
 def scores(texts: Sequence[str | None], scorer: LinearScorer) -> np.ndarray:

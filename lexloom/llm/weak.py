@@ -122,7 +122,7 @@ def fit_linear(n: int, found: Features, target: np.ndarray, least_z: float = 4.5
     """
     prior = float(np.clip(target.mean(), 1e-3, 1 - 1e-3))
     keys, place, counts = np.unique(found.hashes, return_inverse=True, return_counts=True)
-    place = place.reshape(-1)
+    place = place.reshape(-1).astype(np.int32)
     ones = np.bincount(place, target[found.rows], len(keys))
     first = np.abs(ones - counts * prior) / np.sqrt(counts * prior * (1 - prior) + 1e-9)
     chosen = (counts >= least_rows) & (first >= least_z)
