@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_extract, lang_id, parity_join, quality, secret_scan, sharding, toxicity
+from . import bpe, decontaminate, html_extract, lang_id, parity_join, quality, secret_scan, sharding, topk, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op3_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_read(spark, sf_dir, "documents"))
 
 
+def op4_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _read(spark, sf_dir, "embeddings")
+    return topk.search(table, table.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 def op5_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(_read(spark, sf_dir, "documents")))
 
@@ -36,6 +41,10 @@ def op6_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
     import public_tokenizers
 
@@ -57,8 +66,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_text_density,
         op2_parity_sketch,
         op3_weak_quality,
+        op4_norm_buckets,
         op5_secret_automaton,
         op6_hash_tree_sharding,
+        op7_templates,
         op8_byte_bpe,
         op9_byte_cnn,
         op10_weak_toxicity,
