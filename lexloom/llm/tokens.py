@@ -9,10 +9,10 @@ import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 #: Bytes that are hashed in one go; longer data are cut at separators.
-PIECE = 1 << 21
+PIECE = 1 << 18
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=8)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     def table(base: int) -> np.ndarray:
         out = np.full(n + 1, base, np.uint64)
@@ -72,7 +72,7 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, piece: int =
     return out
 
 
-def groups(texts: Sequence[str], limit: int = PIECE) -> Iterator[tuple[int, int]]:
+def groups(texts: Sequence[str], limit: int = 2 * PIECE) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` of about ``limit`` characters; a longer text is alone."""
     low = size = 0
     for i, x in enumerate(texts):
