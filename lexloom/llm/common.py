@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -13,7 +16,7 @@ from pyspark.sql.types import StructType
 
 
 #: Rows that a Python worker gets at a time.
-BATCH_ROWS = 1000
+BATCH_ROWS = 256
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,6 +36,14 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
+def release() -> None:
+    """Give freed memory back to the system: a driver fits models and then lives on."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` as a checkpoint in the shared folder; its lineage ends there."""
     shared_dir(df.sparkSession)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, bounded_sample, held_out, not_held_out
+from .common import arrow_map, bounded_sample, held_out, not_held_out, release
 
 #: Bytes of a window.
 WINDOW = 256
@@ -204,7 +204,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> Networ
     ids = bounded_sample(known.select("doc_id"), ["doc_id"], sample)
     rows = known.join(F.broadcast(ids.distinct()), "doc_id").where(F.octet_length("text") <= longest)
     got = sorted(zip(*(c.to_pylist() for c in rows.select("doc_id", "lang", "text").toArrow().columns)))[:sample]
-    return train([t for _, _, t in got], [lang for _, lang, _ in got])
+    net = train([t for _, _, t in got], [lang for _, lang, _ in got])
+    release()
+    return net
 
 
 def identify(docs: DataFrame, net: Network | None = None) -> DataFrame:

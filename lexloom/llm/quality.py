@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import arrow_map, bounded_sample, held_out, not_held_out
+from .common import arrow_map, bounded_sample, held_out, not_held_out, release
 from .tokens import SPACES, Words, groups, mix
 from .weak import Features, LabelModel, LinearScorer, fit_label_model, fit_linear
 
@@ -183,7 +183,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> Linear
     ids = bounded_sample(docs.where(not_held_out() & F.col("doc_id").isNotNull()).select("doc_id"), ["doc_id"], sample).distinct()
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where(F.octet_length("text") <= longest).toArrow()
     got = sorted(zip(*(c.to_pylist() for c in rows.columns)))[:sample]
-    return train([t for _, t in got])[0]
+    scorer = train([t for _, t in got])[0]
+    release()
+    return scorer
 
 
 def score(docs: DataFrame, scorer: LinearScorer, text: str = "text", into: str = "score") -> DataFrame:

@@ -49,8 +49,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_5
     import public_tokenizers
 
     path, pattern = public_tokenizers.path(vocabulary), public_tokenizers.PATTERN
-    out = bpe.encode(_read(spark, sf_dir, "documents"), path, pattern)
-    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "decoded_sha256")
+    return bpe.encode(_read(spark, sf_dir, "documents"), path, pattern, digests=True)
 
 
 def op9_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,12 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import arrow_map, held_out, not_held_out
+from .common import arrow_map, held_out, not_held_out, release
 from .tokens import NOT_LETTERS, Words, groups
-from .weak import Features, LabelModel, LinearScorer, fit_label_model, fit_linear
+from .weak import Features, LabelModel, LinearScorer, fit_label_model, fit_linear, promising
 
 #: Bounds of the training sample: labelled rows, and bytes of each.
-SAMPLE, LONGEST = 6000, 8192
+SAMPLE, LONGEST = 5000, 8192
 #: A document is toxic from this score on.
 THRESHOLD = 0.3
 #: Log odds that a person's label gives a training row.
@@ -67,48 +67,57 @@ def features(words: Words) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def _all(texts: Sequence[str]) -> Features:
-    """The features of all texts, each once a text; a group of texts at a time."""
-    rows, hashes = [], []
-    for low, high in groups(texts):
-        for r, h in features(Words(texts[low:high], NOT_LETTERS, lower=False)):
-            part = Features(r, h)
-            rows.append((part.rows + low).astype(np.int32))
-            hashes.append(part.hashes)
-    return Features(np.concatenate(rows), np.concatenate(hashes))
-
-
-def _member(words: Words, n: int, keys: np.ndarray) -> np.ndarray:
-    hit = np.isin(words.hash, keys)
-    return np.bincount(words.row[hit], minlength=n)
+def gather(texts: Sequence[str], least: int = 4) -> list[Features]:
+    """The features of all texts by kind, each once a text, a group of texts at a time.
 
-
-def votes(texts: Sequence[str], words: Words, labels: np.ndarray) -> np.ndarray:
+    A first pass counts features by the top bits of their hashes; those that
+    can't be in ``least`` texts are not kept by the second.
+    """
+    kinds = 1 + len(STEMS)
+    counts = np.zeros((kinds, 1 << 21), np.uint16)
+    rows: list[list[np.ndarray]] = [[] for _ in range(kinds)]
+    hashes: list[list[np.ndarray]] = [[] for _ in range(kinds)]
+    for keep in (False, True):
+        for low, high in groups(texts):
+            for i, (r, h) in enumerate(features(Words(texts[low:high], NOT_LETTERS, lower=False))):
+                part = Features(r, h)
+                slot = part.hashes >> np.uint64(43)
+                if keep:
+                    often = counts[i][slot] >= least
+                    rows[i].append((part.rows[often] + low).astype(np.int32))
+                    hashes[i].append(part.hashes[often])
+                else:
+                    np.add.at(counts[i], slot, 1)
+    return [Features(np.concatenate(r), np.concatenate(h)) for r, h in zip(rows, hashes)]
+
+
+def votes(texts: Sequence[str], found: list[Features], labels: np.ndarray) -> np.ndarray:
     """Rows x voters.  The learnt lexicons judge a row by the labels of the other
     half of the rows, so that no row votes on itself."""
     n = len(texts)
-    columns = []
-    any_hit = np.zeros(n, np.int64)
-    for entries in LEXICONS.values():
-        hits = _member(words, n, Words(entries.split(), NOT_LETTERS).hash)
-        any_hit += hits
-        columns.append(np.where(hits > 0, 1, 0))
-    columns.append(np.where(any_hit == 0, -1, np.where(any_hit > 1, 1, 0)))
+    keys = [Words(entries.split(), NOT_LETTERS).hash for entries in LEXICONS.values()]
+    hits = np.zeros((len(keys), n), np.int64)
+    for low, high in groups(texts):
+        words = Words(texts[low:high], NOT_LETTERS, lower=False)
+        for i, own in enumerate(keys):
+            hits[i, low:high] = np.bincount(words.row[np.isin(words.hash, own)], minlength=high - low)
+    columns = [np.where(row > 0, 1, 0) for row in hits]
+    total = hits.sum(0)
+    columns.append(np.where(total == 0, -1, np.where(total > 1, 1, 0)))
     for pattern in (ADDRESS, WISH):
         columns.append(np.array([1 if pattern.search(x) else 0 for x in texts]))
     half = np.arange(n) % 2 == 0
-    for rows, hashes in features(words):
-        found = Features(rows, hashes)
-        keys, place = np.unique(found.hashes, return_inverse=True)
+    for kind in found:
+        keys_of, place = np.unique(kind.hashes, return_inverse=True)
         place = place.reshape(-1)
         vote = np.zeros(n, np.int64)
         for train in (half, ~half):
-            mine = train[found.rows]
-            total = np.bincount(place[mine], minlength=len(keys))
-            ones = np.bincount(place[mine], labels[found.rows[mine]], len(keys))
-            learnt = (ones >= 6) & (ones >= 0.9 * total)
-            hits = np.bincount(found.rows[~mine], learnt[place[~mine]], n)
-            vote = np.where(train, vote, np.where(hits > 0, 1, -1))
+            mine = train[kind.rows]
+            seen = np.bincount(place[mine], minlength=len(keys_of))
+            ones = np.bincount(place[mine], labels[kind.rows[mine]], len(keys_of))
+            learnt = (ones >= 6) & (ones >= 0.9 * seen)
+            hit = np.bincount(kind.rows[~mine], learnt[place[~mine]], n)
+            vote = np.where(train, vote, np.where(hit > 0, 1, -1))
         columns.append(vote)
     return np.stack(columns, 1).astype(np.int8)
 
@@ -116,16 +125,18 @@ def votes(texts: Sequence[str], words: Words, labels: np.ndarray) -> np.ndarray:
 def train(texts: Sequence[str], labels: np.ndarray) -> tuple[LinearScorer, LabelModel | None]:
     """Fit on some texts with labels 0 or 1."""
     texts = _lower(texts)
-    words = Words(texts, NOT_LETTERS, lower=False)
     if not len(texts) or labels.min() == labels.max():  # nothing to tell apart
         always = bool(len(texts)) and bool(labels.max())
         empty = np.empty(0, np.uint64)
         return LinearScorer(8.0 if always else -8.0, empty, np.empty(0), np.zeros(1 << 20, bool)), None
     anchor = np.where(labels > 0, ANCHOR, -ANCHOR)
-    cast = votes(texts, words, labels)
+    found = gather(texts)
+    cast = votes(texts, found, labels)
     model = fit_label_model(cast, labels.mean(), anchor)
     target = model.posterior(cast, anchor)
-    return fit_linear(len(texts), _all(texts), target), model
+    found = [promising(x, target) for x in found]
+    both = Features(np.concatenate([x.rows for x in found]), np.concatenate([x.hashes for x in found]))
+    return fit_linear(len(texts), both, target), model
 
 
 def scores(texts: Sequence[str | None], scorer: LinearScorer) -> np.ndarray:
@@ -160,7 +171,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, long
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> LinearScorer:
-    return train(*training_rows(docs, labels))[0]
+    scorer = train(*training_rows(docs, labels))[0]
+    release()
+    return scorer
 
 
 def score(docs: DataFrame, scorer: LinearScorer, text: str = "text", into: str = "score") -> DataFrame:

@@ -74,7 +74,7 @@ def fit_label_model(votes: np.ndarray, prior: float, anchor: np.ndarray | None =
 
 
 class Features:
-    """Hashed features of some documents: pairs (row, 64-bit hash), once each."""
+    """Hashed features of some documents: pairs (row, 64-bit hash), once each, by hash."""
 
     def __init__(self, rows: np.ndarray, hashes: np.ndarray) -> None:
         order = np.lexsort((rows, hashes))
@@ -84,6 +84,19 @@ class Features:
         self.rows, self.hashes = rows[new], hashes[new]
 
 
+def promising(found: Features, target: np.ndarray, least_z: float = 4.5, least_rows: int = 4) -> Features:
+    """The features of ``least_rows`` rows whose targets are ``least_z`` standard errors from the mean."""
+    prior = float(np.clip(target.mean(), 1e-3, 1 - 1e-3))
+    if not len(found.hashes):
+        return found
+    starts = np.flatnonzero(np.append(True, found.hashes[1:] != found.hashes[:-1]))
+    counts = np.diff(np.append(starts, len(found.hashes)))
+    ones = np.add.reduceat(target[found.rows], starts)
+    chosen = (counts >= least_rows) & (np.abs(ones - counts * prior) >= least_z * np.sqrt(counts * prior * (1 - prior) + 1e-9))
+    mine = np.repeat(chosen, counts)
+    return Features(found.rows[mine], found.hashes[mine])
+
+
 #: Slots of the scorer's table; a feature's slot is the top bits of its hash.
 BITS = 20
 
@@ -121,15 +134,9 @@ def fit_linear(n: int, found: Features, target: np.ndarray, least_z: float = 4.5
     under ``least_rows`` rows, and those alike in all rows, are not looked at.
     """
     prior = float(np.clip(target.mean(), 1e-3, 1 - 1e-3))
-    keys, place, counts = np.unique(found.hashes, return_inverse=True, return_counts=True)
-    place = place.reshape(-1).astype(np.int32)
-    ones = np.bincount(place, target[found.rows], len(keys))
-    first = np.abs(ones - counts * prior) / np.sqrt(counts * prior * (1 - prior) + 1e-9)
-    chosen = (counts >= least_rows) & (first >= least_z)
-    number = np.cumsum(chosen) - 1
-    mine = chosen[place]
-    order = np.argsort(number[place[mine]], kind="stable")
-    rows, cols, k = found.rows[mine][order], number[place[mine]][order], int(chosen.sum())
+    found = promising(found, target, least_z, least_rows)
+    keys, cols = np.unique(found.hashes, return_inverse=True)
+    rows, cols, k = found.rows, cols.reshape(-1), len(keys)
     starts = np.searchsorted(cols, np.arange(k + 1))
     x, w, b = np.zeros(n), np.zeros(k), np.log(prior / (1 - prior))
     if k:
@@ -158,7 +165,7 @@ def fit_linear(n: int, found: Features, target: np.ndarray, least_z: float = 4.5
             p = sigmoid(b + x)
             b += float(np.clip((target - p).sum() / ((p * (1 - p)).sum() + ridge), -1, 1))
     kept = np.abs(w) > 1e-6
-    keys = keys[chosen][kept]
+    keys = keys[kept]
     slots = np.zeros(1 << BITS, bool)
     slots[keys >> np.uint64(64 - BITS)] = True
     return LinearScorer(float(b), keys, w[kept], slots)
