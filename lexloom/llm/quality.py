@@ -24,7 +24,7 @@ from .weak import Features, LabelModel, LinearScorer, fit_label_model, fit_linea
 #: Bounds of the training sample: rows, and bytes of each.
 SAMPLE, LONGEST = 8000, 16_384
 #: A document is kept from this score on.
-THRESHOLD = 0.5
+THRESHOLD = 0.3
 #: Part of good documents that EM starts from.
 PRIOR = 0.85
 
@@ -109,7 +109,7 @@ def votes(s: Stats) -> np.ndarray:
             bad(s.upper > 0.5),
             bad(s.symbols > 0.06),
             bad(s.digits > 0.25),
-            bad(s.repeats > 0.15),
+            bad((s.repeats > 0.15) & (s.repeats * s.count >= 3)),
             bad(long & (s.unique < 0.25)),
             bad(s.separators > 0.1),
             bad((s.length < 2) | (s.length > 16)),
@@ -133,6 +133,8 @@ def features(s: Stats) -> tuple[np.ndarray, np.ndarray]:
     second = _KIND[w.data[np.minimum(w.start + 1, w.end - 1)]]
     same = np.zeros(len(size), np.int64)
     same[1:] = (w.hash[1:] == w.hash[:-1]) & (w.row[1:] == w.row[:-1])
+    # a word or two twice says nothing, however short the text
+    same &= np.bincount(w.row, same, s.n)[w.row] >= 3
     shapes = [
         (first * 64 + second) * 64 + last,
         (1 << 20) + before * 64 + last,
@@ -149,7 +151,7 @@ def features(s: Stats) -> tuple[np.ndarray, np.ndarray]:
             up = step >= k
             rows.append(row[up])
             hashes.append(mix(((pairs & ((1 << 24) - 1)) * 16 + k).astype(np.uint64)[up]))
-    for i, measure in enumerate((s.unique, s.lines, s.repeats, s.stops)):
+    for i, measure in enumerate((s.unique, s.lines, s.stops)):
         step = np.searchsorted([0.01, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.8], measure)
         rows.append(np.arange(s.n))
         hashes.append(mix(((9 << 24) + i * 64 + step).astype(np.uint64)))
