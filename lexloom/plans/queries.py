@@ -31,7 +31,7 @@ def n(x: Column | str) -> Column:
     return (F.col(x) if isinstance(x, str) else x).cast("long")
 
 
-LINE = ["doc_id", F.col("idx").cast("int").alias("idx")]
+LINE = ["doc_id", "idx"]
 
 # --- scalar functions ------------------------------------------------------------------------------
 
