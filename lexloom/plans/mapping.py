@@ -8,6 +8,7 @@ pronunciation facts, parts are headwords of the search index.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,7 +102,11 @@ def definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return senses.definition_facts(definitions(spark, sf_dir))
+    """Definition facts, materialised once: the clusters read them four times.
+
+    In memory or on the executors' disks; a lost part is computed anew.
+    """
+    return senses.definition_facts(definitions(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 LINES_SQL = """lines AS (
