@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from .common import cut
 
 
+def _dealt_anew(least: DataFrame) -> DataFrame:
+    """The least neighbours by a key that Spark doesn't know to be dealt already.
+
+    So a join with the edges shuffles both sides itself, and then Spark splits
+    the part of a node with very many edges over tasks.
+    """
+    return least.withColumn("u", F.col("u").bitwiseXOR(F.lit(0).cast("long")))
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) of every node of ``edges`` (u, v): component is the least node.
 
@@ -24,10 +33,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         # large star: u's larger neighbours to the least of u and its neighbours
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.where("v > u").join(_dealt_anew(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         # small star: u and its smaller neighbours to the least of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
+        joined = large.join(_dealt_anew(least), "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v")))
         now = cut(small.where("u <> v").distinct())
         # equal sets of edges have equal sums
