@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 from .common import arrow_map, release, stored
 from .tokens import hashes
 
-#: Words that may be broadcast with their ids, the bytes that such a word may have, and
-#: how many of them, the most frequent, are looked up one by one; the others in arrays.
+#: Words that may be broadcast with their ids (about 60 MB), the bytes that such a word may
+#: have, and how many of them, the most frequent, are looked up one by one; the others in arrays.
 CACHE, CACHE_BYTES, HOT = 1_000_000, 64, 1 << 17
 #: Words of more bytes are merged by a heap in Python: the fold copies its arrays at every merge.
 LONG = 1024
