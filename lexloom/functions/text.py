@@ -228,3 +228,53 @@ def html_to_text(x: Column) -> Column:
     for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&#39;", "'"), ("&amp;", "&")):
         t = F.replace(t, F.lit(name), F.lit(char))
     return t
+
+
+#: Abbreviations of parts of speech in definitions.
+ABBREVIATED = {
+    "danh từ": "dt|d", "động từ": "đgt|đg", "tính từ": "tt|t", "đại từ": "đt", "trạng từ": "trt", "thán từ": "tht", "liên từ": "lt|l", "phụ từ": "pt",
+}
+
+
+def abbreviated_pos(x: Column, ascii_edges: bool = False) -> Column:
+    """Parts of speech that a definition names by abbreviation.
+
+    ``ascii_edges``: a word begins only between an ASCII word character and
+    another character, so that abbreviations in đ are never found after a
+    space, as in regex dialects that know ASCII words alone.
+    """
+    edge = r"(?:(?<![A-Za-z0-9_])(?=[A-Za-z0-9_])|(?<=[A-Za-z0-9_])(?![A-Za-z0-9_]))" if ascii_edges else r"(?<![\p{L}\p{N}_])"
+    return F.array_compact(F.array(*[F.when(F.lower(x).rlike(rf"{edge}(?:{codes})\."), F.lit(name)) for name, codes in ABBREVIATED.items()]))
+
+
+def headword_labels(word: Column, definitions: Column) -> Column:
+    """Labels that a headword and its definitions give: names, places, terms, punctuation."""
+    text = F.array_join(definitions, " ")
+    places = r"(?iu)\((?:xã|huyện|thị trấn|tỉnh|sông|núi|đảo|quận|phường)\)|(?<![\p{L}\p{N}_])[ht]\.\s"
+    terms = r"(?iu)(?<![\p{L}\p{N}_])(?:kí hiệu|ký hiệu|viết tắt|nguyên tố|đơn vị đo|bệnh|ngôn ngữ|kinh phật)(?![\p{L}\p{N}_])"
+    return F.array_compact(
+        F.array(
+            F.when(word.rlike("^[A-ZÀ-ỸĐ]"), "proper-name-candidate"),
+            F.when(word.rlike("[,;]"), "punctuation-headword-candidate"),
+            F.when(text.rlike(places), "place-name-candidate"),
+            F.when(text.rlike(terms), "domain-or-encyclopedic-candidate"),
+        )
+    )
+
+
+def explicit_dialect(tags: Column, note: Column, known: list[str]) -> Column:
+    """Dialects that a sound's tags or note name outright, joined by `; `; null where none does."""
+    found = F.array_distinct(F.filter(F.concat(F.coalesce(tags, F.array().cast("array<string>")), F.array(note)), lambda x: x.isin(*known)))
+    return F.when(F.size(found) > 0, F.array_join(found, "; "))
+
+
+def marked(x: Column) -> Column:
+    """Struct (meaning, pos): a definition without number and abbreviation, and what that stands for."""
+    codes = {
+        "d": "danh từ", "dt": "danh từ", "đt": "đại từ", "đg": "động từ", "đgt": "động từ", "t": "tính từ", "tt": "tính từ", "trt": "trạng từ",
+        "tht": "thán từ", "lt": "liên từ", "l": "liên từ", "pt": "phụ từ", "pht": "phó từ", "ph": "phó từ",
+    }
+    c, pattern = clean(x), r"(?iu)^(?:[0-9]+[).]?\s*)?(d|dt|đt|đg|đgt|t|tt|trt|tht|lt|l|pt|pht|ph)\.\s+(.+)$"
+    rest = clean(F.regexp_extract(c, pattern, 2))
+    hit = c.rlike(pattern) & (rest != "")
+    return F.struct(F.when(hit, rest).otherwise(c).alias("meaning"), F.when(hit, _lookup(codes, F.lower(F.regexp_extract(c, pattern, 1)))).alias("pos"))

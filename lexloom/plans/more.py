@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import kangxi
 from ..functions import text as T
-from ..operators import checks, merge, pronunciation, review, senses
+from ..operators import checks, layers, merge, pronunciation, review, senses
 from ..sources import registry
 from . import mapping as M
 from .queries import n, query
@@ -228,3 +229,43 @@ def collated_headwords(s, d):
     """Headwords in Vietnamese order: the tie-break is binary; rows only, as the other engine has no such collation."""
     words = M.facts(s, d).select("word").distinct()
     return words.orderBy(F.expr("word COLLATE vi"), "word")
+
+
+# --- layers ----------------------------------------------------------------------------------------
+
+_STROKES = "CASE WHEN r < 1 THEN NULL " + " ".join(f"WHEN r <= {last} THEN {i}" for i, last in enumerate(kangxi.LAST, 1)) + " END"
+
+
+@query(f"WITH p AS (SELECT p_partkey, (p_partkey % 230)::INT AS r FROM part) SELECT p_partkey, r AS radical, ({_STROKES})::INT AS strokes FROM p")
+def radical_strokes(s, d):
+    p = M.table(s, d, "part").select("p_partkey", (F.col("p_partkey") % 230).cast("int").alias("radical"))
+    return p.withColumn("strokes", kangxi.strokes(F.col("radical")))
+
+
+@query("SELECT count(DISTINCT CASE WHEN r BETWEEN 1 AND 214 THEN r END) AS radicals, round(count(DISTINCT CASE WHEN r BETWEEN 1 AND 214 THEN r END) * 100 / 214, 2) AS percent FROM (SELECT p_size * 4 AS r FROM part)")
+def radical_coverage(s, d):
+    return kangxi.coverage(M.table(s, d, "part").select((F.col("p_size") * 4).alias("radical")))
+
+
+def _entries(s: SparkSession, d: str) -> DataFrame:
+    f = M.facts(s, d)
+    return f.select(
+        "word",
+        "source",
+        F.when(F.col("trusted"), F.col("key")).alias("ipa"),
+        F.get("part_of_speech", F.lit(0)).alias("pos"),
+        F.when(F.col("language") == "vi", "thuần Việt").when(F.col("language") == "de", "Hán Việt").alias("origin"),
+        "meaning",
+        (F.col("entry_id") * 100000 + F.col("definition_index")).alias("ord"),
+    )
+
+
+@query(
+    f"WITH {M.FACTS_SQL}, e AS (SELECT *, lower({M.sql_clean('word')}) AS k, entry_id * 100000 + definition_index AS ord, trim(regexp_replace({M.sql_fold('meaning')}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS folded FROM facts WHERE regexp_matches(word, '\\p{{Latin}}')), "
+    "m AS (SELECT k, count(*) AS definitions FROM (SELECT DISTINCT k, source, folded FROM e WHERE folded <> '') GROUP BY k), "
+    "b AS (SELECT k, arg_min(word, ord) AS word, arg_min(key, ord) FILTER (trusted) AS ipa, CASE WHEN bool_or(language = 'de') THEN 'Hán Việt' WHEN bool_or(language = 'vi') THEN 'thuần Việt' END AS origin, count(*) AS merged, count(DISTINCT source) AS sources FROM e GROUP BY k) "
+    "SELECT b.k AS key, word, ipa, origin, merged, sources, definitions FROM b JOIN m ON b.k = m.k"
+)
+def word_layer(s, d):
+    w = layers.words(_entries(s, d))
+    return w.select("key", "word", "ipa", "origin", "merged", n(F.size("sources")).alias("sources"), n(F.size("definitions")).alias("definitions"))
