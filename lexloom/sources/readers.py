@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
+from pyspark.sql.window import Window
 
 from ..functions import text as T
 
@@ -250,3 +251,52 @@ def layer(spark: SparkSession, path: str, schema: str | t.StructType) -> DataFra
     if "*" not in path and not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
+#: Abbreviations of an old dictionary, folded.
+HISTORICAL_POS = {"c": "danh từ", "d": "động từ", "dg": "động từ", "n": "thán từ", "t": "tính từ"}
+
+
+def page_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """(page, row, compound, word, pos, han, meaning, parent) of saved wiki pages of an old dictionary.
+
+    Pages of a letter hold tables with a head in each row, then `div`s with
+    compounds, whose dashes stand for the head; `id.` repeats the meaning of
+    the compound before.  A row's place in the page is its number.
+    """
+    pages = whole(spark, path).select(F.explode(F.from_json("value", "pages array<struct<pageid:long,title:string,revid:long,html:string>>")["pages"]).alias("p")).select("p.*")
+    section = F.element_at(F.split("title", "/"), -1)
+    blocks = pages.where(section.rlike(r"^[A-ZĐ](?: \(tiếp theo(?: [0-9]+)?\))?$")).select(
+        F.col("pageid").alias("page"), F.posexplode(F.regexp_extract_all("html", F.lit(r"(?is)<tr\b.*?</tr>|<div\b.*?</div>"), 0)).alias("at", "block")
+    )
+    text = lambda x: T.clean(T.html_to_text(x))
+    is_row = F.col("block").rlike("(?i)^<tr")
+    head, italic = r"(?is)<span[^>]*font-size:\s*larger[^>]*>.*?</span>", r"(?is)<i\b[^>]*>.*?</i>"
+    cells = F.regexp_extract_all("block", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1)
+    first, second = F.get(cells, F.lit(0)), F.get(cells, F.lit(1))
+    name = F.regexp_replace(text(F.regexp_extract(second, head, 0)), "[.：:]$", "")
+    rest = F.regexp_replace(text(F.regexp_replace(F.regexp_replace(second, head, ""), italic, "")), r"^[.\s:]+", "")
+    in_page = Window.partitionBy("page").orderBy("at")
+    rows = blocks.withColumn("row", F.sum(is_row.cast("int")).over(in_page) - 1)
+    heads = rows.where(is_row & (F.size(cells) >= 2) & first.rlike("(?i)class=[\"'][^\"']*Hani")).select(
+        "page", "row", "at", name.alias("word"), T.fold(F.regexp_replace(text(F.regexp_extract(second, italic, 0)), "[.()]", "")).alias("code"), text(F.regexp_extract(second, italic, 0)).alias("code_text"),
+        T.han_chars(T.html_to_text(first)).alias("han"), rest.alias("meaning"),
+    ).where(valid_lexeme(F.col("word")) & (F.col("meaning") != ""))
+    pos = F.coalesce(*[F.when(F.trim("code") == k, v) for k, v in HISTORICAL_POS.items()], F.nullif(F.col("code_text"), F.lit("")))
+    entries = heads.select("page", "row", F.lit(0).alias("compound"), "word", pos.alias("pos"), "han", "meaning", F.lit(None).cast("string").alias("parent"))
+    dash = "[―—–-]"
+    raw = text(F.regexp_extract("block", italic, 0))
+    parts = rows.where(~is_row).select("page", "row", "at", raw.alias("raw"), F.regexp_replace(text(F.regexp_replace("block", italic, "")), r"^[|.\s:]+", "").alias("meaning"))
+    of = parts.join(heads.select("page", "row", F.col("word").alias("parent")), ["page", "row"])
+    phrase = F.regexp_replace(F.regexp_replace(F.col("raw"), f"^{dash}+", F.concat("parent", F.lit(" "))), f"{dash}+$", F.concat(F.lit(" "), "parent"))
+    phrase = F.regexp_replace(T.clean(F.regexp_replace(phrase, "[―—–]+", F.col("parent"))), r"^[.\s:]+|[.\s:]+$", "")
+    of = of.withColumn("word", phrase)
+    of = of.where(valid_lexeme(F.col("word")) & (F.col("word") != F.col("parent")) & (F.col("meaning") != ""))
+    run = Window.partitionBy("page", "row").orderBy("at")
+    same = F.col("meaning").rlike(r"(?i)^id\.?$")
+    before = F.last(F.when(~same, F.col("meaning")), ignorenulls=True).over(run.rowsBetween(Window.unboundedPreceding, -1))
+    compounds = of.select(
+        "page", "row", F.row_number().over(run).alias("compound"), "word", F.lit(None).cast("string").alias("pos"), F.array().cast("array<string>").alias("han"),
+        F.when(same, F.coalesce(before, F.col("meaning"))).otherwise(F.col("meaning")).alias("meaning"), "parent",
+    )
+    return entries.unionByName(compounds)

@@ -84,6 +84,23 @@ def test_yaml_map(spark, tmp_path):
     assert rows(readers.yaml_map(spark, p), "word", "tag", "definition", "idx") == [("đi", "V", "move", 0)]
 
 
+def test_page_snapshot(spark, tmp_path):
+    row = '<table><tr><td><span class="Hani">衣</span></td><td><span style="font-size: larger">Áo.</span> <i>c.</i>: đồ mặc trên</td></tr></table>'
+    divs = "<div><i>― dài</i> | áo phủ xuống</div><div><i>— lót</i> id.</div><p>x</p><div><i>―</i> không</div>"
+    pages = [
+        {"pageid": 7, "title": "Từ điển/A", "revid": 1, "html": row + divs + "<table><tr><td>no</td><td>x</td></tr></table>"},
+        {"pageid": 8, "title": "Từ điển/Lời tựa", "revid": 1, "html": row},
+    ]
+    p = write(tmp_path / "d.json", json.dumps({"pages": pages}))
+    got = readers.page_snapshot(spark, p)
+    assert rows(got, "page", "row", "compound", "word", "pos", "meaning", "parent") == [
+        (7, 0, 0, "Áo", "danh từ", "đồ mặc trên", None),
+        (7, 0, 1, "Áo dài", None, "áo phủ xuống", "Áo"),
+        (7, 0, 2, "Áo lót", None, "áo phủ xuống", "Áo"),
+    ]
+    assert got.where("compound = 0").first().han == ["衣"]
+
+
 def test_layer_that_does_not_exist(spark, tmp_path):
     assert readers.layer(spark, str(tmp_path / "none"), "id string").count() == 0
 
