@@ -84,3 +84,20 @@ def compact(definitions: Column, native: str = "vi") -> Column:
         chosen,
         lambda d: F.struct(d["meaning"].alias("meaning"), d["language"].alias("language"), F.slice(d["examples"], 1, 2).alias("examples"), F.slice(d["labels"], 1, 5).alias("labels")),
     )
+
+
+def han_index(characters: DataFrame) -> DataFrame:
+    """Characters by strokes, then in Chinese order; an unknown number of strokes comes first."""
+    strokes = F.coalesce("total_strokes", F.lit(0))
+    flat = characters.select("id", "character", "radical", strokes.alias("strokes"), F.array_join("readings", ", ").alias("readings"), "meaning")
+    return flat.orderBy("strokes", F.expr("character COLLATE zh"), "character")
+
+
+def search_han(characters: DataFrame, query: str, most: int = 80) -> DataFrame:
+    """Characters that are, are read, or mean the query; without one, those of four strokes or less."""
+    rows = han_index(characters)
+    q = query.strip().lower()
+    if not q:
+        return rows.where("strokes <= 4").limit(most)
+    hit = (F.col("character") == query.strip()) | F.contains(F.lower("readings"), F.lit(q)) | F.contains(F.lower(F.coalesce("meaning", F.lit(""))), F.lit(q))
+    return rows.where(hit).limit(most)

@@ -63,3 +63,32 @@ def gap_reason(tags: Column, note: Column, dialects: list[str], other_notes: str
 def coverage(facts: DataFrame) -> DataFrame:
     with_dialect = F.coalesce("dialect", F.lit("")) != ""
     return facts.groupBy("source").agg(F.count("*").alias("facts"), F.count_if(with_dialect).alias("with_dialect"), F.count_if(~with_dialect).alias("without_dialect"))
+
+
+#: What to do about each bucket of conflicts, and where each gap goes.
+ACTIONS = {
+    BUCKETS[0]: "display the safe form; keep every raw form",
+    BUCKETS[1]: "keep all variants as facts of their own",
+    BUCKETS[2]: "keep the alternatives that the source attests",
+    BUCKETS[3]: "review parsing or add metadata before choosing",
+}
+ROUTES = {
+    "unrecognized_explicit_tag": "manual_label_review",
+    "recognized_geographic_label_with_qualifier": "manual_label_parsing_review",
+    "non_geographic_note_qualifier": "not_a_dialect_label",
+    "unrecognized_explicit_note": "manual_label_review",
+    "no_explicit_source_label": "source_metadata_unavailable",
+}
+
+
+def action(bucket: Column) -> Column:
+    return F.coalesce(*[F.when(bucket == k, v) for k, v in ACTIONS.items()])
+
+
+def route(gap: Column) -> Column:
+    return F.coalesce(*[F.when(gap == k, v) for k, v in ROUTES.items()])
+
+
+def rollup(found: DataFrame) -> DataFrame:
+    """Conflicts, their facts and facts without a dialect, by bucket and in all."""
+    return found.rollup("bucket").agg(F.count("*").alias("headwords"), F.sum("facts").alias("facts"), F.sum("without_dialect").alias("without_dialect"))

@@ -269,3 +269,20 @@ def _entries(s: SparkSession, d: str) -> DataFrame:
 def word_layer(s, d):
     w = layers.words(_entries(s, d))
     return w.select("key", "word", "ipa", "origin", "merged", n(F.size("sources")).alias("sources"), n(F.size("definitions")).alias("definitions"))
+
+
+@query(
+    f"WITH {M.PRON_SQL}, g AS (SELECT {_GAP} AS gap FROM pron WHERE dialect IS NULL) SELECT CASE gap WHEN 'unrecognized_explicit_tag' THEN 'manual_label_review' WHEN 'recognized_geographic_label_with_qualifier' THEN 'manual_label_parsing_review' "
+    "WHEN 'non_geographic_note_qualifier' THEN 'not_a_dialect_label' WHEN 'unrecognized_explicit_note' THEN 'manual_label_review' ELSE 'source_metadata_unavailable' END AS route, count(*) AS n FROM g GROUP BY 1"
+)
+def gap_routes(s, d):
+    p = M.pronunciations(s, d).where(F.col("dialect").isNull())
+    gap = pronunciation.gap_reason(F.col("tags"), F.col("note"), ["Hà Nội", "Sài Gòn"], "^rare")
+    return p.groupBy(pronunciation.route(gap).alias("route")).agg(F.count("*").alias("n"))
+
+
+@query(
+    f"WITH {M.PRON_SQL}, h AS (SELECT headword, count(*) AS facts, count(*) FILTER (dialect IS NULL) AS w, count(DISTINCT ipa) AS r FROM pron GROUP BY headword HAVING count(DISTINCT ipa) >= 2) SELECT count(*) AS headwords, sum(facts)::BIGINT AS facts, sum(w)::BIGINT AS without_dialect FROM h"
+)
+def conflict_totals(s, d):
+    return pronunciation.rollup(pronunciation.conflicts(M.pronunciations(s, d))).where(F.col("bucket").isNull()).drop("bucket")

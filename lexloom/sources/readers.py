@@ -300,3 +300,27 @@ def page_snapshot(spark: SparkSession, path: str) -> DataFrame:
         F.when(same, F.coalesce(before, F.col("meaning"))).otherwise(F.col("meaning")).alias("meaning"), "parent",
     )
     return entries.unionByName(compounds)
+
+
+def json_arrays(spark: SparkSession, folder: str, schema: str | t.StructType) -> DataFrame:
+    """The records of a folder of buckets, each file one JSON array."""
+    return spark.read.schema(schema).option("multiLine", "true").option("mode", "FAILFAST").json(folder)
+
+
+def document(spark: SparkSession, path: str, schema: str) -> dict | None:
+    """One JSON document, or None where there is no such file."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        return None
+    row = spark.read.schema(schema).option("multiLine", "true").json(path).first()
+    return row.asDict(recursive=True) if row else None
+
+
+def per_source(spark: SparkSession, root: str, name: str, schema: str, sources: list[str] | None = None) -> DataFrame:
+    """Normalised records below ``root/source=<key>/name``; a filter on sources prunes folders.
+
+    Without ``sources`` every folder counts, selected or not.
+    """
+    reader = spark.read.schema(schema).option("mode", "FAILFAST").option("basePath", root)
+    rows = reader.json(f"{root}/source=*/{name}")
+    return rows if sources is None else rows.where(F.col("source").isin(*sources))

@@ -67,3 +67,11 @@ def test_marks_and_labels(spark):
     ).first()
     assert tuple(r.m) == ("làm việc", "động từ") and r.p == ["động từ"] and r.q == []
     assert r.l == ["proper-name-candidate", "place-name-candidate", "domain-or-encyclopedic-candidate"] and r.e == "Hà Nội; Huế"
+
+
+def test_han_index_and_search(spark):
+    c = spark.createDataFrame([("u+1", "水", 85, 4, ["thuỷ"], "water"), ("u+2", "字", 39, 6, ["tự"], None), ("u+3", "一", 1, None, ["nhất"], "one")], "id string, character string, radical int, total_strokes int, readings array<string>, meaning string")
+    assert [r.character for r in layers.han_index(c).collect()] == ["一", "水", "字"]
+    assert [r.character for r in layers.search_han(c, "").collect()] == ["一", "水"]
+    assert [r.character for r in layers.search_han(c, "Wat").collect()] == ["水"]
+    assert [r.character for r in layers.search_han(c, "tự").collect()] == ["字"]

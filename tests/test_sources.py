@@ -204,3 +204,18 @@ def test_stream(spark, tmp_path):
     q = ingest.headwords(ingest.entries(spark, str(folder), 1)).writeStream.outputMode("complete").format("memory").queryName("heads").trigger(availableNow=True).start()
     q.awaitTermination()
     assert rows(spark.table("heads"), "headword", "entries", "senses", "with_ipa") == [("w0", 1, 1, 1), ("w1", 1, 1, 1), ("w2", 1, 1, 1), ("đi", 6, 6, 6)]
+
+
+def test_folders(spark, tmp_path):
+    (tmp_path / "w").mkdir()
+    write(tmp_path / "w" / "a.json", '[{"id": "a"}, {"id": "á"}]')
+    write(tmp_path / "w" / "b.json", '[{"id": "b"}]')
+    assert readers.json_arrays(spark, str(tmp_path / "w"), "id string").count() == 3
+    assert readers.document(spark, str(tmp_path / "none.json"), "id string") is None
+    assert readers.document(spark, write(tmp_path / "d.json", '{"id": "x"}'), "id string") == {"id": "x"}
+    for key in ("a", "b"):
+        folder = tmp_path / "n" / f"source={key}"
+        folder.mkdir(parents=True)
+        write(folder / "words.jsonl", '{"id": "1"}\n\n{"id": "2"}\n')
+    assert readers.per_source(spark, str(tmp_path / "n"), "words.jsonl", "id string").count() == 4
+    assert rows(readers.per_source(spark, str(tmp_path / "n"), "words.jsonl", "id string", ["b"]), "source", "id") == [("b", "1"), ("b", "2")]
