@@ -57,8 +57,15 @@ def sql_tokens(key: str) -> str:
 # --- definitions ---------------------------------------------------------------------------------
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where it comes in fewer parts: a small table is one file,
+    and what is derived from its texts takes long.  A large one stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").where(F.col("text").isNotNull())
+    d = spread(table(spark, sf_dir, "documents").where(F.col("text").isNotNull()))
     return d.select("doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("idx", "meaning"))
 
 
