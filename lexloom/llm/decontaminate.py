@@ -5,8 +5,9 @@ names (capitalised words within a sentence) become typed placeholders, other
 words their lower-case selves.  Windows of tokens are templates; windows of
 documents join those of benchmark items by hash.  For the windows that match,
 the values in the slots are compared: one value of the item has to stand for
-one value of the document throughout, so that a question with other numbers
-or names is found, and a text that is alike by chance is not.
+one value of the document throughout an occurrence, so that a question with
+other numbers or names is found, and a text that is alike by chance is not.  An
+occurrence is the windows at one offset of document and item, or about one.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, stored
@@ -122,7 +123,7 @@ def _unit_hashes() -> np.ndarray:
     return _UNIT_HASHES[0]
 
 
-_FOUND = "id long, hash long, pos int, size int, total int, slots array<long>"
+_FOUND = "id long, hash long, pos int, size int, total int, tokens int, slots array<long>"
 
 
 def _rows(ids: pa.Array, found: list[tuple[np.ndarray, ...]], c: Canonical, n: int) -> pa.RecordBatch:
@@ -145,14 +146,15 @@ def _rows(ids: pa.Array, found: list[tuple[np.ndarray, ...]], c: Canonical, n: i
             pa.array((start - (c.first[row] if len(row) else 0)).astype(np.int32)),
             pa.array(size.astype(np.int32)),
             pa.array(total.astype(np.int32)),
+            pa.array(np.diff(c.first)[row].astype(np.int32)),
             lists,
         ],
-        names=["id", "hash", "pos", "size", "total", "slots"],
+        names=["id", "hash", "pos", "size", "total", "tokens", "slots"],
     )
 
 
 def item_windows(items: DataFrame, id: str, text: str) -> DataFrame:
-    """The windows of every item; ``total`` is how many it has."""
+    """The windows of every item; ``total`` is how many it has, ``tokens`` its tokens."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,6 +208,7 @@ def document_windows(docs: DataFrame, sizes: Sequence[int], known: np.ndarray |
 def matches(docs: DataFrame, items: DataFrame, id: str = "doc_id", item_id: str = "item_id", text: str = "text", most: int = BROADCAST) -> DataFrame:
     """(doc_id, item_id, n_windows, coverage, n_slots, consistency, kind): the items in
     each document; kind is exact, or re-parameterised where a slot's value differs.
+    Figures are those of one occurrence, an exact one if there is any.
 
     Null and empty texts, and items of under ``SHORTEST`` tokens, match
     nothing; rows without an id take no part.  Repeated rows of a document
@@ -219,38 +222,67 @@ def matches(docs: DataFrame, items: DataFrame, id: str = "doc_id", item_id: str
         known = np.unique(wanted.select("hash").toArrow().column(0).to_numpy().view(np.uint64)) if n else np.empty(0, np.uint64)
     seen = document_windows(docs.where(F.col(id).isNotNull()), sizes, known, id, text)
     d = seen.select(F.col("id").alias("doc"), "hash", F.col("slots").alias("doc_slots"), F.col("pos").alias("doc_pos"))
-    i = wanted.select(F.col("id").alias("item"), "hash", "pos", "total", F.col("slots").alias("item_slots"))
-    pairs = d.join(F.broadcast(i) if n <= most // 20 else i, "hash")
-    # the values of each pair of slots, counted; windows without slots have none
-    counted = pairs.groupBy("doc", "item").agg(F.countDistinct("pos").alias("n_windows"), F.first("total").alias("total"))
-    slots = (
-        pairs.where(F.size("item_slots") > 0)
-        .select("doc", "item", F.explode(F.arrays_zip("item_slots", "doc_slots")).alias("s"))
-        .where("s.item_slots <> 0")
-        .groupBy("doc", "item", F.col("s.item_slots").alias("a"), F.col("s.doc_slots").alias("b"))
-        .count()
+    i = wanted.select(F.col("id").alias("item"), "hash", "pos", "total", "tokens", F.col("slots").alias("item_slots"))
+    pairs = (
+        d.join(F.broadcast(i) if n <= most // 20 else i, "hash")
+        .withColumn("shift", F.col("doc_pos") - F.col("pos"))
+        # all that follows is by document and item: one shuffle, one scan of the documents
+        .repartition("doc", "item")
+    )
+    # what each pair says: its window, and the values in its slots
+    says = F.concat(
+        F.array(F.struct(F.lit(False).alias("slot"), F.col("pos").cast("long").alias("a"), F.lit(0).cast("long").alias("b"))),
+        F.transform(
+            F.filter(F.arrays_zip("item_slots", "doc_slots"), lambda x: (x["item_slots"] != 0) & (x["doc_slots"] != 0)),
+            lambda x: F.struct(F.lit(True).alias("slot"), x["item_slots"].alias("a"), x["doc_slots"].alias("b")),
+        ),
+    )
+    said = pairs.select("doc", "item", "total", "tokens", "shift", F.explode(says).alias("s")).groupBy("doc", "item", "total", "tokens", "shift", "s.slot", "s.a", "s.b").count()
+    counted = (
+        said.withColumn("place", F.explode(_places()))
+        .groupBy("doc", "item", "total", "place", "slot", "a", "b")
+        .agg(F.sum("count").alias("count"))
         # one value of the item, one of the document
-        .groupBy("doc", "item", "a")
-        .agg(F.max("count").alias("best"), F.sum("count").alias("all"), F.max((F.col("a") != F.col("b")).cast("int")).alias("changed"))
+        .groupBy("doc", "item", "total", "place", "slot", "a")
+        .agg(F.max("count").alias("best"), F.sum("count").alias("all"), F.max(F.col("a") != F.col("b")).alias("changed"))
+        .groupBy("doc", "item", "total", "place")
+        .agg(
+            F.count_if(~F.col("slot")).alias("n_windows"),
+            F.count_if("slot").alias("n_slots"),
+            F.coalesce(F.sum(F.when(F.col("slot"), F.col("best"))) / F.sum(F.when(F.col("slot"), F.col("all"))), F.lit(1.0)).alias("consistency"),
+            F.coalesce(F.max(F.when(F.col("slot"), F.col("changed"))), F.lit(False)).alias("changed"),
+        )
+    )
+    found = (
+        counted.where((F.col("n_windows") >= F.least(F.lit(LEAST), "total")) & (F.col("n_windows") >= COVERAGE * F.col("total")))
+        .where(F.col("consistency") >= CONSISTENT)
+        # an exact occurrence before others, then the one with most windows
         .groupBy("doc", "item")
-        .agg(F.count("*").alias("n_slots"), (F.sum("best") / F.sum("all")).alias("consistency"), F.max("changed").alias("changed"))
+        .agg(F.max(F.struct(~F.col("changed"), "n_windows", "consistency", "n_slots", "total")).alias("x"))
     )
-    return (
-        counted.join(slots, ["doc", "item"], "left")
-        .where((F.col("n_windows") >= F.least(F.lit(LEAST), "total")) & (F.col("n_windows") >= COVERAGE * F.col("total")))
-        .where(F.coalesce("consistency", F.lit(1.0)) >= CONSISTENT)
-        .select(
-            F.col("doc").alias(id),
-            F.col("item").alias(item_id),
-            "n_windows",
-            F.round(F.col("n_windows") / F.col("total"), 4).alias("coverage"),
-            F.coalesce("n_slots", F.lit(0)).alias("n_slots"),
-            F.coalesce("consistency", F.lit(1.0)).alias("consistency"),
-            F.when(F.col("changed") == 1, "re-parameterised").otherwise("exact").alias("kind"),
-        )
+    return found.select(
+        F.col("doc").alias(id),
+        F.col("item").alias(item_id),
+        "x.n_windows",
+        F.round(F.col("x.n_windows") / F.col("x.total"), 4).alias("coverage"),
+        "x.n_slots",
+        "x.consistency",
+        F.when(F.col("x.col1"), "exact").otherwise("re-parameterised").alias("kind"),
     )
 
 
+def _places() -> Column:
+    """The places of a pair of windows that may be one occurrence of the item, as (how, at).
+
+    All pairs at one offset are one; so are those at about one offset, as words
+    may be put in or left out (two rows of ranges, half an item wide and half of
+    that apart); and so is the whole document, whose copy may be in pieces.
+    """
+    half = F.greatest(F.col("tokens") / 2, F.lit(1))
+    ways = [F.lit(0), F.col("shift"), F.floor(F.col("shift") / half), F.floor(F.col("shift") / half + 0.5)]
+    return F.array(*[F.struct(F.lit(how).alias("how"), at.cast("long").alias("at")) for how, at in enumerate(ways)])
+
+
 def drop_contaminated(docs: DataFrame, items: DataFrame, id: str = "doc_id") -> DataFrame:
     """``docs`` without the documents that hold an item; columns stay."""
     return docs.join(matches(docs, items).select(id).distinct(), id, "left_anti").select(docs.columns)

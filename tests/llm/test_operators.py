@@ -367,6 +367,18 @@ def test_inconsistent_slots_are_no_match(spark):
     assert got == {2}
 
 
+def test_each_occurrence_is_judged_alone(spark):
+    item = "Tom has 12 apples and buys 30 kg of flour from the market near Paris today, so how many apples has Tom?"
+    other = "Ann has 7 apples and buys 45 kg of flour from the market near Berlin today, so how many apples has Ann?"
+    third = "Eve has 8 apples and buys 61 kg of flour from the market near Madrid today, so how many apples has Eve?"
+    steps = " ".join(f"then we take the {a} and add it to the {b} to get the next sum." for a, b in [(3, 4), (7, 9), (16, 2), (18, 5)])
+    longer = third.replace("flour from", "very fine flour from")
+    items = spark.createDataFrame([(1, item), (2, steps)], "item_id long, text string")
+    rows = [(1, f"{item} {other} {third}"), (2, f"{other} {third}"), (3, "As it was. " + steps), (4, f"{other} {longer}")]
+    got = {(r.doc_id, r.item_id): r.kind for r in decontaminate.matches(docs(spark, rows), items).collect()}
+    assert got == {(1, 1): "exact", (2, 1): "re-parameterised", (3, 2): "exact", (4, 1): "re-parameterised"}
+
+
 # --- op8 -------------------------------------------------------------------------------------------
 
 
