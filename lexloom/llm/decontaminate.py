@@ -8,16 +8,19 @@ the values in the slots are compared: one value of the item has to stand for
 one value of the document throughout an occurrence, so that a question with
 other numbers or names is found, and a text that is alike by chance is not.  An
 occurrence is the windows at one offset of document and item, or about one.
+Windows of little but placeholders, as in arithmetic, tables and lists of
+names, join by their words with the values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, stored
@@ -25,10 +28,13 @@ from .tokens import Words, groups, hashes, mix, separators, spans
 
 #: Tokens of a window; a shorter item is one window, of ``SHORTEST`` tokens at least.
 WINDOW, SHORTEST = 8, 3
-#: A window needs so many tokens that aren't placeholders.
+#: A template needs so many tokens that aren't placeholders; a window of fewer
+#: (or just so many) is compared with the values in its slots.
 LITERALS = 3
 #: An item is in a document if so many of its windows are, and this part of them.
 LEAST, COVERAGE = 3, 0.3
+#: Or so many windows in a row, whatever part of the item they are: 32 tokens.
+RUN = 25
 #: Part of the slots that has to be consistent.
 CONSISTENT = 0.75
 #: Windows of items that are broadcast at most; more are joined by shuffle.
@@ -99,17 +105,23 @@ class Canonical:
         self.value = np.where(slot[kept], value | np.uint64(1), np.uint64(0))
         self.first = np.searchsorted(self.row, np.arange(len(texts) + 1))
 
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """(start, hash) of the windows of ``size`` tokens with enough that aren't placeholders."""
+    def windows(self, size: int, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(start, hash) of the windows of ``size`` tokens with enough that aren't placeholders.
+
+        With ``exact``, of those with too few or just enough of them, by their
+        words: the first word of a text may be a name elsewhere, so the two overlap.
+        """
         n = len(self.token)
         if n < size:
             return np.empty(0, np.int64), np.empty(0, np.uint64)
         start = np.flatnonzero(self.row[size - 1 :] == self.row[: n - size + 1])
         literal = np.concatenate([[0], np.cumsum(self.value == 0)])
-        start = start[literal[start + size] - literal[start] >= min(LITERALS, size)]
-        h = np.full(len(start), np.uint64(size))
+        literal = literal[start + size] - literal[start]
+        start = start[literal <= LITERALS] if exact else start[literal >= min(LITERALS, size)]
+        token = np.where(self.value != 0, self.value, self.token) | np.uint64(1) if exact else self.token
+        h = np.full(len(start), np.uint64(size + 2 * WINDOW * exact))
         for j in range(size):
-            h = h * _STEP + self.token[start + j]
+            h = h * _STEP + token[start + j]
         return start, mix(h)
 
 
@@ -123,12 +135,12 @@ def _unit_hashes() -> np.ndarray:
     return _UNIT_HASHES[0]
 
 
-_FOUND = "id long, hash long, pos int, size int, total int, tokens int, slots array<long>"
+_FOUND = "id long, hash long, pos int, size int, total int, tokens int, exact boolean, slots array<long>"
 
 
 def _rows(ids: pa.Array, found: list[tuple[np.ndarray, ...]], c: Canonical, n: int) -> pa.RecordBatch:
-    """Windows as rows of ``_FOUND``: (start, hash, size, total) of each."""
-    start, h, size, total = (np.concatenate([x[i] for x in found]) if found else np.empty(0, np.int64) for i in range(4))
+    """Windows as rows of ``_FOUND``: (start, hash, size, total, exact) of each."""
+    start, h, size, total, exact = (np.concatenate([x[i] for x in found]) if found else np.empty(0, np.int64) for i in range(5))
     width = int(size.max()) if len(size) else 0
     slots = np.zeros((len(start), width), np.uint64)
     for j in range(width):
@@ -147,14 +159,15 @@ def _rows(ids: pa.Array, found: list[tuple[np.ndarray, ...]], c: Canonical, n: i
             pa.array(size.astype(np.int32)),
             pa.array(total.astype(np.int32)),
             pa.array(np.diff(c.first)[row].astype(np.int32)),
+            pa.array(exact.astype(bool)),
             lists,
         ],
-        names=["id", "hash", "pos", "size", "total", "tokens", "slots"],
+        names=["id", "hash", "pos", "size", "total", "tokens", "exact", "slots"],
     )
 
 
 def item_windows(items: DataFrame, id: str, text: str) -> DataFrame:
-    """The windows of every item; ``total`` is how many it has, ``tokens`` its tokens."""
+    """The windows of every item; ``total`` is how many templates it has, ``tokens`` its tokens."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,12 +177,15 @@ def item_windows(items: DataFrame, id: str, text: str) -> DataFrame:
                 count = np.diff(c.first)
                 found = []
                 for size in range(SHORTEST, WINDOW + 1):
-                    start, h = c.windows(size)
-                    own = count[c.row[start]]
-                    mine = own == size if size < WINDOW else own >= size
-                    start, h = start[mine], h[mine]
-                    total = np.bincount(c.row[start], minlength=high - low)[c.row[start]]
-                    found.append((start, h, np.full(len(start), size), total))
+                    templates = np.zeros(high - low, np.int64)
+                    for exact in (False, True):
+                        start, h = c.windows(size, exact)
+                        own = count[c.row[start]]
+                        mine = own == size if size < WINDOW else own >= size
+                        start, h = start[mine], h[mine]
+                        if not exact:
+                            templates = np.bincount(c.row[start], minlength=high - low)
+                        found.append((start, h, np.full(len(start), size), templates[c.row[start]], np.full(len(start), exact)))
                 yield _rows(batch.column(0).slice(low, high - low), found, c, high - low)
 
     return arrow_map(items.select(F.col(id).cast("long"), F.col(text)), work, _FOUND)
@@ -191,14 +207,14 @@ def document_windows(docs: DataFrame, sizes: Sequence[int], known: np.ndarray |
             for low, high in groups(texts):
                 c = Canonical(texts[low:high])
                 found = []
-                for size in sizes:
-                    start, h = c.windows(size)
+                for size, exact in product(sizes, (False, True)):
+                    start, h = c.windows(size, exact)
                     if keys is not None:
                         near = np.flatnonzero(bits[h >> np.uint64(42)])
                         at = np.minimum(np.searchsorted(keys, h[near]), max(0, len(keys) - 1))
                         near = near[keys[at] == h[near]] if len(keys) else near[:0]
                         start, h = start[near], h[near]
-                    found.append((start, h, np.full(len(start), size), np.zeros(len(start), np.int64)))
+                    found.append((start, h, np.full(len(start), size), np.zeros(len(start), np.int64), np.full(len(start), exact)))
                 if sum(len(x[0]) for x in found):
                     yield _rows(batch.column(0).slice(low, high - low), found, c, high - low)
 
@@ -222,65 +238,85 @@ def matches(docs: DataFrame, items: DataFrame, id: str = "doc_id", item_id: str
         known = np.unique(wanted.select("hash").toArrow().column(0).to_numpy().view(np.uint64)) if n else np.empty(0, np.uint64)
     seen = document_windows(docs.where(F.col(id).isNotNull()), sizes, known, id, text)
     d = seen.select(F.col("id").alias("doc"), "hash", F.col("slots").alias("doc_slots"), F.col("pos").alias("doc_pos"))
-    i = wanted.select(F.col("id").alias("item"), "hash", "pos", "total", "tokens", F.col("slots").alias("item_slots"))
+    i = wanted.select(F.col("id").alias("item"), "hash", "pos", "total", "tokens", (F.col("tokens") - F.col("size") + 1).alias("all_windows"), "exact", F.col("slots").alias("item_slots"))
     pairs = (
         d.join(F.broadcast(i) if n <= most // 20 else i, "hash")
         .withColumn("shift", F.col("doc_pos") - F.col("pos"))
         # all that follows is by document and item: one shuffle, one scan of the documents
         .repartition("doc", "item")
+        # a run is one value of pos less its rank at the same offset
+        .withColumn("run", F.col("pos") - F.dense_rank().over(Window.partitionBy("doc", "item", "shift").orderBy("pos")))
     )
     # what each pair says: its window, and the values in its slots
     says = F.concat(
-        F.array(F.struct(F.lit(False).alias("slot"), F.col("pos").cast("long").alias("a"), F.lit(0).cast("long").alias("b"))),
+        F.array(F.struct(F.lit(False).alias("slot"), F.col("pos").cast("long").alias("a"), (~F.col("exact")).cast("long").alias("b"))),
         F.transform(
             F.filter(F.arrays_zip("item_slots", "doc_slots"), lambda x: (x["item_slots"] != 0) & (x["doc_slots"] != 0)),
             lambda x: F.struct(F.lit(True).alias("slot"), x["item_slots"].alias("a"), x["doc_slots"].alias("b")),
         ),
     )
-    said = pairs.select("doc", "item", "total", "tokens", "shift", F.explode(says).alias("s")).groupBy("doc", "item", "total", "tokens", "shift", "s.slot", "s.a", "s.b").count()
+    keys = ["doc", "item", "total", "all_windows"]
+    said = pairs.select(*keys, "tokens", "shift", "run", F.explode(says).alias("s")).groupBy(*keys, "tokens", "shift", "run", "s.slot", "s.a", "s.b").count()
     counted = (
         said.withColumn("place", F.explode(_places()))
-        .groupBy("doc", "item", "total", "place", "slot", "a", "b")
+        .groupBy(*keys, "place", "slot", "a", "b")
         .agg(F.sum("count").alias("count"))
         # one value of the item, one of the document
-        .groupBy("doc", "item", "total", "place", "slot", "a")
-        .agg(F.max("count").alias("best"), F.sum("count").alias("all"), F.max(F.col("a") != F.col("b")).alias("changed"))
-        .groupBy("doc", "item", "total", "place")
+        .groupBy(*keys, "place", "slot", "a")
+        .agg(F.max("count").alias("best"), F.sum("count").alias("all"), F.max(F.col("a") != F.col("b")).alias("changed"), F.max("b").alias("template"))
+        .groupBy(*keys, "place")
         .agg(
             F.count_if(~F.col("slot")).alias("n_windows"),
+            F.count_if(~F.col("slot") & (F.col("template") == 1)).alias("n_templates"),
             F.count_if("slot").alias("n_slots"),
             F.coalesce(F.sum(F.when(F.col("slot"), F.col("best"))) / F.sum(F.when(F.col("slot"), F.col("all"))), F.lit(1.0)).alias("consistency"),
             F.coalesce(F.max(F.when(F.col("slot"), F.col("changed"))), F.lit(False)).alias("changed"),
         )
     )
+
+    def enough(n: str, of: str) -> Column:
+        return (F.col(n) >= F.least(F.lit(LEAST), of)) & (F.col(n) >= COVERAGE * F.col(of))
+
     found = (
-        counted.where((F.col("n_windows") >= F.least(F.lit(LEAST), "total")) & (F.col("n_windows") >= COVERAGE * F.col("total")))
+        counted.where(
+            # so much of the templates, whose values may differ, or of all windows, or a long run
+            F.when(F.col("place.how") == RUNS, F.col("n_windows") >= RUN).otherwise(
+                enough("n_templates", "total") & (F.col("total") > 0) | enough("n_windows", "all_windows")
+            )
+        )
         .where(F.col("consistency") >= CONSISTENT)
         # an exact occurrence before others, then the one with most windows
         .groupBy("doc", "item")
-        .agg(F.max(F.struct(~F.col("changed"), "n_windows", "consistency", "n_slots", "total")).alias("x"))
+        .agg(F.max(F.struct(~F.col("changed"), "n_windows", "consistency", "n_slots", "all_windows")).alias("x"))
     )
     return found.select(
         F.col("doc").alias(id),
         F.col("item").alias(item_id),
         "x.n_windows",
-        F.round(F.col("x.n_windows") / F.col("x.total"), 4).alias("coverage"),
+        F.round(F.col("x.n_windows") / F.col("x.all_windows"), 4).alias("coverage"),
         "x.n_slots",
         "x.consistency",
         F.when(F.col("x.col1"), "exact").otherwise("re-parameterised").alias("kind"),
     )
 
 
+#: The last way of ``_places``.
+RUNS = 4
+
+
 def _places() -> Column:
-    """The places of a pair of windows that may be one occurrence of the item, as (how, at).
+    """The places of a pair of windows that may be one occurrence of the item, as (how, at, run).
 
     All pairs at one offset are one; so are those at about one offset, as words
     may be put in or left out (two rows of ranges, half an item wide and half of
-    that apart); and so is the whole document, whose copy may be in pieces.
+    that apart); and so is the whole document, whose copy may be in pieces.  The
+    last way is a run of windows, which counts by its length alone.
     """
     half = F.greatest(F.col("tokens") / 2, F.lit(1))
-    ways = [F.lit(0), F.col("shift"), F.floor(F.col("shift") / half), F.floor(F.col("shift") / half + 0.5)]
-    return F.array(*[F.struct(F.lit(how).alias("how"), at.cast("long").alias("at")) for how, at in enumerate(ways)])
+    ways = [F.lit(0), F.col("shift"), F.floor(F.col("shift") / half), F.floor(F.col("shift") / half + 0.5), F.col("shift")]
+    return F.array(
+        *[F.struct(F.lit(how).alias("how"), at.cast("long").alias("at"), (F.col("run") if how == RUNS else F.lit(0)).cast("long").alias("run")) for how, at in enumerate(ways)]
+    )
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id: str = "doc_id") -> DataFrame:

@@ -379,6 +379,24 @@ def test_each_occurrence_is_judged_alone(spark):
     assert got == {(1, 1): "exact", (2, 1): "re-parameterised", (3, 2): "exact", (4, 1): "re-parameterised"}
 
 
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_low_literals_and_long_runs(spark, most):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(300)]
+    table = " ".join(str(rng.randrange(1000)) for _ in range(40))
+    items = spark.createDataFrame([(1, "What is 17 + 25?"), (2, table), (3, " ".join(words))], "item_id long, text string")
+    rows = [
+        (1, "The test asks: What is 17 + 25? Think."),
+        (2, "The test asks: What is 18 + 25? Think."),
+        (3, f"Rows of it follow here {table} and so on"),
+        (4, "Rows of it follow here " + " ".join(reversed(table.split()))),
+        (5, "so it says " + " ".join(words[100:160]) + " and no more"),
+        (6, "so it says " + " ".join(words[100:112]) + " and no more"),
+    ]
+    got = {(r.doc_id, r.item_id): r.kind for r in decontaminate.matches(docs(spark, rows), items, most=most).collect()}
+    assert got == {(1, 1): "exact", (3, 2): "exact", (5, 3): "exact"}
+
+
 # --- op8 -------------------------------------------------------------------------------------------
 
 
