@@ -10,7 +10,9 @@ adjusted by links,
 with b for the body.  The sum of its children's densities tells how much dense
 text hangs directly on a node; the node with the greatest sum holds the main
 text.  The least density on the path from it to the body is the threshold
-below which a child that is mostly links is left out.
+below which a child that is mostly links is left out.  Where no article or main
+holds that node, the text is taken from the body down: beside the path, the
+children whose density comes near the threshold belong to it too, in page order.
 """
 
 from __future__ import annotations
@@ -66,6 +68,9 @@ CLOSES = {
 }
 #: Share of link characters from which a child below the threshold is left out.
 LINKS = 0.5
+#: Part of the threshold that a part beside the path has to reach: of parts alike, a smaller one is less dense.
+BESIDE = 0.5
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
 
 class _Node:
@@ -232,6 +237,24 @@ def _measure(root: _Node) -> list[_Node]:
     return order
 
 
+def _dense(node: _Node, path: set[_Node], whole: _Node, threshold: float) -> list:
+    """The children of a node of the path that belong to the text, a heading with what follows it."""
+    kept, wanted = [], False
+    for x in reversed(node.children):
+        if not isinstance(x, _Node):
+            kept.append(x)  # loose text is no child that could be weighed
+            continue
+        text = (x.chars if x.tag == "a" else x.link_chars) <= LINKS * x.chars
+        if x.tag in HEADINGS:
+            keep = wanted and text
+        else:
+            keep = x in path or x is whole or text and (not x.block or x.density >= BESIDE * threshold)
+            if x.chars:
+                wanted = keep
+        kept.append(x if keep else None)
+    return kept[::-1]
+
+
 def extract(page: str | None) -> str:
     """The main text of ``page``; empty for null, empty or textless pages.
 
@@ -257,6 +280,13 @@ def extract(page: str | None) -> str:
         if x.tag in ("article", "main") or not top.block:
             top = x
         x = x.parent
+    path: set[_Node] = set()
+    whole = top
+    if top.tag not in ("article", "main"):
+        x = top.parent
+        while x is not None:
+            path.add(x)
+            top, x = x, x.parent
     blocks: list[str] = []
     line: list[str] = []
 
@@ -280,7 +310,7 @@ def extract(page: str | None) -> str:
             if x.block:
                 flush()
                 todo.append(None)
-            todo.extend(reversed(x.children))
+            todo.extend(reversed(_dense(x, path, whole, threshold) if x in path else x.children))
     flush()
     return "\n".join(blocks)
 

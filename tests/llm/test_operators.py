@@ -43,6 +43,21 @@ def test_extract_without_article():
     assert html_extract.extract(page) == "First long paragraph of the text.\nSecond long paragraph of it."
 
 
+def test_extract_several_parts():
+    def part(k, n, size):
+        return "".join(f"<p>{k}.{i} {'some words ' * size}</p>" for i in range(n))
+
+    menu = "<div>" + "".join(f"<a href={i}>Item {i}</a> " for i in range(9)) + "</div>"
+    for sizes in ([(5, 30)] * 3, [(10, 30)] * 3, [(3, 25), (8, 30), (4, 20)]):
+        parts = [part(k, *x) for k, x in enumerate(sizes)]
+        page = f"<body>{menu}<div>" + "".join(f"<section><h2>Part {k}</h2>{x}</section>" for k, x in enumerate(parts)) + f"</div>{menu}</body>"
+        got = html_extract.extract(page)
+        assert [x.split()[0] for x in got.split("\n") if x[0].isdigit()] == [f"{k}.{i}" for k, (n, _) in enumerate(sizes) for i in range(n)]
+        assert "Item" not in got and all(f"Part {k}" in got for k in range(3))
+        flat = "<body>" + menu + "".join(f"<h2>Part {k}</h2><div>{x}</div>" for k, x in enumerate(parts)) + menu + "</body>"
+        assert html_extract.extract(flat) == got
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<!-- open", "<script>x", "<div class='ad'>only</div>", "</p></div>"])
 def test_extract_odd(page):
     assert isinstance(html_extract.extract(page), str)
