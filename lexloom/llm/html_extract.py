@@ -32,7 +32,7 @@ _TOKEN = re.compile(
     r"""<!--.*?(?:--\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|</?[a-zA-Z!?/][^>]*(?:>|\Z)""",
     re.S,
 )
-_NAMES = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?""")
 _WORD = re.compile(r"[a-z]+")
 
 #: Elements of HTML by their role.
@@ -54,6 +54,11 @@ NOISE = frozenset(
     " notification pager pagination popup privacy promo promoted promotion recommended related replies respond share sharing sidebar signup"
     " skip social sponsor sponsored subscribe subscription tags toolbar topbar widget".split()
 )
+#: Words that say where or how a part is, and don't change what it is.
+PLACES = frozenset(
+    "area bar block bottom box center container content global group header inner item left links list main outer page post primary right row secondary"
+    " section site top wrap wrapper".split()
+)
 REMARKS = frozenset("comment commentlist comments discussion disqus replies respond".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 #: Elements that an opening tag closes, and where the search for them ends.
@@ -84,11 +89,25 @@ class _Node:
         self.density = self.total = 0.0
 
 
-def _noise(tag: str, attributes: str, inside: bool) -> bool:
+def _noisy(names: str) -> bool:
+    """Whether one of the classes (or ids) names furniture: all of its words do, or say where it is."""
+    for name in names.split():
+        words = _WORD.findall(name)
+        if not NOISE.isdisjoint(words) and all(x in NOISE or x in PLACES for x in words):
+            return True
+    return False
+
+
+def _noise(tag: str, attributes: str, inside: bool, named: bool = True) -> bool:
+    """Whether a part is never main text; without ``named``, classes and ids don't tell.
+
+    Inside an article, ids are anchors of its parts, and a heading is
+    one whatever its names: there density and links decide.
+    """
     if tag in NEVER or tag == "header" and not inside:
         return True
     if attributes:
-        for name, value in _NAMES.findall(attributes):
+        for name, value in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'").lower()
             if name == "role":
                 if value in ROLES:
@@ -102,13 +121,14 @@ def _noise(tag: str, attributes: str, inside: bool) -> bool:
             elif name == "style":
                 if "none" in value and re.search(r"display\s*:\s*none", value):
                     return True
-            elif tag not in ("body", "html", "main") and not NOISE.isdisjoint(_WORD.findall(value)):
-                return True
+            elif name in ("class", "id") and named and tag not in ("body", "html", "main"):
+                if not (inside and (name == "id" or tag in HEADINGS)) and _noisy(value):
+                    return True
     return False
 
 
-def parse(page: str) -> _Node:
-    """The tree of ``page`` without noise; a broken page gives a tree all the same."""
+def parse(page: str, named: bool = True) -> _Node:
+    """The tree of ``page`` without noise (that which classes and ids name only if ``named``); a broken page gives a tree all the same."""
     root = _Node("html", None)
     stack = [root]
     # tags that were opened within noise; its first one is the noise itself
@@ -163,7 +183,7 @@ def parse(page: str) -> _Node:
                 at = raw.end() if raw else len(page)
                 continue
             else:
-                if (tag == "main" or tag == "article" and noise[0] not in ("aside", "form") and not inside and not remarks) and not _noise(tag, attributes, False):
+                if (tag == "main" or tag == "article" and noise[0] not in ("aside", "form") and not inside and not remarks) and not _noise(tag, attributes, False, named):
                     noise.clear()  # an unclosed part doesn't take the article with it
                 elif tag == "body":
                     noise.clear()
@@ -195,7 +215,7 @@ def parse(page: str) -> _Node:
         if tag in ("html", "body"):
             continue
         opened(tag)
-        if _noise(tag, attributes, inside > 0):
+        if _noise(tag, attributes, inside > 0, named):
             if not attributes.endswith("/"):
                 noise.append(tag)
                 remarks = not REMARKS.isdisjoint(_WORD.findall(attributes.lower()))
@@ -265,6 +285,10 @@ def extract(page: str | None) -> str:
         return ""
     root = parse(page)
     order = _measure(root)
+    if not root.chars:
+        # a name took the wrapper of all the page
+        root = parse(page, named=False)
+        order = _measure(root)
     if not root.chars:
         return ""
     best = max(order, key=lambda x: x.total)

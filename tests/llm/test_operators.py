@@ -58,6 +58,18 @@ def test_extract_several_parts():
         assert html_extract.extract(flat) == got
 
 
+@pytest.mark.parametrize("name", ["class='page has-sidebar'", "class='no-comments'", "id=with-banner", "class='widget'", "data-x='hidden id=ad'", "title='a hidden gem'"])
+def test_names_of_wrappers(name):
+    page = f"<body><div {name}><p>First long paragraph of the text.</p><p>Second <a href='/the-hidden-valley/'>long</a> <span title='a hidden gem'>paragraph</span> of it.</p></div></body>"
+    assert html_extract.extract(page) == "First long paragraph of the text.\nSecond long paragraph of it."
+
+
+def test_names_of_parts_of_an_article():
+    text = "<h2 id='privacy'>On privacy</h2><p id='related-work'>Other work on it is old.</p><section id='discussion'><p>We discuss the results at length.</p></section>"
+    page = f"<body><div class='site-footer'><p>Imprint and more of it</p></div><article>{text}<div class='ad'>Buy</div><div class='cookie-notice'>Eat</div></article></body>"
+    assert html_extract.extract(page) == "On privacy\nOther work on it is old.\nWe discuss the results at length."
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<!-- open", "<script>x", "<div class='ad'>only</div>", "</p></div>"])
 def test_extract_odd(page):
     assert isinstance(html_extract.extract(page), str)
