@@ -34,12 +34,24 @@ from .common import arrow_map
 @dataclass(frozen=True)
 class Rule:
     """``scan``: what the automaton accepts. ``spans``: leftmost matches of it are
-    the spans; ``least``: bytes that its last group (or the match) needs."""
+    the spans; ``least``: bytes that its last group (or the match) needs; ``rest``:
+    how a span goes on after a match, over line ends too, within its text."""
 
     kind: str
     scan: str
     spans: str
     least: int = 1
+    rest: str = ""
+
+
+#: The rest of a PEM key: to its end mark, or as far as its base64 goes where there is none before
+#: the next key or the end.  Line ends may be escaped, lines quoted or indented.
+_GAP = r"""(?:[\s"'+,;>|#*]|\\[nrt])*"""
+PEM = (
+    r"(?:(?!-----BEGIN )[\s\S])*?-----END [A-Z ]*PRIVATE KEY-----"
+    rf"|(?:{_GAP}(?:Proc-Type|DEK-Info|Version|Comment):[^\n\\]*)*(?:{_GAP}(?:\\/|[A-Za-z0-9+/=]){{16,}})*"
+    rf"(?:{_GAP}[A-Za-z0-9+/]+={{1,2}}|(?:[ \t>|#*]*\r?\n|\\n)[ \t>|#*]*[A-Za-z0-9+/]+[ \t]*(?=[\r\n\\]|\Z))?"
+)
 
 
 #: The rules, the three base ones first, in the order of their listing.
@@ -52,7 +64,7 @@ RULES = (
     ),
     Rule("access", r"AKIA[A-Z0-9]{4,}", r"AKIA[A-Z0-9]+", 18),
     Rule("hex", r"[0-9a-f]{8,}", r"[0-9a-f]+", 16),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", rest=PEM),
     Rule("github", r"gh[oprsu]_[A-Za-z0-9]{4,}", r"gh[oprsu]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{4,}", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{4,}\.eyJ", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
@@ -311,6 +323,7 @@ def spans_of(texts: Sequence[str], rules: tuple[Rule, ...] = RULES, a: Automaton
     """For texts with secrets: their index, and (start, rule, end) in code points, sorted."""
     a = a or automaton(rules)
     patterns = [re.compile(r.spans.encode()) for r in rules]
+    rests = [re.compile(r.rest.encode()) if r.rest else None for r in rules]
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     joined = b"\n".join(raw) + b"\n"
     if not a.resets[:, a.classes_of[10]].all():
@@ -337,7 +350,9 @@ def spans_of(texts: Sequence[str], rules: tuple[Rule, ...] = RULES, a: Automaton
                 for m in patterns[i].finditer(joined, low, high):
                     part = m.lastindex or 0
                     if m.end(part) - m.start(part) >= r.least:
-                        found.setdefault(row, []).append((m.start() - int(begins[row]), i, m.end() - int(begins[row])))
+                        # a rest may go on beyond the stretch, as resets are at line ends too
+                        rest = rests[i] and rests[i].match(joined, m.end(), int(begins[row + 1]) - 1)
+                        found.setdefault(row, []).append((m.start() - int(begins[row]), i, (rest or m).end() - int(begins[row])))
     out = {}
     for row, spans in found.items():
         if len(raw[row]) != len(texts[row]):  # bytes to code points

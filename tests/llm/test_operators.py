@@ -326,6 +326,21 @@ def test_scan_and_redact(spark):
     assert secret_scan.scan(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n", "\n    "])
+def test_redact_leaves_nothing_of_a_key(spark, end):
+    rng = random.Random(3)
+    lines = ["".join(rng.choice("ABCDEFGHabcdefgh0123456789+/") for _ in range(64)) for _ in range(20)] + ["Zq9xY+w="]
+    begin, stop = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    head = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0011", ""]
+    whole, locked, cut = [begin, *lines, stop], [begin, *head, *lines, stop], [begin, *lines]
+    texts = [f"é before\n{end.join(x)}\nafter it all" for x in (whole, locked, cut)] + [f"two {end.join(cut)}\nand {end.join(whole)}\nafter it all"]
+    got = {r.doc_id: r.text for r in secret_scan.redact(docs(spark, list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(3)] == ["é before\n[private_key]\nafter it all"] * 3
+    assert got[3] == "two [private_key]\nand [private_key]\nafter it all"
+    spans = secret_scan.spans_of(["a", texts[0], "b"])
+    assert list(spans) == [1] and texts[1 - 1][9 : max(e for _, _, e in spans[1])].endswith(stop)
+
+
 def test_automaton_is_minimal():
     a = secret_scan.compile_rules(["ab", "cab"])
     assert a.states == len(np.unique(a.table.reshape(a.states, -1), axis=0)) or a.states <= 6
