@@ -124,6 +124,13 @@ def test_policy(spark):
     assert verdicts["chunom_standard"] == "documented-with-rollback" and verdicts["unicode_unihan"] == "ready"
 
 
+def test_sheets_hold_all_rows(spark):
+    assert sinks.csv_with_bom(spark.range(100_003)).count("\r\n") == 100_004
+    assert sinks.markdown(spark.range(3), most=3).count("\n") == 5
+    with pytest.raises(ValueError):
+        sinks.markdown(spark.range(1001))
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("áo", 1), ("bà", 2), ("字", 3)], "w string, n int")
     counts = sinks.bucketed(df, F.substring("w", 1, 1), str(tmp_path / "b"))
