@@ -348,6 +348,21 @@ def stratified_top50(s, d):
     return evaluate.top_by_hash(rows, ["dimension", "bucket"], "cluster_id", 50).select("dimension", "bucket", "cluster_id")
 
 
+@query(
+    f"WITH {M.CLUSTERS_SQL}, x AS (SELECT cluster_id, unnest(['by-status', 'by-source', 'by-confidence-tier', 'by-length']) AS dimension, unnest([status, source, {_TIER}, "
+    "CASE WHEN length(meaning) < 40 THEN 'short-under-40' WHEN length(meaning) < 120 THEN 'medium-40-119' WHEN length(meaning) < 300 THEN 'long-120-299' ELSE 'very-long-300-plus' END]) AS bucket FROM clusters) "
+    "SELECT dimension, bucket, cluster_id FROM (SELECT *, row_number() OVER (PARTITION BY dimension, bucket ORDER BY sha256(dimension || ':' || bucket || ':' || cluster_id), cluster_id) AS r FROM x) WHERE r <= 50"
+)
+def stratified_dimensions(s, d):
+    size = F.length("canonical.meaning")
+    bucket = F.when(size < 40, "short-under-40").when(size < 120, "medium-40-119").when(size < 300, "long-120-299").otherwise("very-long-300-plus")
+    names = ["by-status", "by-source", "by-confidence-tier", "by-length"]
+    of = [F.col("status"), F.col("canonical.source"), F.col("tier"), bucket]
+    c = senses.clusters(M.facts(s, d)).select("cluster_id", *[x.alias(n) for n, x in zip(names, of)])
+    rows = c.unpivot("cluster_id", names, "dimension", "bucket")
+    return evaluate.top_by_hash(rows, ["dimension", "bucket"], "cluster_id", 50).select("dimension", "bucket", "cluster_id")
+
+
 _QUOTAS = {"1.00": 150, "0.98-0.9999": 1, "0.94-0.9799": 200, "0.90-0.9399": 200, "0.82-0.8999": 249}
 
 
