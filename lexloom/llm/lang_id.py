@@ -12,12 +12,12 @@ probabilities are the mean over its windows, weighted by their bytes.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +28,8 @@ WINDOW = 256
 #: Bounds of the training sample: labelled rows, bytes read of each, windows of each.
 SAMPLE, LONGEST, EACH = 4000, 65_536, 2
 WIDTHS, FILTERS, EMBED = (2, 3, 4), 16, 8
-_LETTER = re.compile(r"[^\W\d_]")
+#: A letter by Unicode's categories: numbers such as ², ½ and Ⅷ are none.
+_LETTER = regex.compile(r"\p{L}")
 
 
 def _symbols() -> np.ndarray:
