@@ -64,12 +64,31 @@ _ENDS = _flags(b".!?:;\n\r\"'()[]-*#|")
 _JOINS = _flags(b".,:/-")
 
 
+def _two_bytes() -> tuple[np.ndarray, np.ndarray]:
+    """Of the characters that UTF-8 writes in two bytes: which are capitals, and their small letters."""
+    chars = [chr(i) for i in range(0x800)]
+    capital = np.array([i >= 0x80 and c.isupper() for i, c in enumerate(chars)])
+    small = np.array([ord(c.lower()) if capital[i] and len(c.lower()) == 1 and 0x80 <= ord(c.lower()) < 0x800 else i for i, c in enumerate(chars)], np.uint16)
+    return capital, small
+
+
+_CAPITAL, _SMALL = _two_bytes()
+
+
+def _point(lead: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """The character of two bytes, or 0 where they are none."""
+    both = (lead >= 0xC2) & (lead < 0xE0) & (after >= 0x80) & (after < 0xC0)
+    return np.where(both, ((lead & 0x1F).astype(np.uint16) << 6) | (after & 0x3F), 0)
+
+
 def lowered(data: np.ndarray) -> np.ndarray:
-    """UTF-8 with A-Z and the capitals of U+00C0 to U+00DE in lower case."""
+    """UTF-8 with the capitals of one or two bytes (Latin, Greek, Cyrillic) in lower case."""
     out = data + (_UPPER[data] * np.uint8(32))
-    if len(out) > 1:
-        after = np.flatnonzero((out[:-1] == 0xC3) & (out[1:] >= 0x80) & (out[1:] <= 0x9E) & (out[1:] != 0x97)) + 1
-        out[after] += np.uint8(32)
+    lead = np.flatnonzero((data[:-1] >= 0xC2) & (data[:-1] < 0xE0)) if len(data) > 1 else np.empty(0, np.int64)
+    point = _point(data[lead], data[lead + 1]) if len(lead) else np.empty(0, np.uint16)
+    own = _CAPITAL[point]
+    lead, small = lead[own], _SMALL[point[own]]
+    out[lead], out[lead + 1] = 0xC0 | (small >> 6), 0x80 | (small & 0x3F)
     return out
 
 
@@ -88,10 +107,13 @@ class Canonical:
         unit = np.zeros(len(s), bool)
         unit[1:] = number[:-1] & ~number[1:] & (words.row[1:] == words.row[:-1]) & (s[1:] - e[:-1] <= 1) & np.isin(h[1:], _unit_hashes())
         # a capital and a small letter, after a space that doesn't follow the end of a sentence
-        second = np.minimum(s + 1, np.maximum(e - 1, 0))
-        capital = _UPPER[data[s]] | ((data[s] == 0xC3) & (data[second] >= 0x80) & (data[second] <= 0x9E)) if len(s) else number
-        third = np.minimum(s + np.where(_UPPER[data[s]], 1, 2), np.maximum(e - 1, 0)) if len(s) else second
-        title = capital & _LOWER[data[third]] & (third > s)
+        last = np.maximum(e - 1, 0)
+        if len(s):
+            wide = _CAPITAL[_point(data[s], data[np.minimum(s + 1, last)])]
+            third = np.minimum(s + np.where(wide, 2, 1), last)
+            title = (_UPPER[data[s]] | wide) & _LOWER[data[third]] & (third > s)
+        else:
+            title = number
         inner = (s >= 2) & (data[np.maximum(s - 1, 0)] == 32) & ~_ENDS[data[np.maximum(s - 2, 0)]]
         begin = words.begins[words.row]
         name = title & inner & (s - 2 >= begin)
@@ -228,10 +250,14 @@ def matches(docs: DataFrame, items: DataFrame, id: str = "doc_id", item_id: str
 
     Null and empty texts, and items of under ``SHORTEST`` tokens, match
     nothing; rows without an id take no part.  Repeated rows of a document
-    count as one document, those of an item as one item.  The windows of items
-    are broadcast if there are at most ``most``, else joined by shuffle.
+    count as one document, those of an item as one item; of an id with several
+    texts each text is an item, and a document has the item if it has one of
+    them.  Other columns are ignored.  The windows of items are broadcast if
+    there are at most ``most``, else joined by shuffle.
     """
-    wanted = stored(item_windows(items.where(F.col(item_id).isNotNull()).dropDuplicates([item_id]), item_id, text), "templates")
+    named = items.where(F.col(item_id).isNotNull() & F.col(text).isNotNull())
+    named = named.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text"), F.xxhash64(F.col(item_id).cast("long"), text).alias("key"))
+    wanted = stored(item_windows(named.dropDuplicates(["key"]), "key", "text"), "templates")
     n, sizes = wanted.count(), sorted(r[0] for r in wanted.select("size").distinct().collect())
     known = None
     if n <= most:
@@ -286,12 +312,13 @@ def matches(docs: DataFrame, items: DataFrame, id: str = "doc_id", item_id: str
         )
         .where(F.col("consistency") >= CONSISTENT)
         # an exact occurrence before others, then the one with most windows
-        .groupBy("doc", "item")
+        .join(named.select(F.col("key").alias("item"), "item_id").distinct(), "item")
+        .groupBy("doc", "item_id")
         .agg(F.max(F.struct(~F.col("changed"), "n_windows", "consistency", "n_slots", "all_windows")).alias("x"))
     )
     return found.select(
         F.col("doc").alias(id),
-        F.col("item").alias(item_id),
+        F.col("item_id").alias(item_id),
         "x.n_windows",
         F.round(F.col("x.n_windows") / F.col("x.all_windows"), 4).alias("coverage"),
         "x.n_slots",
@@ -319,6 +346,14 @@ def _places() -> Column:
     )
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, id: str = "doc_id") -> DataFrame:
-    """``docs`` without the documents that hold an item; columns stay."""
-    return docs.join(matches(docs, items).select(id).distinct(), id, "left_anti").select(docs.columns)
+def drop_contaminated(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the documents that hold an item; columns stay.
+
+    Rows that share an id are one document and go together; a row without an
+    id is judged by its own text.  Null and empty texts stay, and so does
+    everything where there are no items.
+    """
+    key = F.coalesce(F.col(id).cast("long"), F.xxhash64(text, F.lit("no id")))
+    keyed = docs.withColumn("_decontaminated_by", key)
+    found = matches(keyed.select("_decontaminated_by", F.col(text).alias("text")), items.withColumnsRenamed({text: "text"}), "_decontaminated_by")
+    return keyed.join(found.select("_decontaminated_by").distinct(), "_decontaminated_by", "left_anti").select(docs.columns)
