@@ -1,10 +1,12 @@
 """Toxicity by weak supervision.
 
 Voters are lexicons of insults, profanity, threats and slurs in four
-languages, patterns (an address with an insult, a wish of harm) and lexicons of words and stems
-that go with the label in the training rows.  A generative model estimates
-their accuracies and correlations by expectation-maximisation, with a
-person's label as an anchor of known reliability; its posteriors train a hashed linear classifier on
+languages, patterns (an address with an insult, a wish of harm), and lexicons
+mined from training rows: words and stems that go with the label in the other half
+of them.  A generative model estimates the voters' accuracies and correlations
+by expectation-maximisation.  Labels mine lexicons and give the accuracies that
+EM starts from; the posterior of a row comes from its votes alone, so that voters
+can overrule its label.  The posteriors train a hashed linear classifier on
 words and stems, which alone scores documents.
 """
 
@@ -27,8 +29,6 @@ from .weak import Features, LabelModel, LinearScorer, fit_label_model, fit_linea
 SAMPLE, LONGEST = 5000, 8192
 #: A document is toxic from this score on.
 THRESHOLD = 0.3
-#: Log odds that a person's label gives a training row.
-ANCHOR = 7.0
 #: Bytes of the stems that are features.
 STEMS = (3, 4, 5, 6, 8)
 
@@ -129,11 +129,10 @@ def train(texts: Sequence[str], labels: np.ndarray) -> tuple[LinearScorer, Label
         always = bool(len(texts)) and bool(labels.max())
         empty = np.empty(0, np.uint64)
         return LinearScorer(8.0 if always else -8.0, empty, np.empty(0), np.zeros(1 << 20, bool)), None
-    anchor = np.where(labels > 0, ANCHOR, -ANCHOR)
     found = gather(texts)
     cast = votes(texts, found, labels)
-    model = fit_label_model(cast, labels.mean(), anchor)
-    target = model.posterior(cast, anchor)
+    model = fit_label_model(cast, labels.mean(), start=np.where(labels > 0, 0.95, 0.05))
+    target = model.posterior(cast)
     found = [promising(x, target) for x in found]
     both = Features(np.concatenate([x.rows for x in found]), np.concatenate([x.hashes for x in found]))
     return fit_linear(len(texts), both, target), model
@@ -158,15 +157,19 @@ def scores(texts: Sequence[str | None], scorer: LinearScorer) -> np.ndarray:
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> tuple[list[str], np.ndarray]:
     """At most ``sample`` labelled rows that are not held out, those of least hash.
 
-    Of an id with several labels or rows one of each counts; rows without a
-    text, of more than ``longest`` bytes or without a label take no part.
+    Of an id with several labels the greatest counts, of several texts the
+    least; rows without a text, of more than ``longest`` bytes or without a
+    label take no part.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & not_held_out())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     # bounded by ``sample`` ids, whatever the input
     chosen = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     rows = docs.select("doc_id", "text").join(chosen, "doc_id").where(F.octet_length("text") <= longest).select("doc_id", "text", "_toxic").toArrow()
-    got = sorted({d: (t, y) for d, t, y in zip(*(rows.column(i).to_pylist() for i in range(3)))}.items())[: sample]
+    first: dict[int, tuple[str, int]] = {}
+    for d, t, y in zip(*(rows.column(i).to_pylist() for i in range(3))):
+        first[d] = min(first.get(d, (t, y)), (t, y))
+    got = sorted(first.items())[:sample]
     return [t for _, (t, _) in got], np.array([float(y > 0) for _, (_, y) in got])
 
 
@@ -194,12 +197,25 @@ def score(docs: DataFrame, scorer: LinearScorer, text: str = "text", into: str =
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row of ``docs``."""
+    """doc_id, held_out, score and predicted of every row of ``docs``.
+
+    Null and empty texts get the score of a text without any feature; a null
+    doc_id is not held out.  Repeated rows are scored each for itself.  Without
+    a labelled row, or if all labels are alike, every row gets one and the same
+    score.  Other columns are ignored; an empty table gives no rows.
+    """
     scored = score(docs.select("doc_id", "text"), fit(docs, labels))
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows whose score reaches ``threshold``; columns stay."""
-    scored = score(docs, fit(docs, labels), into="_toxicity")
-    return scored.where(F.col("_toxicity") < threshold).drop("_toxicity")
+    """``docs`` without the rows whose score reaches ``threshold``; columns stay, whatever their names.
+
+    Rows are judged by their text alone: null and empty texts, null ids and
+    repeated rows as in :func:`classify`.
+    """
+    into = "_toxicity"
+    while into in docs.columns:
+        into += "_"
+    scored = score(docs, fit(docs, labels), into=into)
+    return scored.where(F.col(into) < threshold).drop(into)

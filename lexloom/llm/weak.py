@@ -30,44 +30,43 @@ class LabelModel:
     accuracy: np.ndarray
     correlation: np.ndarray
 
-    def posterior(self, votes: np.ndarray, anchor: np.ndarray | None = None) -> np.ndarray:
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
         x = np.full(len(votes), np.log(self.prior / (1 - self.prior)))
-        if anchor is not None:
-            x += anchor
         for j in range(votes.shape[1]):
             x += self.log_odds[j, votes[:, j] + 1]
         return sigmoid(x)
 
 
-def fit_label_model(votes: np.ndarray, prior: float, anchor: np.ndarray | None = None, start: np.ndarray | None = None, rounds: int = 30) -> LabelModel:
+def fit_label_model(votes: np.ndarray, prior: float, counts: np.ndarray | None = None, start: np.ndarray | None = None, rounds: int = 30) -> LabelModel:
     """Expectation-maximisation over ``votes`` (rows x voters; 1, -1, 0 abstains).
 
-    Starts from the posteriors ``start``, by default from the majority.  ``anchor``: log odds that rows have from
-    elsewhere, as from a person's label; they enter every posterior.  A voter whose errors go with those of
+    ``counts``: how often each row of votes occurs, once by default.  Starts
+    from the posteriors ``start``, by default from the majority; after the
+    first step they play no part.  A voter whose errors go with those of
     others, given the class, counts for less: its log odds are divided by one
     plus its positive correlations.
     """
-    n, m = votes.shape
+    m = votes.shape[1]
     prior = float(np.clip(prior, 0.005, 0.995))
-    known = np.zeros(n) if anchor is None else anchor
-    q = sigmoid(np.log(prior / (1 - prior)) + known + (2.0 * votes.sum(1) if anchor is None else 0.0))
-    q = q if start is None else start
-    weight, table, rho = np.ones(m), np.zeros((m, 3)), np.zeros((m, m))
+    w = np.ones(len(votes)) if counts is None else counts.astype(float)
+    q = sigmoid(np.log(prior / (1 - prior)) + 2.0 * votes.sum(1)) if start is None else start
+    table, rho = np.zeros((m, 3)), np.zeros((m, m))
     hits = [[votes[:, j] == v for v in (-1, 0, 1)] for j in range(m)]
+    values = np.array([-1.0, 0.0, 1.0])
     p1 = p0 = None
     for _ in range(rounds):
-        p1 = np.array([[(q[h].sum() + 0.5) for h in row] for row in hits]) / (q.sum() + 1.5)
-        p0 = np.array([[((1 - q)[h].sum() + 0.5) for h in row] for row in hits]) / ((1 - q).sum() + 1.5)
-        prior = float(np.clip(q.mean(), 0.005, 0.995))
+        one, zero = q * w, (1 - q) * w
+        p1 = np.array([[(one[h].sum() + 0.5) for h in row] for row in hits]) / (one.sum() + 1.5)
+        p0 = np.array([[(zero[h].sum() + 0.5) for h in row] for row in hits]) / (zero.sum() + 1.5)
+        prior = float(np.clip(one.sum() / w.sum(), 0.005, 0.995))
         # errors, given the class
-        values = np.array([-1.0, 0.0, 1.0])
         left = votes - (q[:, None] * (p1 @ values) + (1 - q)[:, None] * (p0 @ values))
-        scale = left.std(0) + 1e-9
-        rho = (left.T @ left) / n / np.outer(scale, scale)
+        left -= (w @ left) / w.sum()
+        scale = np.sqrt((w @ left**2) / w.sum()) + 1e-9
+        rho = (left.T * w @ left) / w.sum() / np.outer(scale, scale)
         np.fill_diagonal(rho, 0)
-        weight = 1.0 / (1.0 + np.clip(rho, 0, None).sum(1))
-        table = weight[:, None] * (np.log(p1) - np.log(p0))
-        q = sigmoid(np.log(prior / (1 - prior)) + known + sum(table[j, votes[:, j] + 1] for j in range(m)))
+        table = (np.log(p1) - np.log(p0)) / (1.0 + np.clip(rho, 0, None).sum(1))[:, None]
+        q = sigmoid(np.log(prior / (1 - prior)) + sum(table[j, votes[:, j] + 1] for j in range(m)))
     right = prior * p1[:, 2] + (1 - prior) * p0[:, 0]
     wrong = prior * p1[:, 0] + (1 - prior) * p0[:, 2]
     return LabelModel(prior, table, right / (right + wrong), rho)
