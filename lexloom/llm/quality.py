@@ -3,8 +3,9 @@
 Heuristic labellers look at a document's case, symbols, repeats, separators,
 word lengths, sentences and lines; each votes good, bad or abstains, and they
 overlap.  Expectation-maximisation estimates their accuracies without any
-label; the posteriors train a hashed linear scorer on the shapes of words and
-how common each is in the document, which alone scores documents.
+label, from how often each pattern of votes occurs in the whole corpus.  The
+posteriors of a bounded sample train a hashed linear scorer on the shapes of
+words and how common each is in the document, which alone scores documents.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from .common import arrow_map, bounded_sample, held_out, not_held_out, release
 from .tokens import SPACES, Words, groups, mix
 from .weak import Features, LabelModel, LinearScorer, fit_label_model, fit_linear
 
-#: Bounds of the training sample: rows, and bytes of each.
+#: Bounds of the scorer's training sample: rows, and bytes of each.
 SAMPLE, LONGEST = 8000, 16_384
 #: A document is kept from this score on.
 THRESHOLD = 0.3
@@ -158,13 +159,34 @@ def features(s: Stats) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(hashes)
 
 
-def train(texts: Sequence[str]) -> tuple[LinearScorer, LabelModel | None]:
-    """Fit on texts alone."""
+#: Labellers; a pattern of their votes is a number of so many digits to base 3.
+LABELLERS = 12
+
+
+def encoded(cast: np.ndarray) -> np.ndarray:
+    """A number for each row of votes."""
+    return (cast.astype(np.int64) + 1) @ 3 ** np.arange(LABELLERS, dtype=np.int64)
+
+
+def decoded(codes: np.ndarray) -> np.ndarray:
+    """The votes that numbers stand for."""
+    return (codes[:, None] // 3 ** np.arange(LABELLERS, dtype=np.int64) % 3 - 1).astype(np.int8)
+
+
+def estimate(cast: np.ndarray, counts: np.ndarray) -> LabelModel | None:
+    """The label model of patterns of votes and how often each occurs."""
+    if not len(cast):
+        return None
+    return fit_label_model(cast, PRIOR, counts, start=np.where((cast < 0).any(1), 0.05, 0.97))
+
+
+def train(texts: Sequence[str], model: LabelModel | None = None) -> tuple[LinearScorer, LabelModel | None]:
+    """Fit the scorer on the posteriors of some texts; their votes give the model where none is given."""
     if not len(texts):
-        return LinearScorer(0.0, np.empty(0, np.uint64), np.empty(0), np.zeros(1 << 20, bool)), None
+        return LinearScorer(0.0, np.empty(0, np.uint64), np.empty(0), np.zeros(1 << 20, bool)), model
     s = Stats(texts)
     cast = votes(s)
-    model = fit_label_model(cast, PRIOR, start=np.where((cast < 0).any(1), 0.05, 0.97))
+    model = model or estimate(cast, np.ones(len(cast)))
     return fit_linear(len(texts), Features(*features(s)), model.posterior(cast)), model
 
 
@@ -180,12 +202,30 @@ def scores(texts: Sequence[str | None], scorer: LinearScorer) -> np.ndarray:
     return out
 
 
+def patterns(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(votes, n): how often each pattern of votes occurs in ``docs``; null counts as empty.
+
+    At most 3 ** LABELLERS rows, and a few hundred in practice: summed by task before the shuffle.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [x or "" for x in batch.column(0).to_pylist()]
+            for low, high in groups(texts):
+                codes, n = np.unique(encoded(votes(Stats(texts[low:high]))), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n)], names=["votes", "n"])
+
+    return arrow_map(docs.select(F.col(text)), work, "votes long, n long").groupBy("votes").agg(F.sum("n").alias("n"))
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> LinearScorer:
-    """Train on at most ``sample`` rows that are not held out, those of least hash."""
+    """The model from the votes of all rows; the scorer from at most ``sample`` that are not held out, those of least hash."""
+    counted = patterns(docs).orderBy("votes").toArrow()
+    model = estimate(decoded(counted.column("votes").to_numpy()), counted.column("n").to_numpy())
     ids = bounded_sample(docs.where(not_held_out() & F.col("doc_id").isNotNull()).select("doc_id"), ["doc_id"], sample).distinct()
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where(F.octet_length("text") <= longest).toArrow()
     got = sorted(zip(*(c.to_pylist() for c in rows.columns)))[:sample]
-    scorer = train([t for _, t in got])[0]
+    scorer = train([t for _, t in got], model)[0]
     release()
     return scorer
 
@@ -207,6 +247,11 @@ def score(docs: DataFrame, scorer: LinearScorer, text: str = "text", into: str =
 
 
 def classify(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score and keep (1 or 0) of every row of ``docs``."""
+    """doc_id, held_out, score and keep (1 or 0) of every row of ``docs``.
+
+    Null and empty texts are scored as texts without words; a null doc_id is
+    not held out; repeated rows are scored each for itself; other columns are
+    ignored.  An empty table gives no rows.
+    """
     scored = score(docs.select("doc_id", "text"), fit(docs))
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("keep"))
