@@ -4,38 +4,53 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import cut
 
 
+class NotConverged(RuntimeError):
+    """Components were not complete after the rounds that were allowed."""
+
+
+def _with_least(edges: DataFrame) -> DataFrame:
+    """``edges`` (u, v) with ``m``, the least v of every u.
+
+    A node's edges are dealt over as many tasks as a shuffle has, by a salt of
+    v, so that a node with a third of all edges is no task's load.  The least of
+    each salt is a row; the least of a node is taken over those alone, one row
+    for each salt at most, and goes back to the tasks that hold the edges.
+    """
+    salts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = edges.select("u", "v", F.pmod(F.xxhash64("v"), F.lit(salts)).cast("int").alias("s")).repartition("u", "s")
+    parts = dealt.groupBy("u", "s").agg(F.min("v").alias("m"))
+    least = parts.select("u", "s", F.min("m").over(Window.partitionBy("u")).alias("m"))
+    return dealt.join(least, ["u", "s"]).select("u", "v", "m")
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) of every node of ``edges`` (u, v): component is the least node.
 
-    Alternates two steps until nothing changes: every node links its larger
+    Alternates two steps until only stars are left: every node links its larger
     neighbours to the least it sees, then its smaller ones.  The number of
-    rounds grows with the logarithm of the nodes.  A round is two aggregations
-    with partial sums and two joins, which Spark splits where a node has very
-    many edges; no list of neighbours is ever gathered.  Each round ends in a
-    checkpoint.
+    rounds grows with the logarithm of the nodes; a result that isn't complete
+    after ``rounds`` of them is an error.  No list of neighbours is ever
+    gathered.  Each round ends in a checkpoint.  Loops and repeated edges count
+    for nothing; no edges: no rows.
     """
     now = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    state = None
-    for _ in range(rounds):
+    for done in range(rounds + 1):
+        # stars: no node has two smaller neighbours, or a smaller and a larger one
+        ends = now.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(now.select(F.col("v").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        if ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR (up > 0 AND down > 0)").isEmpty():
+            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        if done == rounds:
+            break
         # large star: u's larger neighbours to the least of u and its neighbours
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        both = _with_least(now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+        large = both.where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).where("u <> v")
         # small star: u and its smaller neighbours to the least of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
+        joined = _with_least(large)
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v")))
         now = cut(small.where("u <> v").distinct())
-        # equal sets of edges have equal sums
-        h = F.xxhash64("u", "v").cast("decimal(38,0)")
-        after = now.agg(F.count("*"), F.sum(h)).first()
-        if after == state:
-            break
-        state = after
-    return now.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node").unionByName(
-        now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    ).groupBy("node").agg(F.min("component").alias("component"))
+    raise NotConverged(f"components are not complete after {rounds} rounds")

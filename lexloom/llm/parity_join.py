@@ -16,10 +16,15 @@ So no link is lost, and blocks that few tokens, and so many sets, share stay
 out.  Equal keys give edges to the least document of the key, not pairs.
 
 Verification.  Connected candidates form clusters that no link leaves.  A
-cluster is searched by tasks; a large one is cut into chunks, and each pair of
-chunks is a task.  A task compares bit sketches, then sets, and returns a
-spanning forest of the links it finds, not all links.  The components of those
-forests are the classes.  Sets that are equal are one from the start.
+cluster that fits a task, by its sets' number and bytes, is searched there.  A
+larger one is dealt over tasks by hash, and each searches its part.  Of what is
+linked by then one set each goes on to a next round, dealt anew, until rounds
+find little more.  So a large group of near copies costs about its size.  What
+may still be linked are sets that share a key and aren't of one class: those
+clusters are searched whole, cut into chunks, each pair of chunks a task.  A
+task compares bit sketches, then sets, and returns a spanning forest of the
+links it finds, not all links.  The components of those forests are the classes.
+Sets that are equal are one from the start.
 """
 
 from __future__ import annotations
@@ -37,8 +42,10 @@ from .common import arrow_map, cut, stored
 from .components import components
 from .tokens import SPACES, Words, groups, mix
 
-#: Documents of a cluster that one side of a task has.
-CHUNK = 1024
+#: Documents of a cluster that one side of a task has, and bytes of their sets.
+CHUNK, CHUNK_BYTES = 1024, 1 << 24
+#: Keys of a task that are combined at a time before they are dealt out.
+COMBINED = 1 << 20
 #: Words of 64 bits of the sketch that verification looks at first.
 SKETCH = 32
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -186,8 +193,46 @@ def _signatures(docs: DataFrame, link: Link) -> DataFrame:
     return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), work, "doc_id long, n long, f1 long, f2 long, keys array<long>")
 
 
-def _edges(keyed: DataFrame) -> DataFrame:
-    """(u, v): every document of a key with the least one of it.
+def _combined(reps: DataFrame) -> DataFrame:
+    """(key, node, least): the keys of ``reps`` (node, keys), each once for as many rows as fit a buffer.
+
+    Where several nodes of a buffer have a key, the least stands for them: the
+    others are rows with it as ``least``.  So a key that a third of all
+    documents have comes from each task a few times, whatever their number.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes: list[np.ndarray] = []
+        keys: list[np.ndarray] = []
+        held = 0
+
+        def out() -> pa.RecordBatch:
+            node, key = np.concatenate(nodes), np.concatenate(keys)
+            order = np.lexsort((node, key))
+            node, key = node[order], key[order]
+            new = np.ones(len(key), bool)
+            new[1:] = key[1:] != key[:-1]
+            least = np.repeat(node[new], np.diff(np.append(np.flatnonzero(new), len(key))))
+            own = new | (node != least)
+            return pa.RecordBatch.from_arrays([pa.array(key[own]), pa.array(node[own]), pa.array(least[own], mask=new[own])], names=["key", "node", "least"])
+
+        for batch in batches:
+            lists = batch.column(1)
+            offsets = lists.offsets.to_numpy()
+            nodes.append(np.repeat(batch.column(0).to_numpy(), np.diff(offsets)))
+            keys.append(lists.values.to_numpy()[offsets[0] : offsets[-1]])
+            held += len(keys[-1])
+            if held >= COMBINED:
+                yield out()
+                nodes, keys, held = [], [], 0
+        if held:
+            yield out()
+
+    return arrow_map(reps.select("node", "keys"), work, "key long, node long, least long")
+
+
+def _edges(reps: DataFrame) -> DataFrame:
+    """(u, v): every document of a key with one that has it too, so that those of a key are connected.
 
     Keys come sorted, so a task holds one document of the key at hand, however
     many share it.
@@ -196,21 +241,26 @@ def _edges(keyed: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_key, last_first = None, None
         for batch in batches:
-            key, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if not len(key):
-                continue
-            new = np.ones(len(key), bool)
-            new[1:] = key[1:] != key[:-1]
-            starts = np.flatnonzero(new)
-            first = node[starts]
-            if key[0] == last_key:
-                first[0] = last_first
-            least = np.repeat(first, np.diff(np.append(starts, len(key))))
-            last_key, last_first = key[-1], least[-1]
-            pairs = np.unique(np.stack([node, least], 1)[node != least], axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
-
-    rows = keyed.repartition(F.col("key")).sortWithinPartitions("key", "node")
+            joined = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+            node = batch.column(1).to_numpy()
+            pairs = [np.stack([node[joined], batch.column(2).drop_null().to_numpy()], 1)]
+            key, node = batch.column(0).to_numpy()[~joined], node[~joined]
+            if len(key):
+                new = np.ones(len(key), bool)
+                new[1:] = key[1:] != key[:-1]
+                starts = np.flatnonzero(new)
+                first = node[starts]
+                if key[0] == last_key:
+                    first[0] = last_first
+                least = np.repeat(first, np.diff(np.append(starts, len(key))))
+                last_key, last_first = key[-1], least[-1]
+                pairs.append(np.stack([node, least], 1)[node != least])
+            out = np.unique(np.concatenate(pairs), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["u", "v"])
+
+    # what is joined already goes anywhere
+    to = F.when(F.col("least").isNull(), F.col("key")).otherwise(F.xxhash64("node"))
+    rows = _combined(reps).withColumn("to", to).repartition("to").sortWithinPartitions("key", "node").select("key", "node", "least")
     return arrow_map(rows, work, "u long, v long").distinct()
 
 
@@ -266,31 +316,30 @@ def _forest(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, link: Lin
     return out
 
 
-def _verified(docs: DataFrame, clusters: DataFrame, link: Link) -> DataFrame:
-    """(u, v): links that connect all that is linked within each cluster (node, component)."""
-    sizes = clusters.groupBy("component").count().select("component", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks"))
-    nodes = clusters.join(sizes, "component")
+def _searched(docs: DataFrame, tasks: DataFrame, link: Link) -> DataFrame:
+    """(u, v): a spanning forest of the links in each task.
+
+    ``tasks``: node, cluster, a, b, side; a and b number the task within its cluster, and links
+    are sought between sides, or where all are 0 among all nodes.
+    """
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
+    # a node's set is made once, however many tasks have it
+    places = tasks.groupBy("node").agg(F.collect_set(F.struct("cluster", "a", "b", "side")).alias("places"))
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [x or "" for x in batch.column(3).to_pylist()]
+            texts = [x or "" for x in batch.column(2).to_pylist()]
             for low, high in groups(texts):
                 h, offsets = shingles(texts[low:high], link)
                 sets = [h[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
                 part = batch.slice(low, high - low)
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(sets, pa.binary())], names=["node", "component", "chunks", "tokens"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(sets, pa.binary())], names=["node", "places", "tokens"])
 
-    sets = arrow_map(texts.join(nodes, "node").select("node", "component", "chunks", "text"), to_sets, "node long, component long, chunks int, tokens binary")
-    own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    tasks = (
-        sets.withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("component", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "node", (F.col("own") != F.least("own", "other")).cast("int").alias("side"), "tokens")
-    )
+    sets = arrow_map(texts.join(places, "node").select("node", "places", "text"), to_sets, "node long, places array<struct<cluster:long,a:int,b:int,side:int>>, tokens binary")
+    dealt = sets.select("node", F.explode("places").alias("p"), "tokens").select("p.cluster", "p.a", "p.b", "node", "p.side", "tokens")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, ids, sides, sets = None, [], [], []
+        held, ids, sides, sets, seen = None, [], [], [], set()
 
         def done() -> pa.RecordBatch:
             found = _forest(np.array(ids, np.int64), sets, np.array(sides, np.int64), link) if len(ids) > 1 else []
@@ -303,16 +352,72 @@ def _verified(docs: DataFrame, clusters: DataFrame, link: Link) -> DataFrame:
                     if ids:
                         yield done()
                     held, ids, sides, sets = group, [], [], []
-                ids.append(node)
-                sides.append(side)
-                sets.append(np.frombuffer(batch.column(5)[row].as_py(), np.uint64))
+                tokens = batch.column(5)[row].as_py()
+                if not ids or node != ids[-1]:
+                    seen = set()
+                if tokens not in seen:  # rows may repeat
+                    seen.add(tokens)
+                    ids.append(node)
+                    sides.append(side)
+                    sets.append(np.frombuffer(tokens, np.uint64))
         if ids:
             yield done()
 
-    rows = tasks.repartition("component", "a", "b").sortWithinPartitions("component", "a", "b", "node")
+    rows = dealt.repartition("cluster", "a", "b").sortWithinPartitions("cluster", "a", "b", "node")
     return arrow_map(rows, search, "u long, v long")
 
 
+def _sized(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (node, cluster, n) with the number of ``chunks`` that the cluster needs; clusters of one node are left out."""
+    need = F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") * 8 / CHUNK_BYTES)).cast("int")
+    sizes = nodes.groupBy("cluster").agg(need.alias("chunks"), F.count("*").alias("_nodes")).where("_nodes > 1").drop("_nodes")
+    return nodes.join(sizes, "cluster")
+
+
+def _dealt(nodes: DataFrame, round_: int) -> DataFrame:
+    """Tasks that each have one part of a cluster, dealt by a hash that ``round_`` changes."""
+    own = F.pmod(F.xxhash64("node", F.lit(round_)), F.col("chunks")).cast("int")
+    return nodes.select("node", "cluster", own.alias("a"), F.lit(-1).alias("b"), F.lit(0).alias("side"))
+
+
+def _all_pairs(nodes: DataFrame) -> DataFrame:
+    """A task for each pair of chunks of a cluster, and one for each chunk."""
+    own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    rows = nodes.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return rows.select("node", "cluster", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), (F.col("own") > F.col("other")).cast("int").alias("side"))
+
+
+def _verified(docs: DataFrame, reps: DataFrame, clusters: DataFrame, link: Link) -> DataFrame:
+    """(u, v): links that connect all that is linked within each cluster (node, component).
+
+    ``reps``: node, n, keys of every set.
+    """
+    nodes = cut(_sized(clusters.select("node", F.col("component").alias("cluster")).join(reps.select("node", "n"), "node")))
+    found = cut(_searched(docs, _dealt(nodes, 0), link))
+    large = nodes.where("chunks > 1")
+    if large.isEmpty():
+        return found
+    # one set of each class goes on, dealt anew, as long as a round leaves half of them or fewer
+    nodes, left = large, None
+    for round_ in range(1, 8):
+        classed = cut(components(found))
+        reached = nodes.join(classed, "node", "left").select("cluster", "n", F.coalesce("component", "node").alias("class"), "node")
+        heads = cut(_sized(reached.where("class = node").select("node", "cluster", "n")))
+        before, left = left, heads.count()
+        if not left or (before is not None and left > before // 2):
+            break
+        found = cut(found.unionByName(_searched(docs, _dealt(heads, round_), link)))
+    # keys whose sets aren't all of one class by now
+    own = cut(reps.join(large.select("node"), "node").join(classed, "node", "left").select("node", "keys", F.coalesce("component", "node").alias("class")))
+    keyed = own.select(F.explode("keys").alias("key"), "node", "class")
+    undecided = keyed.groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least <> most").select("key")
+    rest = cut(keyed.join(undecided, "key").groupBy("node").agg(F.collect_set("key").alias("keys")))
+    if rest.isEmpty():
+        return found
+    pairs = components(_edges(rest)).select("node", F.col("component").alias("cluster")).join(reps.select("node", "n"), "node")
+    return found.unionByName(_searched(docs, _all_pairs(_sized(pairs)), link))
+
+
 def classes(docs: DataFrame, link: Link = Link()) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text).
 
@@ -325,10 +430,13 @@ def classes(docs: DataFrame, link: Link = Link()) -> DataFrame:
     named = signed.where("n > 0 AND doc_id IS NOT NULL")
     # copies are one set: the least of them stands for all
     reps = named.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys"))
-    edges = _edges(reps.select(F.explode("keys").alias("key"), "node"))
-    clusters = cut(components(edges))
-    linked = components(_verified(docs, clusters, link))
+    clusters = cut(components(_edges(reps)))
     least = named.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("node"))
+    # an id with several texts is one document
+    of = F.struct("n", "f1", "f2")
+    several = named.groupBy("doc_id").agg(F.min(of).alias("a"), F.max(of).alias("b")).where("a <> b").select("doc_id")
+    same = named.join(several, "doc_id").join(least, ["n", "f1", "f2"]).select(F.col("node").alias("u"), F.col("doc_id").alias("v"))
+    linked = components(_verified(docs, reps, clusters, link).unionByName(same))
     classed = least.join(linked, "node", "left").select(F.col("n"), "f1", "f2", F.coalesce("component", "node").alias("class"))
     return signed.select("doc_id", "n", "f1", "f2").join(classed, ["n", "f1", "f2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("class")).otherwise(F.col("doc_id")).alias("component_id")
