@@ -10,8 +10,8 @@ of an entry or two.  Byte strings are Latin-1 strings, a character for a byte.
 Words repeat, so each distinct word is folded once as far as memory allows:
 
 1. count the distinct words of the whole corpus, pre-aggregated by task;
-2. fold the most frequent (``CACHE`` at most, a proven bound whatever the
-   corpus) and broadcast their ids;
+2. fold the most frequent (always ``CACHE`` of them where there are so many, a
+   proven bound whatever the corpus) and broadcast their ids;
 3. split every text again; words of the broadcast become its entries, the
    others are folded by the same expression in the row where they occur.
 
@@ -238,18 +238,34 @@ def distinct_words(docs: DataFrame, pattern: str, text: str = "text", flush: int
 
 
 def frequent(words: DataFrame, most: int) -> DataFrame:
-    """The words from some count on, ``most`` at most: no sort of all words."""
+    """The most frequent words, ``most`` at most and nearly as many wherever there are more: no sort of all words.
+
+    Counts are taken in steps, exact ones below 4096 and of a hundredth above.
+    Of the step that no longer fits whole, the words of least hash fill up the rest.
+    """
     words = words.where(F.octet_length("word") <= CACHE_BYTES)
-    least, total = None, 0
-    # a row for each count below 4096 and one for the rest
-    for row in words.groupBy(F.least("n", F.lit(4096)).alias("n")).count().orderBy(F.desc("n")).collect():
-        total += row["count"]
-        if total > most:
-            break
-        least = row["n"]
-    if least is None:  # more than ``most`` words that occur often: leave it to the rows
-        return words.limit(0)
-    return words.where(F.col("n") >= least)
+    step = F.when(F.col("n") < 4096, F.col("n")).otherwise(4096 + F.floor(F.log2(F.col("n") / 4096) * 64)).cast("int")
+
+    def fitting(places: DataFrame, room: int) -> tuple[list[int], int | None]:
+        """Places in order as long as they fit, and the first that doesn't; places are a few thousand."""
+        taken, last = [], None
+        for at, count in places.collect():
+            room -= count
+            if room < 0:
+                last = at
+                break
+            taken.append(at)
+        return taken, last
+
+    steps = words.groupBy(step.alias("at")).count().orderBy(F.desc("at"))
+    taken, last = fitting(steps, most)
+    if last is None:
+        return words
+    whole = step > last
+    room = most - words.where(whole).count() if taken else most
+    place = F.pmod(F.xxhash64("word"), F.lit(4096)).cast("int")
+    part, _ = fitting(words.where(step == last).groupBy(place.alias("at")).count().orderBy("at"), room)
+    return words.where(whole | (step == last) & (place <= (max(part) if part else -1)))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: str = "text", cache: int = CACHE, digests: bool = False) -> DataFrame:
@@ -257,7 +273,9 @@ def encode(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: s
     32-bit integers; the digest is of the bytes that decoding them gives.  With
     ``digests`` there is ids_sha256 in place of ids.
 
-    A null or empty text has no tokens.  Repeated rows give repeated results.
+    A null or empty text has no tokens.  Repeated rows give repeated results;
+    a null id stays.  Other columns are ignored, whatever their names; an empty
+    table gives no rows.
     ``path`` is a rank file that every executor can read at the same place.
     """
     ids_name = "ids_sha256" if digests else "ids"
