@@ -1,16 +1,18 @@
 """Each operator against brute force, and on nulls, empty and long texts, ties, repeats, empty tables, extra columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from lexloom.llm import bpe, decontaminate, html_extract, lang_id, parity_join, quality, secret_scan, sharding, tokens, topk, toxicity, weak
-from lexloom.llm.components import components
+from lexloom.llm.components import NotConverged, components
 
 P = pytest.importorskip("public_tokenizers")
 RANKS = P.path("byte_bpe_50k.tiktoken")
@@ -130,20 +132,38 @@ def test_classes_equal_brute_force(spark, link):
     assert got == brute_classes(rows, link)
 
 
-def test_classes_in_chunks(spark, monkeypatch):
-    monkeypatch.setattr(parity_join, "CHUNK", 3)
+@pytest.mark.parametrize("chunk,size", [(3, 1 << 24), (1024, 3000)])
+def test_classes_in_chunks(spark, monkeypatch, chunk, size):
+    monkeypatch.setattr(parity_join, "CHUNK", chunk)
+    monkeypatch.setattr(parity_join, "CHUNK_BYTES", size)
+    monkeypatch.setattr(parity_join, "COMBINED", 50)
     rng = random.Random(5)
-    base = [f"w{i}" for i in range(120)]
     rows = []
-    for i in range(40):
-        copy = list(base)
-        for _ in range(rng.randrange(6)):
-            copy[rng.randrange(len(copy))] = f"v{i}{rng.random()}"
-        rows.append((i, " ".join(copy)))
+    for base in ([f"w{i}" for i in range(120)], [f"w{i}" for i in range(80)] + [f"x{i}" for i in range(40)]):
+        for _ in range(30):
+            copy = list(base)
+            for _ in range(rng.randrange(6)):
+                copy[rng.randrange(len(copy))] = f"v{len(rows)}{rng.random()}"
+            rows.append((len(rows), " ".join(copy)))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in parity_join.classes(docs(spark, rows)).collect()}
     assert got == brute_classes(rows, parity_join.Link())
 
 
+def test_hub_of_many_candidates(spark):
+    """50,000 different short texts that are all linked to one, and one task for each part of them."""
+    base = " ".join(f"w{i}" for i in range(40))
+    table = spark.range(50_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 0, base).otherwise(F.concat(F.lit(base + " v"), "id")).alias("text"))
+    got = parity_join.classes(table)
+    assert got.where("component_id <> 0").isEmpty() and got.count() == 50_000
+
+
+def test_an_id_with_several_texts_is_one_document(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    rows = [(1, a), (5, a), (5, b), (5, b), (9, b), (12, "c d e f g")]
+    got = {(r.doc_id, r.component_id) for r in parity_join.classes(docs(spark, rows)).collect()}
+    assert got == {(1, 1), (5, 1), (9, 1), (12, 12)}
+
+
 def test_join_keys_meet_for_every_link():
     """Pigeonhole: linked sets share a key, whatever their sizes."""
     link, rng = parity_join.Link(), np.random.default_rng(1)
@@ -186,6 +206,29 @@ def test_components(spark):
     assert components(edges.limit(0)).count() == 0
 
 
+def test_components_of_a_hub_and_random_graphs(spark):
+    rng = random.Random(2)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000, 1001 + i) for i in range(5000)]
+    parent = {x: x for e in edges for x in e}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for u, v in edges:
+        parent[max(find(u), find(v))] = min(find(u), find(v))
+    want = {x: find(x) for e in edges if e[0] != e[1] for x in e}
+    assert {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()} == want
+
+
+def test_components_are_complete_or_an_error(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(60)], "u long, v long")
+    with pytest.raises(NotConverged):
+        components(path, rounds=1)
+    assert {r.component for r in components(path, rounds=20).collect()} == {0}
+
+
 # --- op3, op9, op10 --------------------------------------------------------------------------------
 
 
@@ -215,6 +258,13 @@ def test_language(spark):
     assert ((score >= 0) & (score <= 1)).all()
 
 
+@pytest.mark.parametrize("text", ["²", "½ 12", "①", "Ⅷ", "٣", "!? 5 €", "\n \t", "🎉"])
+def test_text_without_letter_has_no_language(text):
+    net = lang_id.train(["the cat sat on the mat"] * 8, ["en", "de"] * 4, epochs=1)
+    assert lang_id.predict([text, text + " a", text + "ж"], net)[0][0] == "und"
+    assert "und" not in lang_id.predict([text + " a", text + "ж", "日", "ª"], net)[0]
+
+
 def test_language_tables_equal_network():
     net = lang_id.train(["the cat sat on the mat"] * 8, ["en", "de"] * 4, epochs=1)
     x, _, _ = lang_id.windows(["some text to look at, of more than one window. " * 20])
@@ -364,20 +414,50 @@ def test_shards(spark):
     assert sharding.shard_documents(table.limit(0)).count() == 0
 
 
+def brute_place(key, weights, added=None):
+    """The shard of a key by the law, computed from the hash's definition alone."""
+    text = "\0null" if key is None else str(key)
+
+    def draw(path, w):
+        h = xxhash.xxh64(path.encode(), seed=xxhash.xxh64(text.encode(), seed=42).intdigest()).intdigest()
+        return -math.log(((h >> 11) + 1) / 2**53) / w if w > 0 else math.inf
+
+    def total(low, high):
+        return sum(weights[low:high])
+
+    n = len(weights)
+    region = min(range(-(-n // 8)), key=lambda r: draw(f"{r}", total(r * 8, r * 8 + 8)))
+    if added is not None and draw(f"added {n}", added) < draw(f"{region}", total(region * 8, region * 8 + 8)):
+        return n
+    rack = min(range(region * 2, min(region * 2 + 2, -(-n // 4))), key=lambda k: draw(f"{region}/{k}", total(k * 4, k * 4 + 4)))
+    return min(range(rack * 4, min(rack * 4 + 4, n)), key=lambda s: draw(f"{region}/{rack}/{s}", weights[s]))
+
+
+@pytest.mark.parametrize("weights", [[1.0] * 40, [1.0 + i % 3 for i in range(13)], [0.0, 2.0, 0.0, 0.0, 0.0, 5.0], [1.0]])
+def test_shards_equal_brute_force(spark, weights):
+    rows = [(i, f"text {i} é") for i in range(500)] + ODD
+    got = sorted((str(r.doc_id), r.shard, r.grown_shard, r.size, r.text_crc32) for r in sharding.shard_documents(docs(spark, rows), weights, 2.0).collect())
+    raw = [(i, (t or "").encode()) for i, t in rows]
+    assert got == sorted((str(i), brute_place(i, weights), brute_place(i, weights, 2.0), len(t) + 16, zlib.crc32(t)) for i, t in raw)
+
+
 def test_weights_move_rows_within_their_subtree_only(spark):
-    table = docs(spark, [(i, "t") for i in range(4000)])
-    weights = [1.0] * 16
+    table = docs(spark, [(i, "t") for i in range(6000)])
+    weights = [1.0] * 24
 
     def place(w):
         return {r.doc_id: r.shard for r in sharding.shard_documents(table, w).collect()}
 
-    before, after = place(weights), place([*weights[:5], 3.0, *weights[6:]])
+    before, after = place(weights), place([*weights[:5], 4.0, *weights[6:]])
     moved = {i for i in before if before[i] != after[i]}
-    assert moved and all(after[i] == 5 for i in moved)
-    share = sum(x == 5 for x in after.values()) / 4000
-    assert abs(share - 3 / 18) < 0.03
+    # the region of shard 5 has shards 0 to 7: rows move into it or within it, and between others never
+    assert moved and all(after[i] < 8 for i in moved)
+    assert any(before[i] >= 8 for i in moved) and any(before[i] < 8 for i in moved)
+    # within it, rows of the other rack move to the rack of shard 5 only
+    assert all(after[i] in (4, 5, 6, 7) for i in moved if before[i] < 4) and all(after[i] == 5 for i in moved if 4 <= before[i] < 8)
+    assert abs(sum(x == 5 for x in after.values()) / 6000 - 4 / 27) < 0.03
     gone = place([0.0, *weights[1:]])
-    assert all(gone[i] == before[i] for i in before if before[i] != 0) and 0 not in gone.values()
+    assert 0 not in gone.values() and all(before[i] < 8 for i in before if gone[i] != before[i])
 
 
 # --- op7 -------------------------------------------------------------------------------------------
@@ -457,9 +537,19 @@ def test_bpe_equals_library(spark, sf_dir, cache):
         got.setdefault(r.doc_id, set()).add((tuple(np.frombuffer(r.ids, "<u4").tolist()), r.decoded_sha256))
         assert r.n_tokens == len(r.ids) // 4
     assert got == want
+    digests = {(r.doc_id, r.ids_sha256, r.decoded_sha256, r.n_tokens) for r in bpe.encode(table, RANKS, P.PATTERN, cache=cache, digests=True).collect()}
+    assert digests == {(i, hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), d, len(ids)) for i, x in want.items() for ids, d in x}
     assert bpe.encode(table.limit(0), RANKS, P.PATTERN).count() == 0
 
 
+@pytest.mark.parametrize("most", [1, 700, 1999, 2000, 5000])
+def test_frequent_fills_up_whatever_the_counts(spark, most):
+    words = spark.range(3000).select(F.concat(F.lit("w"), "id").alias("word"), F.when(F.col("id") < 2000, 5000).otherwise(F.col("id") - 1999).cast("long").alias("n"))
+    got = bpe.frequent(words, most).collect()
+    assert min(most, 3000) * 0.98 - 2 <= len(got) <= most
+    assert sum(r.n == 5000 for r in got) >= min(2000, most) * 0.98 - 2
+
+
 def test_merges_of_long_words():
     tiktoken = pytest.importorskip("tiktoken")
     ranks = bpe.load_ranks(RANKS)
