@@ -10,9 +10,10 @@ adjusted by links,
 with b for the body.  The sum of its children's densities tells how much dense
 text hangs directly on a node; the node with the greatest sum holds the main
 text.  The least density on the path from it to the body is the threshold
-below which a child that is mostly links is left out.  Where no article or main
-holds that node, the text is taken from the body down: beside the path, the
-children whose density comes near the threshold belong to it too, in page order.
+below which, outside an article, a part that is mostly links is left out.  An
+article that holds the node is taken whole.  Where no article or main holds it,
+the text is taken from the body down: beside the path, the children whose
+density comes near the threshold belong to it too, in page order.
 """
 
 from __future__ import annotations
@@ -28,8 +29,9 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map
 
+#: Nothing is given back once it is read, so that a page of broken tags takes no longer than another.
 _TOKEN = re.compile(
-    r"""<!--.*?(?:--\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|</?[a-zA-Z!?/][^>]*(?:>|\Z)""",
+    r"""<!--.*?(?:--\s*+>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|</?[a-zA-Z!?/][^>]*+(?:>|\Z)""",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?""")
@@ -44,9 +46,11 @@ BLOCK = frozenset(
     " td tfoot th thead tr ul".split()
 )
 NEVER = frozenset(
-    "script style textarea title noscript iframe xmp noembed noframes template head nav footer aside form menu dialog search svg math"
+    "script style textarea title noscript iframe xmp noembed noframes template head nav footer aside form menu dialog search svg"
     " object canvas audio video button select datalist fieldset map applet".split()
 )
+#: Elements that a class or id may mark as furniture; others are text whatever their names, unless an advert.
+PARTS = frozenset("article aside center dd details div dl dt figure header li ol section span table tbody td tr ul".split())
 #: Words in classes and ids that mark a part as never main text.
 NOISE = frozenset(
     "ad ads adbox advert advertisement advertisements advertising adverts banner breadcrumb breadcrumbs byline comment commentlist comments"
@@ -54,6 +58,7 @@ NOISE = frozenset(
     " notification pager pagination popup privacy promo promoted promotion recommended related replies respond share sharing sidebar signup"
     " skip social sponsor sponsored subscribe subscription tags toolbar topbar widget".split()
 )
+ADVERTS = frozenset("ad ads adbox advert advertisement advertisements advertising adverts promo promoted promotion sponsor sponsored".split())
 #: Words that say where or how a part is, and don't change what it is.
 PLACES = frozenset(
     "area bar block bottom box center container content global group header inner item left links list main outer page post primary right row secondary"
@@ -89,11 +94,11 @@ class _Node:
         self.density = self.total = 0.0
 
 
-def _noisy(names: str) -> bool:
+def _noisy(names: str, noise: frozenset[str] = NOISE) -> bool:
     """Whether one of the classes (or ids) names furniture: all of its words do, or say where it is."""
     for name in names.split():
         words = _WORD.findall(name)
-        if not NOISE.isdisjoint(words) and all(x in NOISE or x in PLACES for x in words):
+        if not noise.isdisjoint(words) and all(x in noise or x in PLACES for x in words):
             return True
     return False
 
@@ -101,8 +106,8 @@ def _noisy(names: str) -> bool:
 def _noise(tag: str, attributes: str, inside: bool, named: bool = True) -> bool:
     """Whether a part is never main text; without ``named``, classes and ids don't tell.
 
-    Inside an article, ids are anchors of its parts, and a heading is
-    one whatever its names: there density and links decide.
+    Inside an article, ids are anchors of its parts.  Paragraphs, headings and
+    quotations are text whatever their names, but for adverts.
     """
     if tag in NEVER or tag == "header" and not inside:
         return True
@@ -122,87 +127,103 @@ def _noise(tag: str, attributes: str, inside: bool, named: bool = True) -> bool:
                 if "none" in value and re.search(r"display\s*:\s*none", value):
                     return True
             elif name in ("class", "id") and named and tag not in ("body", "html", "main"):
-                if not (inside and (name == "id" or tag in HEADINGS)) and _noisy(value):
+                if not (inside and name == "id") and _noisy(value, NOISE if tag in PARTS else ADVERTS):
                     return True
     return False
 
 
+class _Open:
+    """Open elements, with the places of each tag and of blocks among them, so that none has to be searched for."""
+
+    def __init__(self) -> None:
+        self.tags: list[str] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = [-1]
+
+    def push(self, tag: str) -> None:
+        self.places.setdefault(tag, []).append(len(self.tags))
+        if tag in BLOCK:
+            self.blocks.append(len(self.tags))
+        self.tags.append(tag)
+
+    def cut(self, k: int) -> None:
+        """Close all from place ``k`` on."""
+        while len(self.tags) > k:
+            tag = self.tags.pop()
+            self.places[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+
+    def last(self, *tags: str) -> int:
+        """The innermost place of one of ``tags``, or -1."""
+        return max((x[-1] for t in tags if (x := self.places.get(t))), default=-1)
+
+
 def parse(page: str, named: bool = True) -> _Node:
-    """The tree of ``page`` without noise (that which classes and ids name only if ``named``); a broken page gives a tree all the same."""
+    """The tree of ``page`` without noise (that which classes and ids name only if ``named``); a broken page gives a tree all the same.
+
+    Takes time in proportion to the page, however its tags are nested or left open.
+    """
     root = _Node("html", None)
-    stack = [root]
+    stack = [root]  # one more than what is open
+    open_ = _Open()
     # tags that were opened within noise; its first one is the noise itself
-    noise: list[str] = []
-    at, inside = 0, 0
+    noise = _Open()
+    at = 0
     remarks = False  # the noise is readers' comments, which may be articles themselves
 
-    def pop_to(k: int) -> None:
-        nonlocal inside
-        inside -= sum(x.tag in ("article", "main") for x in stack[k:])
-        del stack[k:]
+    def close(k: int) -> None:
+        open_.cut(k)
+        del stack[k + 1 :]
 
-    def opened(tag: str) -> None:
-        if tag in BLOCK:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    pop_to(k)
-                    break
-                if stack[k].block:
-                    break
+    def opening(tag: str) -> None:
+        if tag in BLOCK and (k := open_.blocks[-1]) >= 0 and open_.tags[k] == "p":
+            close(k)
         if tag in CLOSES:
             closed, ends = CLOSES[tag]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in closed:
-                    pop_to(k)
-                    break
-                if stack[k].tag in ends:
-                    break
+            if (k := open_.last(*closed)) > open_.last(*ends):
+                close(k)
 
     for m in _TOKEN.finditer(page):
         if m.start() < at:
             continue
-        if not noise and m.start() > at:
+        if not noise.tags and m.start() > at:
             stack[-1].children.append(page[at : m.start()])
         at = m.end()
         tag = m[2]
         if not tag:
             continue
         tag, end, attributes = tag.lower(), m[1], m[3]
-        if noise:
+        if noise.tags:
             if end:
-                if tag in noise:
-                    del noise[len(noise) - 1 - noise[::-1].index(tag) :]
-                elif tag in ("article", "main", "body") and any(x.tag == tag for x in stack):
-                    noise.clear()
-                else:
-                    continue
-                if noise or tag not in ("article", "main", "body") or not any(x.tag == tag for x in stack):
+                own = tag in ("article", "main") and open_.last(tag) >= 0
+                if (k := noise.last(tag)) >= 0:
+                    noise.cut(k)
+                elif own or tag == "body":
+                    noise.cut(0)
+                if noise.tags or not own:
                     continue
             elif tag in RAW:
-                raw = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+                raw = re.compile(rf"</{tag}\s*+>", re.I).search(page, at)
                 at = raw.end() if raw else len(page)
                 continue
             else:
-                if (tag == "main" or tag == "article" and noise[0] not in ("aside", "form") and not inside and not remarks) and not _noise(tag, attributes, False, named):
-                    noise.clear()  # an unclosed part doesn't take the article with it
+                inside = open_.last("article", "main") >= 0
+                if (tag == "main" or tag == "article" and noise.tags[0] not in ("aside", "form") and not inside and not remarks) and not _noise(tag, attributes, False, named):
+                    noise.cut(0)  # an unclosed part doesn't take the article with it
                 elif tag == "body":
-                    noise.clear()
+                    noise.cut(0)
                 else:
                     if tag not in VOID and not attributes.endswith("/"):
-                        noise.append(tag)
+                        noise.push(tag)
                     continue
         if end:
-            if tag == "p" and not any(x.tag == "p" for x in stack):
-                continue
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    pop_to(k)
-                    break
-                if stack[k].block and tag not in BLOCK:
-                    break  # an inline end tag doesn't close a block
+            k = open_.last(tag)
+            if k >= 0 and (tag in BLOCK or k > open_.blocks[-1]):
+                close(k)  # but an inline end tag doesn't close a block
             continue
         if tag in RAW:
-            raw = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            raw = re.compile(rf"</{tag}\s*+>", re.I).search(page, at)
             at = raw.end() if raw else len(page)
             continue
         if tag in VOID:
@@ -214,18 +235,20 @@ def parse(page: str, named: bool = True) -> _Node:
             continue
         if tag in ("html", "body"):
             continue
-        opened(tag)
-        if _noise(tag, attributes, inside > 0, named):
+        opening(tag)
+        # a button within a sentence is a part of it
+        spoken = tag == "button" and open_.blocks[-1] >= 0 and open_.tags[open_.blocks[-1]] == "p"
+        if not spoken and _noise(tag, attributes, open_.last("article", "main") >= 0, named):
             if not attributes.endswith("/"):
-                noise.append(tag)
+                noise.push(tag)
                 remarks = not REMARKS.isdisjoint(_WORD.findall(attributes.lower()))
             stack[-1].children.append(None if tag in BLOCK else "")
             continue
         node = _Node(tag, stack[-1])
         stack[-1].children.append(node)
         stack.append(node)
-        inside += tag in ("article", "main")
-    if not noise and at < len(page):
+        open_.push(tag)
+    if not noise.tags and at < len(page):
         stack[-1].children.append(page[at:])
     return root
 
@@ -328,7 +351,7 @@ def extract(page: str | None) -> str:
             flush()
         elif isinstance(x, str):
             line.append(x)
-        elif x is not top and x.block and x.density < threshold and x.link_chars > LINKS * x.chars:
+        elif whole.tag != "article" and x is not top and x.block and x.tag != "p" and x.density < threshold and x.link_chars > LINKS * x.chars:
             flush()
         else:
             if x.block:
