@@ -6,19 +6,21 @@ transition array over byte classes.  Many stretches of text step through the
 array side by side, one byte each per step, so a batch is scanned once for all
 rules.  A stretch begins after two bytes that lead every state back to the
 start (as a letter that ends no keyword, then a space), so cutting there loses
-no match; which pairs do so is read off the transition array.
-
-The automaton reports which stretch holds an accepted string of which rule;
-there the rule's own regex gives the exact leftmost spans.  Stretches without
-an accepted string are never looked at again.  Counted repeats multiply in the
-subset construction, so the automaton counts to 8 or less and the regex does
-the rest.
+no match; which pairs do so is read off the transition array.  A stretch that is
+long, as an encoded file, is cut anywhere: what its pieces make of every state
+is worked out first, and gives the states that they begin in.
+
+The automaton reports where strings of a rule end.  The last end of a row of
+them is the end of a match; from there the minimal automaton of the reversed rule
+steps back to its leftmost start, and one of the rule's prefix gives the start of
+the value, whose length is checked.  Counted repeats multiply in the subset
+construction of all rules, so that one counts to 8 or less, and the automata
+of the single rules to the end.
 """
 
 from __future__ import annotations
 
 import functools
-import hashlib
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -29,20 +31,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map
+from .tokens import groups
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``scan``: what the automaton accepts. ``spans``: leftmost matches of it are
-    the spans; ``least``: bytes that its last group (or the match) needs; ``rest``:
-    how a span goes on after a match, over line ends too, within its text."""
+    """``prefix`` and ``value``: a match is both; ``least``: bytes that its value
+    needs; ``scan``: what ends where a match does, with lower counts or the end of it
+    alone, for the automaton of all rules; ``rest``: how a span goes on after a match, over line ends too, within its text.
+
+    Python's leftmost match has to be the longest from its start, and to go on
+    with every byte that could prolong it.
+    """
 
     kind: str
-    scan: str
-    spans: str
+    prefix: str
+    value: str
     least: int = 1
+    scan: str = ""
     rest: str = ""
 
+    @property
+    def spans(self) -> str:
+        """The match as one regex, its value a group."""
+        return f"{self.prefix}({self.value})"
+
 
 #: The rest of a PEM key: to its end mark, or as far as its base64 goes where there is none before
 #: the next key or the end.  Line ends may be escaped, lines quoted or indented.
@@ -55,19 +68,15 @@ PEM = (
 
 
 #: The rules, the three base ones first, in the order of their listing.
+_ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
 RULES = (
-    Rule(
-        "assign",
-        r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{4,}""",
-        r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
-        12,
-    ),
-    Rule("access", r"AKIA[A-Z0-9]{4,}", r"AKIA[A-Z0-9]+", 18),
-    Rule("hex", r"[0-9a-f]{8,}", r"[0-9a-f]+", 16),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", rest=PEM),
-    Rule("github", r"gh[oprsu]_[A-Za-z0-9]{4,}", r"gh[oprsu]_[A-Za-z0-9]{36,}"),
-    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{4,}", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{4,}\.eyJ", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("assign", _ASSIGN, r"[A-Za-z0-9+/_.=-]+", 12),
+    Rule("access", "", r"AKIA[A-Z0-9]+", 18),
+    Rule("hex", "", r"[0-9a-f]+", 16, r"[0-9a-f]{8,}"),
+    Rule("private_key", "", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", rest=PEM),
+    Rule("github", "", r"gh[oprsu]_[A-Za-z0-9]{36,}", scan=r"gh[oprsu]_[A-Za-z0-9]+"),
+    Rule("slack", "", r"xox[abprs]-[A-Za-z0-9-]{10,}", scan=r"xox[abprs]-[A-Za-z0-9-]+"),
+    Rule("jwt", "", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", scan=r"\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
 )
 
 
@@ -83,8 +92,8 @@ class _Parser:
         self.steps.append(None)
         return len(self.eps) - 1
 
-    def compile(self, pattern: str) -> tuple[int, int]:
-        self.p, self.i = pattern, 0
+    def compile(self, pattern: str, backwards: bool = False) -> tuple[int, int]:
+        self.p, self.i, self.backwards = pattern, 0, backwards
         tree = self.alternatives(False)
         if self.i < len(pattern):
             raise ValueError(f"unbalanced ) in {pattern!r}")
@@ -175,7 +184,7 @@ class _Parser:
             return a, b
         if kind == "seq":
             first = last = self.state()
-            for item in tree[1]:
+            for item in tree[1][::-1] if self.backwards else tree[1]:
                 a, b = self.build(item)
                 self.eps[last].append(a)
                 last = b
@@ -229,10 +238,14 @@ class Automaton:
         return len(self.table) // self.classes
 
 
-def compile_rules(patterns: Sequence[str]) -> Automaton:
-    """Subset construction and minimisation of the search for any of ``patterns``."""
+def compile_rules(patterns: Sequence[str], search: bool = True, backwards: bool = False) -> Automaton:
+    """Subset construction and minimisation of the search for any of ``patterns``.
+
+    Without ``search`` strings are read from their start, ``backwards`` from
+    their end; what can't become a match any more is then state -1 times classes.
+    """
     nfa = _Parser()
-    parts = [nfa.compile(p) for p in patterns]
+    parts = [nfa.compile(p, backwards) for p in patterns]
     n = len(nfa.eps)
     closures: list[frozenset[int]] = []
     for s in range(n):
@@ -257,7 +270,7 @@ def compile_rules(patterns: Sequence[str]) -> Automaton:
         row = []
         for k in range(len(groups)):
             # the search may begin anew at every byte
-            after = begin.union(*(x for s in now if (x := leads[s][k])))
+            after = (begin if search else frozenset()).union(*(x for s in now if (x := leads[s][k])))
             if after not in index:
                 index[after] = len(order)
                 order.append(after)
@@ -281,13 +294,70 @@ def compile_rules(patterns: Sequence[str]) -> Automaton:
     number[rank] = np.arange(len(kept))
     small = number[block[delta[kept[rank]]]]
     small_masks = masks[kept[rank]]
+    if not search:
+        small = np.where(number[block[index[frozenset()]]] == small, -1, small) if frozenset() in index else small
     resets = np.array([[not small[small[:, c], d].any() for d in range(len(groups))] for c in range(len(groups))])
     return Automaton(classes_of, len(groups), (small * len(groups)).astype(np.int32).reshape(-1), int((small_masks == 0).sum()), small_masks, resets)
 
 
 @functools.lru_cache(maxsize=8)
 def automaton(rules: tuple[Rule, ...] = RULES) -> Automaton:
-    return compile_rules([r.scan for r in rules])
+    return compile_rules([r.scan or r.prefix + r.value for r in rules])
+
+
+class _Walk:
+    """An automaton of one rule, for the few places that the scan reports."""
+
+    def __init__(self, pattern: str, backwards: bool) -> None:
+        a = compile_rules([pattern], search=False, backwards=backwards)
+        self.classes_of, self.table, self.limit = a.classes_of, a.table.tolist(), a.accepting * a.classes
+
+    def last(self, data: bytes, places: range) -> int | None:
+        """The last of ``places`` whose byte completes a match."""
+        table, classes_of, limit, state, found = self.table, self.classes_of, self.limit, 0, None
+        for at in places:
+            state = table[state + classes_of[data[at]]]
+            if state < 0:
+                break
+            if state >= limit:
+                found = at
+        return found
+
+
+@functools.lru_cache(maxsize=8)
+def _walks(rules: tuple[Rule, ...]) -> list[tuple[_Walk, _Walk | None]]:
+    """For each rule the way back to the start of a match, and on to the start of its value."""
+    return [(_Walk(r.prefix + r.value, True), _Walk(r.prefix, False) if r.prefix else None) for r in rules]
+
+
+#: Bytes of a piece of a stretch, and bytes after which states are looked at for the few that are left.
+PIECE, SETTLED = 4096, 32
+
+
+def _states(a: Automaton, kinds: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Pieces x states: the state that each piece leads each state to (times classes)."""
+    out = np.empty((len(starts), a.states), np.int32)
+    for low in range(0, len(starts), 256):
+        begin, size = starts[low : low + 256], lengths[low : low + 256]
+        state = np.repeat((np.arange(a.states, dtype=np.int32) * a.classes)[None], len(begin), 0)
+        first = min(SETTLED, int(size.min()))
+        for step in range(first):
+            state = a.table[state + kinds[begin + step][:, None]]
+        # by now most states have become one: go on with the different ones of each piece
+        order = np.argsort(state, axis=1, kind="stable")
+        ranked = np.take_along_axis(state, order, 1)
+        new = np.ones(state.shape, bool)
+        new[:, 1:] = ranked[:, 1:] != ranked[:, :-1]
+        place = np.cumsum(new, 1) - 1
+        few = np.zeros((len(begin), int(place.max()) + 1), np.int32)
+        np.put_along_axis(few, place, ranked, 1)
+        for step in range(first, int(size.max())):
+            live = size > step
+            few[live] = a.table[few[live] + kinds[begin[live] + step][:, None]]
+        which = np.empty_like(place)
+        np.put_along_axis(which, order, place, 1)
+        out[low : low + 256] = np.take_along_axis(few, which, 1)
+    return out
 
 
 def accepted(a: Automaton, kinds: np.ndarray, resets: np.ndarray, lanes: int = 8192) -> tuple[np.ndarray, np.ndarray]:
@@ -301,9 +371,21 @@ def accepted(a: Automaton, kinds: np.ndarray, resets: np.ndarray, lanes: int = 8
     cuts = np.searchsorted(resets, np.linspace(0, n, min(lanes, max(1, n // 256)) + 1)[1:])
     stops = np.unique(resets[np.minimum(cuts, len(resets) - 1)])
     starts = np.concatenate([[0], stops[:-1]])
+    begins = np.zeros(len(starts), np.int32)
+    if (stops - starts).max() > 2 * PIECE:
+        # a long one in pieces; the state carries over from one to the next
+        pieces = np.maximum(1, (stops - starts) // PIECE)
+        within = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        starts = np.repeat(starts, pieces) + within * PIECE
+        ends = np.append(starts[1:], n)
+        begins = np.zeros(len(starts), np.int32)
+        cut = np.flatnonzero(np.append(within[1:] > 0, False))
+        leads = _states(a, kinds, starts[cut], ends[cut] - starts[cut])
+        for row, k in enumerate(cut.tolist()):
+            begins[k + 1] = leads[row, begins[k] // a.classes]
+        stops = ends
     by_length = np.argsort(starts - stops, kind="stable")
-    starts, lengths = starts[by_length], (stops - starts)[by_length]
-    state = np.zeros(len(starts), np.int32)
+    starts, lengths, state = starts[by_length], (stops - starts)[by_length], begins[by_length]
     limit = a.accepting * a.classes
     at, what = [], []
     live = len(starts)
@@ -319,61 +401,83 @@ def accepted(a: Automaton, kinds: np.ndarray, resets: np.ndarray, lanes: int = 8
     return np.concatenate(at), np.concatenate(what)
 
 
+def _resets(a: Automaton, kinds: np.ndarray, block: int = 1 << 20) -> np.ndarray:
+    """Places after two bytes that lead every state to the start, and the end; a block at a time."""
+    leads, out = a.resets.reshape(-1), []
+    for low in range(0, max(0, len(kinds) - 1), block):
+        part = kinds[low : low + block + 1].astype(np.int16)
+        out.append(np.flatnonzero(leads[part[:-1] * a.classes + part[1:]]) + low + 2)
+    found = np.concatenate(out) if out else np.empty(0, np.int64)
+    return found if len(found) and found[-1] == len(kinds) else np.append(found, len(kinds))
+
+
 def spans_of(texts: Sequence[str], rules: tuple[Rule, ...] = RULES, a: Automaton | None = None) -> dict[int, list[tuple[int, int, int]]]:
     """For texts with secrets: their index, and (start, rule, end) in code points, sorted."""
     a = a or automaton(rules)
-    patterns = [re.compile(r.spans.encode()) for r in rules]
+    walks = _walks(rules)
     rests = [re.compile(r.rest.encode()) if r.rest else None for r in rules]
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     joined = b"\n".join(raw) + b"\n"
     if not a.resets[:, a.classes_of[10]].all():
         raise ValueError("a rule matches line ends; texts can't be joined by them")
-    kinds_of = np.frombuffer(joined.translate(a.classes_of), np.uint8)
-    pairs = a.resets.reshape(-1)[kinds_of[:-1].astype(np.int16) * a.classes + kinds_of[1:]]
-    resets = np.flatnonzero(pairs) + 2
-    if not len(resets) or resets[-1] != len(joined):
-        resets = np.append(resets, len(joined))
-    ends, masks = accepted(a, kinds_of, resets)
+    kinds = np.frombuffer(joined.translate(a.classes_of), np.uint8)
+    ends, masks = accepted(a, kinds, _resets(a, kinds))
     if not len(ends):
         return {}
     begins = np.concatenate([[0], np.cumsum([len(x) + 1 for x in raw])])
-    first = np.searchsorted(resets, ends)  # the reset at or after each end
-    stretch, inverse = np.unique(first, return_inverse=True)
-    kinds = np.zeros(len(stretch), np.int64)
-    np.bitwise_or.at(kinds, inverse.reshape(-1), masks)
     found: dict[int, list[tuple[int, int, int]]] = {}
-    for k, mask in zip(stretch.tolist(), kinds.tolist()):
-        low, high = (int(resets[k - 1]) if k else 0), int(resets[k])
-        row = int(np.searchsorted(begins, low, side="right")) - 1
-        for i, r in enumerate(rules):
-            if mask >> i & 1:
-                for m in patterns[i].finditer(joined, low, high):
-                    part = m.lastindex or 0
-                    if m.end(part) - m.start(part) >= r.least:
-                        # a rest may go on beyond the stretch, as resets are at line ends too
-                        rest = rests[i] and rests[i].match(joined, m.end(), int(begins[row + 1]) - 1)
-                        found.setdefault(row, []).append((m.start() - int(begins[row]), i, (rest or m).end() - int(begins[row])))
+    for i, r in enumerate(rules):
+        own = np.sort(ends[masks >> i & 1 == 1])
+        # the last of each row of ends
+        own = own[np.append(own[1:] != own[:-1] + 1, True)] if len(own) else own
+        rows = np.searchsorted(begins, own, side="right") - 1
+        rows -= begins[rows] == own  # an end at the begin of a text would be the line end before it
+        back, on = walks[i]
+        done = 0
+        for end, row in zip(own.tolist(), rows.tolist()):
+            begin = int(begins[row])
+            low = max(done, begin)
+            if end <= low or (start := back.last(joined, range(end - 1, low - 1, -1))) is None:
+                continue
+            value = start if on is None else on.last(joined, range(start, end)) + 1
+            done = end
+            if end - value >= r.least:
+                if rests[i] and (rest := rests[i].match(joined, end, int(begins[row + 1]) - 1)):
+                    done = rest.end()
+                found.setdefault(row, []).append((start - begin, i, done - begin))
     out = {}
-    for row, spans in found.items():
+    for row in sorted(found):
+        spans = found[row]
         if len(raw[row]) != len(texts[row]):  # bytes to code points
-            points = np.concatenate([[0], np.cumsum((np.frombuffer(raw[row], np.uint8) & 0xC0) != 0x80)])
-            spans = [(int(points[s]), i, int(points[e])) for s, i, e in spans]
+            inner = np.flatnonzero((np.frombuffer(raw[row], np.uint8) & 0xC0) == 0x80)
+            points = np.array([(s, e) for s, _, e in spans])
+            points -= np.searchsorted(inner, points)
+            spans = [(s, i, e) for (s, e), (_, i, _) in zip(points.tolist(), spans)]
         out[row] = sorted(spans)
     return out
 
 
+def _grouped(texts: Sequence[str | None], rules: tuple[Rule, ...], a: Automaton) -> dict[int, list[tuple[int, int, int]]]:
+    """The spans of many texts, a group of bounded size at a time."""
+    texts, out = [x or "" for x in texts], {}
+    for low, high in groups(texts):
+        out |= {low + row: spans for row, spans in spans_of(texts[low:high], rules, a).items()}
+    return out
+
+
 def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(id, spans) of every row; spans: array of (kind, start, end) by start, then rule.
 
     Offsets are in code points, ends exclusive; spans of different kinds may
     overlap.  A null or empty text has no spans.  No shuffle; repeated rows are
-    scanned each for itself; a batch's memory is bounded by Arrow's batch size.
+    scanned each for itself; texts are scanned in groups of about half a million characters,
+    a longer one alone.  Other columns are ignored; an empty table gives no rows.
     """
     a = automaton(rules)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = spans_of([x or "" for x in batch.column(1).to_pylist()], rules, a)
+            found = _grouped(batch.column(1).to_pylist(), rules, a)
             spans = [[{"kind": rules[i].kind, "start": s, "end": e} for s, i, e in found.get(row, ())] for row in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, SPANS)], names=["id", "spans"])
 
@@ -387,7 +491,8 @@ SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end"
 def redact(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, mask: str = "[{}]") -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by its kind; other columns stay.
 
-    Overlapping spans become one, named after the first.  Null stays null.
+    Overlapping spans become one, named after the first.  Null stays null, and
+    so does every other column, whatever its name.
     """
     a = automaton(rules)
     place = docs.columns.index(text)
@@ -395,7 +500,7 @@ def redact(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES,
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(place).to_pylist()
-            for row, spans in spans_of([x or "" for x in texts], rules, a).items():
+            for row, spans in _grouped(texts, rules, a).items():
                 parts, at, until = [], 0, 0
                 for s, i, e in spans:
                     if s >= until:
@@ -427,19 +532,3 @@ def digest(found: DataFrame, id: str = "doc_id") -> DataFrame:
         F.sha2(joined(F.col("spans"), base).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
-
-
-def brute_force(text: str | None) -> list[tuple[str, int, int]]:
-    """The base spans by the rules' regexes alone; for tests."""
-    raw = (text or "").encode("utf-8", "surrogatepass")
-    out = []
-    for i, r in enumerate(RULES[:3]):
-        for m in re.finditer(r.spans.encode(), raw):
-            part = m.lastindex or 0
-            if m.end(part) - m.start(part) >= r.least:
-                out.append((len(raw[: m.start()].decode("utf-8", "surrogatepass")), i, len(raw[: m.end()].decode("utf-8", "surrogatepass"))))
-    return [(RULES[i].kind, s, e) for s, i, e in sorted(out)]
-
-
-def sha256_of(spans: Sequence[tuple[str, int, int]]) -> str:
-    return hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in spans).encode()).hexdigest()
