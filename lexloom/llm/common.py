@@ -50,6 +50,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let go of what earlier rounds have shuffled and checkpointed: Spark deletes it when the driver's objects are gone."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder, and read again."""
     spark = df.sparkSession

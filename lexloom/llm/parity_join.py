@@ -38,12 +38,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, stored
+from .common import arrow_map, cut, stored, tidy
 from .components import components
 from .tokens import SPACES, Words, groups, mix
 
-#: Documents of a cluster that one side of a task has, and bytes of their sets.
-CHUNK, CHUNK_BYTES = 1024, 1 << 24
+#: Documents of a cluster that one side of a task has, and bytes of their sets; and the share of
+#: them that a task has of a larger cluster.
+CHUNK, CHUNK_BYTES, PARTS = 1024, 1 << 24, 4
 #: Keys of a task that are combined at a time before they are dealt out.
 COMBINED = 1 << 20
 #: Words of 64 bits of the sketch that verification looks at first.
@@ -376,7 +377,8 @@ def _sized(nodes: DataFrame) -> DataFrame:
 
 def _dealt(nodes: DataFrame, round_: int) -> DataFrame:
     """Tasks that each have one part of a cluster, dealt by a hash that ``round_`` changes."""
-    own = F.pmod(F.xxhash64("node", F.lit(round_)), F.col("chunks")).cast("int")
+    parts = F.when(F.col("chunks") > 1, F.col("chunks") * PARTS).otherwise(1)
+    own = F.pmod(F.xxhash64("node", F.lit(round_)), parts).cast("int")
     return nodes.select("node", "cluster", own.alias("a"), F.lit(-1).alias("b"), F.lit(0).alias("side"))
 
 
@@ -387,35 +389,40 @@ def _all_pairs(nodes: DataFrame) -> DataFrame:
     return rows.select("node", "cluster", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), (F.col("own") > F.col("other")).cast("int").alias("side"))
 
 
-def _verified(docs: DataFrame, reps: DataFrame, clusters: DataFrame, link: Link) -> DataFrame:
-    """(u, v): links that connect all that is linked within each cluster (node, component).
+def _linked(docs: DataFrame, reps: DataFrame, clusters: DataFrame, known: DataFrame, link: Link) -> DataFrame:
+    """(node, component) of what is linked within the clusters (node, component), or in ``known`` (u, v).
 
     ``reps``: node, n, keys of every set.
     """
     nodes = cut(_sized(clusters.select("node", F.col("component").alias("cluster")).join(reps.select("node", "n"), "node")))
-    found = cut(_searched(docs, _dealt(nodes, 0), link))
+    found = cut(_searched(docs, _dealt(nodes, 0), link).unionByName(known))
+    classed = components(found)
     large = nodes.where("chunks > 1")
     if large.isEmpty():
-        return found
-    # one set of each class goes on, dealt anew, as long as a round leaves half of them or fewer
-    nodes, left = large, None
-    for round_ in range(1, 8):
-        classed = cut(components(found))
-        reached = nodes.join(classed, "node", "left").select("cluster", "n", F.coalesce("component", "node").alias("class"), "node")
-        heads = cut(_sized(reached.where("class = node").select("node", "cluster", "n")))
-        before, left = left, heads.count()
-        if not left or (before is not None and left > before // 2):
+        return classed
+    # of each class one set goes on, dealt anew, as long as a round halves them and they don't all fit a task
+    before = large.count()
+    for round_ in range(1, 60):
+        heads = large.join(classed, "node", "left").where("coalesce(component, node) = node").select("node", "cluster", "n")
+        heads = cut(_sized(heads))
+        left, chunks = heads.agg(F.count("*"), F.max("chunks")).first()
+        if not left or left > before // 2:
             break
         found = cut(found.unionByName(_searched(docs, _dealt(heads, round_), link)))
+        classed = components(found)
+        tidy(docs.sparkSession)
+        if chunks == 1:
+            break
+        before = left
     # keys whose sets aren't all of one class by now
     own = cut(reps.join(large.select("node"), "node").join(classed, "node", "left").select("node", "keys", F.coalesce("component", "node").alias("class")))
     keyed = own.select(F.explode("keys").alias("key"), "node", "class")
     undecided = keyed.groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least <> most").select("key")
     rest = cut(keyed.join(undecided, "key").groupBy("node").agg(F.collect_set("key").alias("keys")))
     if rest.isEmpty():
-        return found
+        return classed
     pairs = components(_edges(rest)).select("node", F.col("component").alias("cluster")).join(reps.select("node", "n"), "node")
-    return found.unionByName(_searched(docs, _all_pairs(_sized(pairs)), link))
+    return components(found.unionByName(_searched(docs, _all_pairs(_sized(pairs)), link)))
 
 
 def classes(docs: DataFrame, link: Link = Link()) -> DataFrame:
@@ -436,7 +443,7 @@ def classes(docs: DataFrame, link: Link = Link()) -> DataFrame:
     of = F.struct("n", "f1", "f2")
     several = named.groupBy("doc_id").agg(F.min(of).alias("a"), F.max(of).alias("b")).where("a <> b").select("doc_id")
     same = named.join(several, "doc_id").join(least, ["n", "f1", "f2"]).select(F.col("node").alias("u"), F.col("doc_id").alias("v"))
-    linked = components(_verified(docs, reps, clusters, link).unionByName(same))
+    linked = _linked(docs, reps, clusters, same, link)
     classed = least.join(linked, "node", "left").select(F.col("n"), "f1", "f2", F.coalesce("component", "node").alias("class"))
     return signed.select("doc_id", "n", "f1", "f2").join(classed, ["n", "f1", "f2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("class")).otherwise(F.col("doc_id")).alias("component_id")

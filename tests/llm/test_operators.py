@@ -14,6 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from lexloom.llm import bpe, decontaminate, html_extract, lang_id, parity_join, quality, secret_scan, sharding, tokens, topk, toxicity, weak
+from lexloom.llm import components as component_search
 from lexloom.llm.components import NotConverged, components
 
 P = pytest.importorskip("public_tokenizers")
@@ -283,7 +284,9 @@ def test_components(spark):
     assert components(edges.limit(0)).count() == 0
 
 
-def test_components_of_a_hub_and_random_graphs(spark):
+@pytest.mark.parametrize("least", [50, 1 << 16])
+def test_components_of_a_hub_and_random_graphs(spark, monkeypatch, least):
+    monkeypatch.setattr(component_search, "LEAST_EDGES", least)
     rng = random.Random(2)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000, 1001 + i) for i in range(5000)]
     parent = {x: x for e in edges for x in e}
@@ -299,8 +302,9 @@ def test_components_of_a_hub_and_random_graphs(spark):
     assert {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()} == want
 
 
-def test_components_are_complete_or_an_error(spark):
-    path = spark.createDataFrame([(i, i + 1) for i in range(60)], "u long, v long")
+def test_components_are_complete_or_an_error(spark, monkeypatch):
+    monkeypatch.setattr(component_search, "LEAST_EDGES", 2)
+    path = spark.createDataFrame([(i, i + 1) for i in range(60)], "u long, v long").repartition(12, "u")
     with pytest.raises(NotConverged):
         components(path, rounds=1)
     assert {r.component for r in components(path, rounds=20).collect()} == {0}
