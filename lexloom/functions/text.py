@@ -1,20 +1,16 @@
 """Text functions of the lexical model: cleaning, folding, keys, ids, parsing.
 
-All stay in the JVM.  Composition of decomposed input is the one exception:
-:func:`nfc` is an Arrow function, applied only to texts that hold a combining
-mark.
+All stay in the JVM.
 """
 
 from __future__ import annotations
 
-import unicodedata
+import json
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from .unicode_tables import fold_table, tone_classes, tone_table
+from .unicode_tables import compositions, fold_table, tone_classes, tone_table
 
 #: White space as ECMAScript has it, for use in a class.
 WS = r"\t-\r \x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
@@ -42,24 +38,44 @@ POS_CODES = {
 }
 
 
-@F.pandas_udf(StringType())
-def _compose(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
+def compose(x: Column) -> Column:
+    """Letters and combining marks as composed letters, as far as Latin, Greek and Cyrillic have them.
 
+    A look at most texts: only one that holds a mark is gone through, letter by
+    letter, with the last letter and the next mark looked up as a pair.
+    """
+    table = F.from_json(F.lit(json.dumps(compositions())), "map<string,string>")
+
+    def pair(done: Column, last: Column) -> Column:
+        return F.named_struct(F.lit("done"), done, F.lit("last"), last)
+
+    def step(state: Column, c: Column) -> Column:
+        done, last = state["done"], state["last"]
+        one = F.when(c.rlike(MARKS), F.try_element_at(table, F.concat(last, c)))
+        return F.when(one.isNotNull(), pair(done, one)).otherwise(pair(F.concat(done, last), c))
 
-def nfc(x: Column) -> Column:
-    return F.when(x.rlike(MARKS), _compose(x)).otherwise(x)
+    return F.when(x.rlike(MARKS), F.aggregate(F.split(x, ""), pair(F.lit(""), F.lit("")), step, lambda s: F.concat(s["done"], s["last"]))).otherwise(x)
+
+
+def record_hash(x: Column) -> Column:
+    """The hash of a raw record, the same for composed and decomposed text."""
+    return F.sha2(compose(x), 256)
 
 
 def clean(x: Column) -> Column:
     """White space collapsed, none before punctuation, trimmed; null gives an empty text.
 
-    Input is taken to be composed; see :func:`nfc` for what is not.
+    Input is taken to be composed, as readers give it; see :func:`clean_text`.
     """
     one = F.regexp_replace(F.coalesce(x, F.lit("")), f"[{WS}]+", " ")
     return F.trim(F.regexp_replace(one, " +([,.;:!?])", "$1"))
 
 
+def clean_text(x: Column) -> Column:
+    """:func:`clean` of any text, which is composed first."""
+    return clean(compose(x))
+
+
 def fold(x: Column) -> Column:
     """Lower case without diacritics."""
     frm, to = fold_table()
@@ -117,9 +133,15 @@ def dedupe_strings(xs: Column) -> Column:
 
 
 def split_examples(x: Column) -> Column:
+    """The distinct examples of a text, parted by ` ~ ` or ` | `; see :func:`all_examples` for several."""
     return F.when(clean(x) == "", F.array().cast("array<string>")).otherwise(dedupe_strings(F.split(clean(x), r" +~ +| +\| +")))
 
 
+def all_examples(xs: Column) -> Column:
+    """The distinct examples of an array of texts, each of which may hold several."""
+    return dedupe_strings(F.flatten(F.transform(xs, split_examples)))
+
+
 def _lookup(table: dict[str, str], key: Column) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(v) for kv in table.items() for v in kv]), key)
 
@@ -150,12 +172,19 @@ def code_point_id(x: Column) -> Column:
 
 
 def title_case(x: Column) -> Column:
-    return F.initcap(F.lower(clean(x)))
+    """Lower case with a capital at the start of every word; only white space parts words."""
+    words = F.split(F.lower(clean(x)), " ")
+    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, F.lit(2), F.length(w)))), " ")
 
 
 def definition_key(x: Column) -> Column:
     """The key by which definitions are equal: folded, without number, abbreviated part of speech or punctuation."""
-    k = F.regexp_replace(fold(clean(x)), r"^ *[0-9]+[).]? *", "")
+    return key_of_clean(clean(x))
+
+
+def key_of_clean(x: Column) -> Column:
+    """:func:`definition_key` of a text that is clean already."""
+    k = F.regexp_replace(fold(x), r"^ *[0-9]+[).]? *", "")
     k = F.regexp_replace(k, r"^(d|dt|tt|t|dong tu|danh tu|tinh tu|ph|pht|trt|l|c|id)\. +", "")
     return F.trim(F.regexp_replace(k, r"[^\p{L}\p{N}]+", " "))
 
@@ -185,13 +214,27 @@ def int_prefix(x: Column) -> Column:
     return F.regexp_extract(x, f"^[{WS}]*([+-]?[0-9]+)", 1).try_cast("bigint")
 
 
-def strip_brackets(x: Column, depth: int = 3) -> Column:
-    """Paired [] or // around a transcription removed, up to ``depth`` times."""
-    out = F.trim(x)
-    for _ in range(depth):
-        paired = (out.startswith("[") & out.endswith("]")) | (out.startswith("/") & out.endswith("/"))
-        out = F.when(paired & (F.length(out) >= 2), F.trim(F.substring(out, F.lit(2), F.length(out) - 2))).otherwise(out)
-    return out
+def strip_brackets(x: Column) -> Column:
+    """Paired [] or // around a transcription removed, and white space within them, at any depth.
+
+    What opens and closes a text is compared from both ends inwards in one
+    pass: the pairs that are peeled off are the runs of brackets at its start
+    and its end, as long as they match.
+    """
+    t = F.trim(x)
+    opens, closes = F.regexp_extract(t, r"^[\[/ ]*", 0), F.regexp_extract(t, r"[\]/ ]*$", 0)
+    left = F.split(F.regexp_replace(opens, " ", ""), "")
+    right = F.split(F.reverse(F.regexp_replace(closes, " ", "")), "")
+    fits = F.zip_with(left, right, lambda a, b: F.coalesce(((a == "[") & (b == "]")) | ((a == "/") & (b == "/")), F.lit(False)))
+    # pairs before the first that doesn't match
+    depth = F.when((F.size(fits) == 0) | ~F.exists(fits, lambda f: ~f), F.size(fits)).otherwise((F.array_position(fits, F.lit(False)) - 1).cast("int"))
+
+    def peel(state: Column, _: Column) -> Column:
+        return F.trim(F.substring(state, F.lit(2), F.length(state) - 2))
+
+    # a text of brackets alone can't be opened and closed by the same one
+    most = F.least(depth, F.floor(F.length(F.regexp_replace(t, " ", "")) / 2).cast("int"))
+    return F.when(most > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(most, F.lit(1))), t, peel)).otherwise(t)
 
 
 def numbered_parts(x: Column, needs_marker: bool = False) -> Column:
@@ -221,13 +264,28 @@ def numbered_parts(x: Column, needs_marker: bool = False) -> Column:
     return F.aggregate(words, state, step, lambda s: F.when(s["now"] == "", s["parts"]).otherwise(F.concat(s["parts"], F.array(s["now"]))))
 
 
+#: Character references by name, besides those by number.
+REFERENCES = {"nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&", "middot": "·", "copy": "©", "ndash": "–", "mdash": "—", "hellip": "…", "laquo": "«", "raquo": "»"}
+
+
+def decode_references(x: Column) -> Column:
+    """Character references by number, decimal or hexadecimal, and the names of ``REFERENCES``; others stay."""
+    parts = F.split(x, "&(?=#?[A-Za-z0-9]{1,8};)")
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, "^([^;]*);", 1)
+        point = F.coalesce(F.conv(F.nullif(F.regexp_extract(name, "^#[xX]([0-9A-Fa-f]{1,6})$", 1), F.lit("")), 16, 10).cast("int"), F.regexp_extract(name, "^#([0-9]{1,7})$", 1).try_cast("int"))
+        valid = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
+        char = F.coalesce(_lookup(REFERENCES, name), F.when(valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")))
+        return F.when(char.isNotNull(), F.concat(char, F.substring(part, F.length(name) + 2, F.length(part)))).otherwise(F.concat(F.lit("&"), part))
+
+    return F.when(F.contains(x, F.lit("&")), F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(decoded(p))), "")).otherwise(x)
+
+
 def html_to_text(x: Column) -> Column:
-    """Markup removed, `br` as line end, the commonest character references decoded."""
-    t = F.regexp_replace(F.coalesce(x, F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", "")
-    t = F.regexp_replace(F.regexp_replace(t, r"(?i)<br\s*/?>", "\n"), r"(?s)<[^>]*>", "")
-    for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&#39;", "'"), ("&amp;", "&")):
-        t = F.replace(t, F.lit(name), F.lit(char))
-    return t
+    """Markup and white print removed, `br` as line end, character references decoded."""
+    t = F.regexp_replace(F.coalesce(x, F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<font[^>]*color=[\"']?\s*white[^>]*>.*?</font>", "")
+    return decode_references(F.regexp_replace(F.regexp_replace(t, r"(?i)<br\s*/?>", "\n"), r"(?s)<[^>]*>", ""))
 
 
 #: Abbreviations of parts of speech in definitions.
@@ -278,3 +336,56 @@ def marked(x: Column) -> Column:
     rest = clean(F.regexp_extract(c, pattern, 2))
     hit = c.rlike(pattern) & (rest != "")
     return F.struct(F.when(hit, rest).otherwise(c).alias("meaning"), F.when(hit, _lookup(codes, F.lower(F.regexp_extract(c, pattern, 1)))).alias("pos"))
+
+
+def strip_line_marker(x: Column) -> Column:
+    """A leading `n.` or `n)` removed, where text follows it."""
+    return F.regexp_replace(x, r"^[1-9][0-9]?[.)]\s+(?=\S)", "")
+
+
+def file_name(x: Column) -> Column:
+    """A name that every file system takes: folded, other characters as one hyphen."""
+    return F.regexp_replace(fold_case(x), "[^A-Za-z0-9._-]+", "-")
+
+
+def fold_case(x: Column) -> Column:
+    """Without diacritics, in the case that it has."""
+    frm, to = fold_table()
+    return F.regexp_replace(F.translate(x, frm, to), MARKS, "")
+
+
+def escape_xml(x: Column) -> Column:
+    out = F.coalesce(x, F.lit(""))
+    for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&apos;")):
+        out = F.replace(out, F.lit(char), F.lit(name))
+    return out
+
+
+def escape_csv(x: Column) -> Column:
+    """Quoted where a comma, a quote or a line end asks for it."""
+    t = F.coalesce(x.cast("string"), F.lit(""))
+    return F.when(t.rlike('[",\r\n]'), F.concat(F.lit('"'), F.replace(t, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(t)
+
+
+def cell_text(xs: Column) -> Column:
+    """An array in one cell of a sheet."""
+    return F.array_join(F.coalesce(xs, F.array().cast("array<string>")), "; ")
+
+
+def grouped_number(x: Column) -> Column:
+    """An integer with a full stop between groups of three digits."""
+    return F.regexp_replace(x.cast("bigint").cast("string"), r"(?<=[0-9])(?=(?:[0-9]{3})+$)", ".")
+
+
+def percent(part: Column, whole: Column) -> Column:
+    """Of a hundred, to two places; 0 of nothing."""
+    return F.when(whole == 0, F.lit(0.0)).otherwise(F.round(part / whole * 100, 2))
+
+
+def human_bytes(x: Column) -> Column:
+    """Bytes with a unit and two places."""
+    units = ["B", "KB", "MB", "GB", "TB"]
+    out = F.concat(x.cast("bigint").cast("string"), F.lit(" B"))
+    for i, unit in enumerate(units[1:], 1):
+        out = F.when(x >= 1024**i, F.concat(F.format_string("%.2f", x / F.lit(float(1024**i))), F.lit(f" {unit}"))).otherwise(out)
+    return out

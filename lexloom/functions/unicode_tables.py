@@ -14,10 +14,15 @@ def _precomposed() -> list[str]:
     return [c for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]) if unicodedata.normalize("NFD", c) != c]
 
 
+def _bare(c: str) -> str:
+    return unicodedata.normalize("NFC", "".join(x for x in unicodedata.normalize("NFD", c) if not 0x300 <= ord(x) <= 0x36F))
+
+
 @lru_cache(maxsize=None)
 def fold_table() -> tuple[str, str]:
-    """Precomposed letters to their base letters; đ and Đ to d and D."""
-    pairs = {c: unicodedata.normalize("NFD", c)[0] for c in _precomposed()}
+    """Letters of any script with marks of U+0300 to U+036F to the same without them; đ and Đ to d and D."""
+    pairs = {c: _bare(c) for c in map(chr, [*range(0xC0, 0xD800), *range(0xF900, 0x10000)]) if unicodedata.decomposition(c)[:1] not in ("", "<")}
+    pairs = {c: x for c, x in pairs.items() if x != c and len(x) == 1}
     pairs |= {"đ": "d", "Đ": "D"}
     return "".join(pairs), "".join(pairs.values())
 
@@ -46,11 +51,8 @@ def tone_classes() -> tuple[tuple[str, str], ...]:
 
 
 @lru_cache(maxsize=None)
-def compositions() -> tuple[tuple[str, str], ...]:
-    """(base + mark, precomposed) for every pair that composes to one Latin letter."""
-    pairs = []
-    for c in _precomposed():
-        d = unicodedata.decomposition(c).split()
-        if len(d) == 2 and not d[0].startswith("<"):
-            pairs.append((chr(int(d[0], 16)) + chr(int(d[1], 16)), c))
-    return tuple(pairs)
+def compositions() -> dict[str, str]:
+    """A letter and a mark to the letter that they compose to, marks in any order."""
+    bases = [*map(chr, range(65, 123)), *_precomposed(), *map(chr, range(0x391, 0x3CA)), *map(chr, range(0x410, 0x458))]
+    pairs = ((c + chr(m), unicodedata.normalize("NFC", c + chr(m))) for c in bases for m in range(0x300, 0x330))
+    return {pair: one for pair, one in pairs if len(one) == 1}
