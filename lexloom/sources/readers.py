@@ -9,8 +9,10 @@ of a few MB; line-delimited JSON, the large kind, has ids of its own).
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Iterator
+from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +51,33 @@ def json_map(spark: SparkSession, path: str) -> DataFrame:
     return senses.where(T.clean(F.col("definition")) != "")
 
 
+#: What tags and notes of a sound may say of where it is spoken.
+DIALECTS = ("Hà-Nội", "Huế", "Saigon", "Vinh", "Thanh-Chương", "Hà-Tĩnh", "Hanoi", "Quảng Nam", "Hội An", "Hoài Nhơn", "Phong Nha", "Đồng Hới", "Wanwei, Wutou")
+
+
+def has_definitions(senses: Column, numbers: bool = False) -> Column:
+    """Whether one of an entry's senses has a gloss."""
+    return F.coalesce(F.exists(senses, lambda x: F.size(glosses(x, numbers)) > 0), F.lit(False))
+
+
+def raw_pronunciations(spark: SparkSession, path: str, source: str, numbers: bool = False, dialects: tuple[str, ...] = DIALECTS) -> DataFrame:
+    """Pronunciation facts of a raw file: one for each sound with a transcription of an entry that has definitions.
+
+    A line that is no JSON fails the read.  A dialect is what tags or the note
+    name outright, never inferred.  Equal facts of one record are one.
+    """
+    e = json_lines(spark, path, strict=True).where(is_vietnamese(F.col("lang"), F.col("lang_code")) & has_definitions(F.col("senses"), numbers))
+    e = e.select(T.clean(F.col("word")).alias("word"), F.coalesce(F.nullif(T.clean(F.col("pos")), F.lit("")), F.lit("unknown")).alias("pos"), T.record_hash(F.col("raw")).alias("record_hash"), F.posexplode("sounds").alias("i", "s"))
+    tags = T.dedupe_strings(F.coalesce(F.col("s.tags"), F.array().cast("array<string>")))
+    rows = e.select("word", "pos", "record_hash", (F.col("i") + 1).alias("sound"), T.clean(F.col("s.ipa")).alias("ipa"), tags.alias("tags"), F.nullif(T.clean(F.col("s.note")), F.lit("")).alias("note"))
+    rows = rows.where("word <> '' AND ipa <> ''").withColumn("dialect", T.explicit_dialect(F.col("tags"), F.col("note"), list(dialects)))
+    seed = F.concat_ws(":", T.merge_key(F.col("word")), "word", F.lit(source), "ipa", F.coalesce("dialect", F.lit("")), "record_hash", F.col("sound").cast("string"))
+    entry = F.concat(F.col("word"), F.lit(":"), F.col("pos"), F.lit(":record:"), F.substring("record_hash", 1, 12), F.lit(":pronunciation:"), F.col("sound").cast("string"))
+    named = rows.withColumn("pronunciation_id", F.concat(F.lit("pronunciation-"), T.slug(F.col("word")), F.lit("-"), T.short_hash(seed))).withColumn("source_entry_id", entry)
+    # by all that the id is made of, as short hashes may meet
+    return named.dropDuplicates(["word", "ipa", "dialect", "record_hash", "sound"]).withColumn("headword", T.merge_key(F.col("word"))).withColumn("source", F.lit(source)).withColumn("system", F.lit("IPA")).withColumn("confidence", F.lit(0.85))
+
+
 def json_lines(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """Dictionary entries of (gzipped) JSON lines, with the line itself as ``raw``.
 
@@ -257,36 +286,110 @@ def layer(spark: SparkSession, path: str, schema: str | t.StructType) -> DataFra
 HISTORICAL_POS = {"c": "danh từ", "d": "động từ", "dg": "động từ", "n": "thán từ", "t": "tính từ"}
 
 
+class _Tree(HTMLParser):
+    """Elements as lists [tag, attributes, children], texts as strings."""
+
+    VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+
+    def __init__(self, html: str) -> None:
+        super().__init__(convert_charrefs=True)
+        self.root: list = ["", {}, []]
+        self.open = [self.root]
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        node = [tag, {k: v or "" for k, v in attrs}, []]
+        self.open[-1][2].append(node)
+        if tag not in self.VOID:
+            self.open.append(node)
+
+    def handle_endtag(self, tag: str) -> None:
+        for k in range(len(self.open) - 1, 0, -1):
+            if self.open[k][0] == tag:
+                del self.open[k:]
+                break
+
+    def handle_data(self, data: str) -> None:
+        self.open[-1][2].append(data)
+
+
+def _below(node: list, tag: str) -> Iterator[list]:
+    """Elements of a tag below ``node``, outermost ones, in page order."""
+    for x in node[2]:
+        if isinstance(x, list):
+            if x[0] == tag:
+                yield x
+            else:
+                yield from _below(x, tag)
+
+
+def _all(node: list) -> Iterator[list]:
+    """``node`` and all elements below it."""
+    yield node
+    for x in node[2]:
+        if isinstance(x, list):
+            yield from _all(x)
+
+
+def _text(node: list | str, without: tuple = ()) -> str:
+    """The text of an element without some of its parts; a line break is a line end."""
+    if isinstance(node, str):
+        return node
+    if node[0] in ("script", "style") or any(node is x for x in without):
+        return ""
+    return "\n" if node[0] == "br" else "".join(_text(x, without) for x in node[2])
+
+
+def _blocks(node: list) -> Iterator[tuple]:
+    """(is_row, hani, first, head, italic, rest) of the rows and, between them, of the outermost divs that hold none."""
+    for x in node[2]:
+        if not isinstance(x, list):
+            continue
+        if x[0] == "tr":
+            cells = list(_below(x, "td"))
+            if len(cells) < 2:
+                yield True, False, "", "", "", ""
+                continue
+            head = next((y for y in _below(cells[1], "span") if re.search(r"font-size:\s*larger", y[1].get("style", ""))), None)
+            italic = next(_below(cells[1], "i"), None)
+            yield True, any("Hani" in y[1].get("class", "") for y in _all(cells[0])), _text(cells[0]), _text(head) if head else "", _text(italic) if italic else "", _text(cells[1], (head, italic))
+        elif x[0] == "div" and next(_below(x, "tr"), None) is None:
+            italic = next(_below(x, "i"), None)
+            yield False, False, "", "", _text(italic) if italic else "", _text(x, (italic,))
+        else:
+            yield from _blocks(x)
+
+
 def page_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """(page, row, compound, word, pos, han, meaning, parent) of saved wiki pages of an old dictionary.
 
     Pages of a letter hold tables with a head in each row, then `div`s with
     compounds, whose dashes stand for the head; `id.` repeats the meaning of
-    the compound before.  A row's place in the page is its number.
+    the compound before.  A row's place in the page is its number.  Elements
+    may be nested; pages are parsed in batches.
     """
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            rows = [(page, at, *x) for page, html in zip(frame["pageid"], frame["html"]) for at, x in enumerate(_blocks(_Tree(html or "").root))]
+            yield pd.DataFrame(rows, columns=["page", "at", "is_row", "hani", "first", "head", "italic", "rest"])
+
     pages = whole(spark, path).select(F.explode(F.from_json("value", "pages array<struct<pageid:long,title:string,revid:long,html:string>>")["pages"]).alias("p")).select("p.*")
     section = F.element_at(F.split("title", "/"), -1)
-    blocks = pages.where(section.rlike(r"^[A-ZĐ](?: \(tiếp theo(?: [0-9]+)?\))?$")).select(
-        F.col("pageid").alias("page"), F.posexplode(F.regexp_extract_all("html", F.lit(r"(?is)<tr\b.*?</tr>|<div\b.*?</div>"), 0)).alias("at", "block")
-    )
-    text = lambda x: T.clean(T.html_to_text(x))
-    is_row = F.col("block").rlike("(?i)^<tr")
-    head, italic = r"(?is)<span[^>]*font-size:\s*larger[^>]*>.*?</span>", r"(?is)<i\b[^>]*>.*?</i>"
-    cells = F.regexp_extract_all("block", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1)
-    first, second = F.get(cells, F.lit(0)), F.get(cells, F.lit(1))
-    name = F.regexp_replace(text(F.regexp_extract(second, head, 0)), "[.：:]$", "")
-    rest = F.regexp_replace(text(F.regexp_replace(F.regexp_replace(second, head, ""), italic, "")), r"^[.\s:]+", "")
+    wanted = pages.where(section.rlike(r"^[A-ZĐ](?: \(tiếp theo(?: [0-9]+)?\))?$")).select("pageid", "html")
+    blocks = wanted.mapInPandas(parse, "page long, at int, is_row boolean, hani boolean, first string, head string, italic string, rest string")
     in_page = Window.partitionBy("page").orderBy("at")
-    rows = blocks.withColumn("row", F.sum(is_row.cast("int")).over(in_page) - 1)
-    heads = rows.where(is_row & (F.size(cells) >= 2) & first.rlike("(?i)class=[\"'][^\"']*Hani")).select(
-        "page", "row", "at", name.alias("word"), T.fold(F.regexp_replace(text(F.regexp_extract(second, italic, 0)), "[.()]", "")).alias("code"), text(F.regexp_extract(second, italic, 0)).alias("code_text"),
-        T.han_chars(T.html_to_text(first)).alias("han"), rest.alias("meaning"),
+    rows = blocks.withColumn("row", F.sum(F.col("is_row").cast("int")).over(in_page) - 1)
+    name = F.regexp_replace(T.clean(F.col("head")), "[.：:]$", "")
+    rest = F.regexp_replace(T.clean(F.col("rest")), r"^[.\s:]+", "")
+    heads = rows.where("is_row AND hani").select(
+        "page", "row", "at", name.alias("word"), T.fold(F.regexp_replace(T.clean(F.col("italic")), "[.()]", "")).alias("code"), T.clean(F.col("italic")).alias("code_text"), T.han_chars(F.col("first")).alias("han"), rest.alias("meaning"),
     ).where(valid_lexeme(F.col("word")) & (F.col("meaning") != ""))
     pos = F.coalesce(*[F.when(F.trim("code") == k, v) for k, v in HISTORICAL_POS.items()], F.nullif(F.col("code_text"), F.lit("")))
     entries = heads.select("page", "row", F.lit(0).alias("compound"), "word", pos.alias("pos"), "han", "meaning", F.lit(None).cast("string").alias("parent"))
     dash = "[―—–-]"
-    raw = text(F.regexp_extract("block", italic, 0))
-    parts = rows.where(~is_row).select("page", "row", "at", raw.alias("raw"), F.regexp_replace(text(F.regexp_replace("block", italic, "")), r"^[|.\s:]+", "").alias("meaning"))
+    parts = rows.where("NOT is_row").select("page", "row", "at", T.clean(F.col("italic")).alias("raw"), F.regexp_replace(T.clean(F.col("rest")), r"^[|.\s:]+", "").alias("meaning"))
     of = parts.join(heads.select("page", "row", F.col("word").alias("parent")), ["page", "row"])
     phrase = F.regexp_replace(F.regexp_replace(F.col("raw"), f"^{dash}+", F.concat("parent", F.lit(" "))), f"{dash}+$", F.concat(F.lit(" "), "parent"))
     phrase = F.regexp_replace(T.clean(F.regexp_replace(phrase, "[―—–]+", F.col("parent"))), r"^[.\s:]+|[.\s:]+$", "")

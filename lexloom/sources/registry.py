@@ -7,6 +7,8 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import exports, readers
+
 #: Key, rights, quality, confidence of the sources in use.
 SOURCES = (
     ("vntk_dictionary", "open", "tổng hợp", 0.75),
@@ -45,6 +47,35 @@ class Policy:
     def with_source(self, key: str) -> "Policy":
         return replace(self, disabled=self.disabled - {key})
 
+    def with_profile(self, profile: str) -> "Policy":
+        if profile not in ("open-only", "documented"):
+            raise ValueError(f"no such profile: {profile}")
+        return replace(self, profile=profile)
+
+    def freeze(self, frozen: bool = True) -> "Policy":
+        return replace(self, frozen=frozen)
+
+    def acted(self, action: str, value: str | None = None) -> "Policy":
+        """The policy after one of the actions enable, disable, freeze, unfreeze, profile."""
+        if action in ("enable", "disable"):
+            if value not in {k for k, *_ in SOURCES}:
+                raise ValueError(f"unknown source: {value}")
+            return self.with_source(value) if action == "enable" else self.without(value)
+        if action in ("freeze", "unfreeze"):
+            return self.freeze(action == "freeze")
+        if action == "profile":
+            return self.with_profile(value or "")
+        raise ValueError(f"no such action: {action}")
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        exports.document(spark, {"profile": self.profile, "collection_frozen": self.frozen, "disabled_sources": sorted(self.disabled)}, path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "Policy":
+        """The saved policy, or the default where there is none."""
+        got = readers.document(spark, path, "profile string, collection_frozen boolean, disabled_sources array<string>")
+        return cls(got["profile"], frozenset(got["disabled_sources"] or ()), bool(got["collection_frozen"])) if got else cls()
+
     def check_collection(self, override: bool = False) -> None:
         if self.frozen and not override:
             raise PermissionError("collection is frozen")
@@ -59,6 +90,16 @@ def selected(sources: DataFrame, policy: Policy) -> DataFrame:
     return sources.where(allowed & ~F.col("key").isin(*policy.disabled) if policy.disabled else allowed)
 
 
+def described(rows: DataFrame, sources: DataFrame, key: str = "source") -> DataFrame:
+    """``rows`` with the rights, quality and confidence of their source; `unknown` where the registry has none.
+
+    A registry has tens of rows, so it is broadcast; columns of those names are replaced.
+    """
+    known = sources.select(F.col("key").alias(key), "rights", "quality", F.col("confidence").alias("source_confidence")).dropDuplicates([key])
+    joined = rows.drop("rights", "quality", "source_confidence").join(F.broadcast(known), key, "left")
+    return joined.na.fill("unknown", ["rights", "quality"])
+
+
 def only_selected(rows: DataFrame, sources: DataFrame, policy: Policy, source: str = "source") -> DataFrame:
     """Rows of selected sources; on a layout by source the filter prunes folders."""
     keys = [r.key for r in selected(sources, policy).select("key").collect()]  # a registry of tens of rows
