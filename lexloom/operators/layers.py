@@ -6,8 +6,10 @@ made distinct first, and an explicit order decides what comes first.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import text as T
 from . import merge
@@ -19,6 +21,22 @@ def ordered(rows: DataFrame, rank: DataFrame) -> DataFrame:
     return joined.withColumn("ord", F.col("rank") * F.lit(10**12).cast("long") + F.col("ordinal"))
 
 
+def numbered(rows: DataFrame, order: list[Column], into: str) -> DataFrame:
+    """``rows`` with their place in an order, from 1.
+
+    Rows are dealt by ranges and sorted there; a place is the number of rows in
+    the ranges before, one count each, and the place in its own.  The ranges
+    are kept on the executors, as both need the same ones.
+    """
+    at = F.monotonically_increasing_id()
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", at).persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = ranged.withColumn("_part", F.shiftright("_at", 33)).withColumn("_place", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    # a row for each range
+    before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return ranged.join(F.broadcast(before), "_part").withColumn(into, F.col("_before") + F.col("_place") + 1).drop("_part", "_place", "_before", "_at")
+
+
 def _listed(rows: DataFrame, keys: list[str], value: Column, name: str) -> DataFrame:
     """Distinct values of a key in order of first occurrence."""
     once = rows.select(*keys, value.alias(name), "ord").where(F.col(name).isNotNull()).groupBy(*keys, name).agg(F.min("ord").alias("ord"))

@@ -77,3 +77,15 @@ def fingerprint(ids: DataFrame, layer: str = "layer", id: str = "id") -> DataFra
     )
     line = F.concat_ws(":", "p", F.col("n").cast("string"), F.col("s").cast("string"))
     return part.groupBy(layer).agg(F.sum("n").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("fingerprint"))
+
+
+def line_digest(ids: DataFrame, layer: str = "layer", id: str = "id") -> str:
+    """SHA-256 of the sorted lines `layer:id`, streamed a partition at a time; the same for any order of rows."""
+    import hashlib
+
+    digest, first = hashlib.sha256(), True
+    lines = ids.select(F.concat_ws(":", layer, F.col(id).cast("string")).alias("line")).orderBy("line")
+    for r in lines.toLocalIterator():
+        digest.update((("" if first else "\n") + r.line).encode())
+        first = False
+    return digest.hexdigest()

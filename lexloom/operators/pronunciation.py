@@ -46,6 +46,42 @@ def conflicts(facts: DataFrame) -> DataFrame:
     )
 
 
+def unresolved(facts: DataFrame) -> DataFrame:
+    """(headword, words, reasons, scopes, route) of every headword whose conflict is unresolved.
+
+    ``facts`` as for :func:`conflicts`, with pos and entry_id.  Reasons and
+    scopes look at the groups of one source, dialect and system that have
+    several transcriptions; an entry's id that several records of those have
+    is a fault of the parser, and sends the headword there.
+    """
+    open_ = conflicts(facts).where(F.col("bucket") == BUCKETS[3]).select("headword")
+    shown = facts.withColumn("shown", T.strip_brackets(F.col("ipa"))).withColumn("dialect", F.coalesce("dialect", F.lit("")))
+    grain = ["headword", "source", "dialect", "system"]
+    varied = shown.groupBy(*grain).agg(F.count_distinct("shown").alias("_values")).where("_values > 1").join(open_, "headword").drop("_values")
+    inner = shown.join(varied, grain)
+    records = inner.groupBy(*grain, "record").agg(F.count_distinct("shown").alias("n"))
+    by_group = records.groupBy(*grain).agg(F.count("*").alias("records"), F.max(F.col("n") > 1).alias("mixed"))
+    groups = by_group.groupBy("headword").agg(F.max("mixed").alias("mixed"), F.max(F.col("records") > 1).alias("several"))
+    pos = inner.groupBy("headword").agg(F.count_distinct("pos").alias("pos"))
+    reused = inner.groupBy("headword", "entry_id").agg(F.count_distinct("record").alias("n")).groupBy("headword").agg(F.max(F.col("n") > 1).alias("reused"))
+    words = facts.join(open_, "headword").groupBy("headword").agg(F.count_distinct("word").alias("words"))
+    h = words.join(groups, "headword").join(pos, "headword").join(reused, "headword")
+    forms = F.col("words") > 1
+
+    def tags(*pairs: tuple[Column, str]) -> Column:
+        return F.array_compact(F.array(*[F.when(c, F.lit(x)) for c, x in pairs]))
+
+    reasons = tags((forms, "case_or_form_variant_present"), (F.col("several"), "multiple_raw_records_same_source_dialect"), (F.col("mixed"), "same_raw_record_multiple_ipa_same_source_dialect"))
+    broad = tags((F.col("pos") > 1, "cross_pos_scope"), (forms, "normalized_form_collision"))
+    narrow = F.when(F.col("several"), F.array(F.when(F.col("reused"), "source_entry_id_reused_across_raw_records").otherwise("same_form_same_pos_distinct_source_records"))).otherwise(F.array().cast("array<string>"))
+    return h.select(
+        "headword",
+        "words",
+        F.when(F.size(reasons) > 0, reasons).otherwise(F.array(F.lit("source_dialect_internal_variant"))).alias("reasons"),
+        F.when(F.size(broad) > 0, broad).otherwise(narrow).alias("scopes"),
+    ).withColumn("route", F.when(F.array_contains("scopes", "source_entry_id_reused_across_raw_records"), "parser_fix").otherwise("human_review"))
+
+
 def gap_reason(tags: Column, note: Column, dialects: list[str], other_notes: str) -> Column:
     """Why a fact has no dialect: never inferred, only what its labels say."""
     known = F.lit(False)
@@ -65,6 +101,13 @@ def coverage(facts: DataFrame) -> DataFrame:
     return facts.groupBy("source").agg(F.count("*").alias("facts"), F.count_if(with_dialect).alias("with_dialect"), F.count_if(~with_dialect).alias("without_dialect"))
 
 
+def dialect_histogram(facts: DataFrame) -> DataFrame:
+    """(source, method, dialect, n, reason): how many facts of each dialect a source has; those without one say why."""
+    method = F.when(F.startswith("source", F.lit("kaikki_")), "raw-sounds-tags-and-notes").otherwise("normalized-scalar-no-explicit-dialect")
+    n = facts.groupBy("source", F.nullif("dialect", F.lit("")).alias("dialect")).agg(F.count("*").alias("n"))
+    return n.select("source", method.alias("method"), "dialect", "n", F.when(F.col("dialect").isNull(), "no explicit dialect in tags or note").alias("reason"))
+
+
 #: What to do about each bucket of conflicts, and where each gap goes.
 ACTIONS = {
     BUCKETS[0]: "display the safe form; keep every raw form",

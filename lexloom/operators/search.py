@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import text as T
 
@@ -51,11 +52,13 @@ def score(query: str) -> Column:
     )
 
 
-def search(sharded: DataFrame, query: str, mask: int = 0, letter: str | None = None, most: int = MOST) -> DataFrame:
-    """The best rows of the query's shard: a partition filter, then a top-k."""
+def search(sharded: DataFrame, query: str, mask: int = 0, letter: str | None = None, most: int = MOST, each: int = MOST) -> DataFrame:
+    """The best rows of the query's shard: a partition filter, ``each`` of every score, then a top-k."""
     rows = sharded.where(F.col("shard") == shard_of(query))
     if mask:
         rows = rows.where(F.col("f").bitwiseAND(mask) != 0)
     if letter:
         rows = rows.where(F.col("b") == letter)
-    return rows.withColumn("score", score(query)).where("score > 0").orderBy(F.col("score").desc(), "n", "w", "i").limit(most)
+    tier = Window.partitionBy("score").orderBy("n", "w", "i")
+    scored = rows.withColumn("score", score(query)).where("score > 0").withColumn("_tier", F.row_number().over(tier)).where(F.col("_tier") <= each).drop("_tier")
+    return scored.orderBy(F.col("score").desc(), "n", "w", "i").limit(most)

@@ -27,9 +27,8 @@ def base_score(rights: Column, quality: Column) -> Column:
     return _weight(RIGHTS, rights) + _weight(QUALITY, quality)
 
 
-def risk_tags(meaning: Column, key: Column, rights: Column, labels: Column, confidence: Column, pos: Column, language: Column) -> Column:
-    """The distinct rule tags of a definition, in the order of the rules."""
-    m = T.clean(meaning)
+def risk_tags(m: Column, key: Column, rights: Column, labels: Column, confidence: Column, pos: Column, language: Column) -> Column:
+    """The distinct rule tags of a definition with the clean meaning ``m``, in the order of the rules."""
 
     def tag(when: Column, name: str) -> Column:
         return F.when(when, F.lit(name))
@@ -70,16 +69,18 @@ def definition_facts(defs: DataFrame) -> DataFrame:
 
     Needs word, meaning, source, entry_id, definition_index, record_hash,
     language, review_status, confidence, labels, part_of_speech, rights and
-    quality.  Narrow: no shuffle.
+    quality; ``clean`` and ``key`` are taken as they are where a reader has made
+    them, once for each definition.  Narrow: no shuffle.
     """
-    keyed = defs.withColumn("key", T.definition_key(F.col("meaning")))
+    keyed = defs if "clean" in defs.columns else defs.withColumn("clean", T.clean(F.col("meaning")))
+    keyed = keyed if "key" in defs.columns else keyed.withColumn("key", T.key_of_clean(F.col("clean")))
     keyed = keyed.withColumn("tokens", T.content_tokens(F.col("key"))).withColumn(
-        "risk_tags", risk_tags(F.col("meaning"), F.col("key"), F.col("rights"), F.col("labels"), F.col("confidence"), F.col("part_of_speech"), F.col("language"))
+        "risk_tags", risk_tags(F.col("clean"), F.col("key"), F.col("rights"), F.col("labels"), F.col("confidence"), F.col("part_of_speech"), F.col("language"))
     )
     raw = F.concat_ws(":", F.lower(T.clean(F.col("word"))), "source", F.coalesce(F.col("entry_id").cast("string"), F.lit("")), "record_hash", "definition_index", "key")
     uid = F.concat_ws(":", F.col("entry_id").cast("string"), "definition_index", "source", "record_hash")
     return (
-        keyed.withColumn("sense_id", F.concat(F.lit("sense-"), T.slug(F.col("word")), F.lit("-"), T.short_hash(raw)))
+        keyed.drop("clean").withColumn("sense_id", F.concat(F.lit("sense-"), T.slug(F.col("word")), F.lit("-"), T.short_hash(raw)))
         .withColumn("definition_uid", F.concat(F.lit("def-"), T.short_hash(uid)))
         .withColumn("hard_risk", has_hard_risk(F.col("risk_tags")))
         .withColumn(
