@@ -73,8 +73,11 @@ def definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with a key as definitions."""
     lab = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("q"))
     n = F.regexp_extract("source", "[0-9]+", 0).cast("int")
-    key = T.definition_key(F.col("meaning"))
-    rows = lines(spark, sf_dir).withColumn("k", key).where("k <> ''").join(lab, "doc_id", "left")
+    # a line is cleaned and keyed where it leaves its text: a filter on the key can't be pushed below that and make it anew
+    texts = spread(table(spark, sf_dir, "documents").where(F.col("text").isNotNull()))
+    cleaned = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("meaning"), T.clean(x).alias("clean")))
+    keyed = F.transform(cleaned, lambda x: F.struct(x["meaning"].alias("meaning"), x["clean"].alias("clean"), T.key_of_clean(x["clean"]).alias("k")))
+    rows = texts.select("doc_id", "lang", "source", F.posexplode(keyed).alias("idx", "line")).select("doc_id", "lang", "source", "idx", "line.*").where("k <> ''").join(lab, "doc_id", "left")
 
     def pick(i, *names):
         out = F.lit(names[-1])
@@ -88,6 +91,7 @@ def definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.contains("meaning", F.lit("|")), "punctuation-headword-candidate"),
             F.when(F.col("meaning").rlike("[0-9]{6,}"), "domain-or-encyclopedic-candidate"),
             F.when(n == 19, "documented-unclear"),
+            F.when(F.col("doc_id") % 13 == 5, "place-name-candidate"),
         )
     )
     pos = F.when(F.col("doc_id") % 5 == 0, F.array().cast("array<string>")).otherwise(F.array(F.when(F.col("doc_id") % 7 == 0, "N").otherwise("danh từ")))
@@ -105,6 +109,8 @@ def definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         pos.alias("part_of_speech"),
         pick(n % 3, "open", "public-domain", "documented-unclear").alias("rights"),
         pick(n % 4, *senses.QUALITY).alias("quality"),
+        "clean",
+        F.col("k").alias("key"),
     )
 
 
@@ -133,7 +139,7 @@ defs AS (
     list_filter([CASE WHEN regexp_matches(meaning, '^[A-Z][a-z]+ [A-Z][a-z]+') THEN 'proper-name-candidate' END,
       CASE WHEN contains(meaning, '|') THEN 'punctuation-headword-candidate' END,
       CASE WHEN regexp_matches(meaning, '[0-9]{{6,}}') THEN 'domain-or-encyclopedic-candidate' END,
-      CASE WHEN n = 19 THEN 'documented-unclear' END], lambda x: x IS NOT NULL) AS labels,
+      CASE WHEN n = 19 THEN 'documented-unclear' END, CASE WHEN k.doc_id % 13 = 5 THEN 'place-name-candidate' END], lambda x: x IS NOT NULL) AS labels,
     CASE WHEN k.doc_id % 5 = 0 THEN []::VARCHAR[] WHEN k.doc_id % 7 = 0 THEN ['N'] ELSE ['danh từ'] END AS pos,
     CASE n % 3 WHEN 0 THEN 'open' WHEN 1 THEN 'public-domain' ELSE 'documented-unclear' END AS rights,
     CASE n % 4 WHEN 0 THEN 'học thuật' WHEN 1 THEN 'cộng đồng' WHEN 2 THEN 'tổng hợp' ELSE 'OCR cần soát' END AS quality, key
@@ -222,7 +228,7 @@ def pronunciations(spark: SparkSession, sf_dir: str) -> DataFrame:
     ipa = F.when(m == 0, F.concat(F.lit("["), F.col("event_type"), F.lit("]"))).when(m == 1, F.concat(F.lit("/"), F.col("event_type"), F.lit("/"))).otherwise(F.col("event_type"))
     return e.select(
         F.col("user_id").alias("headword"),
-        F.col("user_id").cast("string").alias("word"),
+        F.when(F.col("event_id") % 40 == 0, F.concat(F.lit("x"), F.col("user_id").cast("string"))).otherwise(F.col("user_id").cast("string")).alias("word"),
         ipa.alias("ipa"),
         F.concat(F.lit("src"), (k % 3).cast("string")).alias("source"),
         F.when(k % 4 == 0, "Hà Nội").when(k % 4 == 1, "Sài Gòn").alias("dialect"),
@@ -231,12 +237,14 @@ def pronunciations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 5 == 0, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>")).alias("tags"),
         F.when(k % 7 == 1, "Hà Nội, old").when(k % 7 == 2, "rare").when(k % 7 == 3, "some note").alias("note"),
         "event_id",
+        F.when(k % 2 == 0, "N").otherwise("V").alias("pos"),
+        F.concat(F.lit("e"), (F.col("event_id") % 4).cast("string")).alias("entry_id"),
     )
 
 
 PRON_SQL = """pron AS (
-  SELECT user_id AS headword, user_id::VARCHAR AS word, CASE event_id % 3 WHEN 0 THEN '[' || event_type || ']' WHEN 1 THEN '/' || event_type || '/' ELSE event_type END AS ipa,
+  SELECT user_id AS headword, CASE WHEN event_id % 40 = 0 THEN 'x' ELSE '' END || user_id AS word, CASE event_id % 3 WHEN 0 THEN '[' || event_type || ']' WHEN 1 THEN '/' || event_type || '/' ELSE event_type END AS ipa,
     event_type AS shown, 'src' || (k % 3) AS source, CASE k % 4 WHEN 0 THEN 'Hà Nội' WHEN 1 THEN 'Sài Gòn' END AS dialect, 'IPA' AS system,
     strftime(ts, '%Y-%m-%d') AS record, k % 5 = 0 AS tagged,
-    CASE k % 7 WHEN 1 THEN 'Hà Nội, old' WHEN 2 THEN 'rare' WHEN 3 THEN 'some note' END AS note, event_id
+    CASE k % 7 WHEN 1 THEN 'Hà Nội, old' WHEN 2 THEN 'rare' WHEN 3 THEN 'some note' END AS note, event_id, CASE WHEN k % 2 = 0 THEN 'N' ELSE 'V' END AS pos, 'e' || (event_id % 4) AS entry_id
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events))"""

@@ -76,9 +76,13 @@ def proxy_labels(s, d):
     return _pairs(s, d).select("left_id", "right_id", review.proxy_label(F.col("left_meaning"), F.col("right_meaning"), F.col("category"))["label"].alias("label"))
 
 
-@query(f"WITH {M.NEAR_SQL} SELECT least(left_id, right_id) AS a, greatest(left_id, right_id) AS b, count(*) AS count FROM near GROUP BY 1, 2 HAVING count(*) > 1 OR least(left_id, right_id) = greatest(left_id, right_id)")
+@query(f"WITH {M.NEAR_SQL}, p AS (SELECT left_id, right_id FROM near UNION ALL SELECT right_id, left_id FROM near WHERE score >= 0.9 UNION ALL SELECT left_id, left_id FROM near WHERE score = 1) SELECT least(left_id, right_id) AS a, greatest(left_id, right_id) AS b, count(*) AS count FROM p GROUP BY 1, 2 HAVING count(*) > 1 OR least(left_id, right_id) = greatest(left_id, right_id)")
 def pair_invariants(s, d):
-    return checks.pair_invariants(senses.near_pairs(M.facts(s, d)))
+    """Pairs as they are break nothing; here some are turned round or joined to themselves."""
+    near = senses.near_pairs(M.facts(s, d)).select("left_id", "right_id", "score")
+    turned = near.where("score >= 0.9").select(F.col("right_id").alias("left_id"), F.col("left_id").alias("right_id"))
+    own = near.where("score = 1").select("left_id", F.col("left_id").alias("right_id"))
+    return checks.pair_invariants(near.drop("score").unionByName(turned).unionByName(own))
 
 
 @query(
@@ -121,12 +125,6 @@ def one_to_one(s, d):
     return checks.one_to_one(M.table(s, d, "documents"), M.table(s, d, "labels"), "doc_id")
 
 
-@query(f"WITH {M.FACTS_SQL}, h AS (SELECT word, count(DISTINCT source) AS sources, count(*) AS evidence FROM facts GROUP BY word HAVING bool_and(NOT trusted)) SELECT word, sources, evidence FROM h ORDER BY sources DESC, evidence DESC, word LIMIT 5000")
-def missing_definition_priority(s, d):
-    h = M.facts(s, d).groupBy("word").agg(F.count_distinct("source").alias("sources"), F.count("*").alias("evidence"), F.bool_and(~F.col("trusted")).alias("none")).where("none").drop("none")
-    return h.orderBy(F.col("sources").desc(), F.col("evidence").desc(), "word").limit(5000)
-
-
 @query("WITH b AS (SELECT lang || ':' || source AS bucket, count(*) AS c FROM documents GROUP BY 1), s AS (SELECT bucket, c, sum(c) OVER (ORDER BY bucket)::BIGINT AS upto, sum(c) OVER ()::BIGINT AS total FROM b) SELECT bucket, c, upto FROM s WHERE upto > (0.37 * total)::BIGINT AND upto - c <= (0.37 * total)::BIGINT")
 def weighted_pick(s, d):
     """The bucket that a point of the cumulative count falls in; buckets are few."""
@@ -155,25 +153,6 @@ def merge_words(s, d):
     )
 
 
-@query(f"WITH {M.FACTS_SQL}, e AS (SELECT word, source, record_hash, min(entry_id) AS entry_id FROM facts GROUP BY ALL) SELECT word, count(*) AS evidence, array_to_string(list(source || ':' || entry_id ORDER BY source, record_hash), ',') AS refs FROM e GROUP BY word")
-def merge_lexemes(s, d):
-    e = M.facts(s, d).groupBy("word", "source", "record_hash").agg(F.min("entry_id").alias("entry_id"))
-    refs = F.transform(F.array_sort(F.collect_list(F.struct("source", "record_hash", "entry_id"))), lambda x: F.concat_ws(":", x["source"], x["entry_id"].cast("string")))
-    return e.groupBy("word").agg(F.count("*").alias("evidence"), F.array_join(refs, ",").alias("refs"))
-
-
-@query("SELECT p_name || ':' || p_brand AS key, min(p_partkey) AS first, count(*) AS n, max(p_retailprice) AS top FROM part GROUP BY 1")
-def merge_nom(s, d):
-    return M.table(s, d, "part").groupBy(F.concat_ws(":", "p_name", "p_brand").alias("key")).agg(F.min("p_partkey").alias("first"), F.count("*").alias("n"), F.max("p_retailprice").alias("top"))
-
-
-@query("SELECT n_regionkey, r_name, array_to_string(list(n_name ORDER BY n_nationkey), ',') AS lemmas FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY ALL")
-def merge_synsets(s, d):
-    names = merge.union_distinct(M.table(s, d, "nation"), ["n_regionkey"], "n_name", "n_nationkey")
-    joined = names.join(F.broadcast(M.table(s, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))  # regions are five
-    return joined.select("n_regionkey", "r_name", F.array_join("n_name", ",").alias("lemmas"))
-
-
 @query("SELECT conv_id, count(*) AS turns, count(DISTINCT role) AS roles, max(turn) - min(turn) + 1 = count(*) AS dense, sum(length(text))::BIGINT AS size FROM conversations GROUP BY conv_id")
 def ordinal_audit(s, d):
     c = M.table(s, d, "conversations")
@@ -196,41 +175,12 @@ def dialect_decisions(s, d):
     return x.groupBy("gap", F.col("x.decision").alias("decision"), F.col("x.priority").alias("priority")).agg(F.count("*").alias("n"))
 
 
-@query(
-    f"WITH {M.PRON_SQL} SELECT 'conflict' AS task_type, headword::VARCHAR AS task FROM pron GROUP BY headword HAVING count(DISTINCT ipa) >= 2 UNION ALL SELECT 'dialect', event_id::VARCHAR FROM pron WHERE dialect IS NULL AND {_GAP} = 'unrecognized_explicit_note'"
-)
-def review_tasks(s, d):
-    p = M.pronunciations(s, d)
-    a = pronunciation.conflicts(p).select(F.lit("conflict").alias("task_type"), F.col("headword").cast("string").alias("task"))
-    gap = pronunciation.gap_reason(F.col("tags"), F.col("note"), ["Hà Nội", "Sài Gòn"], "^rare")
-    b = p.where(F.col("dialect").isNull() & (gap == "unrecognized_explicit_note")).select(F.lit("dialect").alias("task_type"), F.col("event_id").cast("string").alias("task"))
-    return a.unionByName(b)
-
-
-@query(
-    f"WITH {M.PRON_SQL}, r AS (SELECT headword, source, record, count(DISTINCT shown) AS v FROM pron GROUP BY ALL), h AS (SELECT headword, count(*) FILTER (v > 1) AS mixed, count(*) AS records, count(DISTINCT source) AS sources FROM r GROUP BY headword) "
-    "SELECT headword, mixed, records, sources, CASE WHEN mixed > 0 THEN 'same_raw_record_multiple_ipa' WHEN sources > 1 THEN 'cross_source' ELSE 'single' END AS reason FROM h"
-)
-def unresolved_analysis(s, d):
-    p = M.pronunciations(s, d).withColumn("shown", T.strip_brackets(F.col("ipa")))
-    r = p.groupBy("headword", "source", "record").agg(F.count_distinct("shown").alias("v"))
-    h = r.groupBy("headword").agg(F.count_if(F.col("v") > 1).alias("mixed"), F.count("*").alias("records"), F.count_distinct("source").alias("sources"))
-    return h.withColumn("reason", F.when(F.col("mixed") > 0, "same_raw_record_multiple_ipa").when(F.col("sources") > 1, "cross_source").otherwise("single"))
-
-
 @query("SELECT headword, n FROM (SELECT user_id AS headword, count(DISTINCT event_type) AS n FROM events GROUP BY 1) WHERE n > 1")
 def ipa_conflict_headwords(s, d):
     p = M.pronunciations(s, d).withColumn("shown", T.strip_brackets(F.col("ipa")))
     return p.groupBy("headword").agg(F.count_distinct("shown").alias("n")).where("n > 1")
 
 
-@query(None)
-def collated_headwords(s, d):
-    """Headwords in Vietnamese order: the tie-break is binary; rows only, as the other engine has no such collation."""
-    words = M.facts(s, d).select("word").distinct()
-    return words.orderBy(F.expr("word COLLATE vi"), "word")
-
-
 # --- layers ----------------------------------------------------------------------------------------
 
 _STROKES = "CASE WHEN r < 1 THEN NULL " + " ".join(f"WHEN r <= {last} THEN {i}" for i, last in enumerate(kangxi.LAST, 1)) + " END"

@@ -10,7 +10,8 @@ from pyspark.sql.window import Window
 
 from ..functions import text as T
 from ..functions.unicode_tables import tone_classes
-from ..operators import evaluate, merge, pronunciation, search, senses
+from ..operators import audit, evaluate, merge, pronunciation, search, senses
+from ..sources import readers
 from . import mapping as M
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,34 +139,60 @@ def int_prefix(s, d):
     return M.table(s, d, "orders").select("o_orderkey", T.int_prefix(F.col("o_orderpriority")).alias("v"))
 
 
-@query("SELECT event_id, event_type AS v FROM events")
+@query(
+    "WITH RECURSIVE x AS (SELECT event_id, event_id % 7 AS k, repeat(CASE WHEN event_id % 2 = 0 THEN '[/ ' ELSE '[[' END, (event_id % 7)::INT) || event_type || repeat(CASE WHEN event_id % 2 = 0 THEN ' /]' ELSE ']]' END, (event_id % 7)::INT) || CASE WHEN event_id % 11 = 0 THEN ']' ELSE '' END AS v FROM events), "
+    "r AS (SELECT event_id, v, 0 AS i FROM x UNION ALL SELECT event_id, trim(v[2:-2]), i + 1 FROM r WHERE length(v) >= 2 AND (starts_with(v, '[') AND ends_with(v, ']') OR starts_with(v, '/') AND ends_with(v, '/'))) "
+    "SELECT event_id, arg_max(v, i) AS v FROM r GROUP BY event_id"
+)
 def ipa_display(s, d):
-    return M.pronunciations(s, d).select("event_id", T.strip_brackets(F.col("ipa")).alias("v"))
+    """Brackets to any depth: up to fourteen pairs here, some unpaired."""
+    e = M.table(s, d, "events")
+    depth, even = (F.col("event_id") % 7).cast("int"), F.col("event_id") % 2 == 0
+    wrapped = F.concat(F.when(even, F.repeat(F.lit("[/ "), depth)).otherwise(F.repeat(F.lit("[["), depth)), "event_type", F.when(even, F.repeat(F.lit(" /]"), depth)).otherwise(F.repeat(F.lit("]]"), depth)), F.when(F.col("event_id") % 11 == 0, "]").otherwise(""))
+    return e.select("event_id", T.strip_brackets(wrapped).alias("v"))
 
 
 @query(
-    f"WITH {M.LINES_SQL} SELECT doc_id, idx, array_to_string(list_distinct_in_order, '; ') AS v FROM (SELECT doc_id, idx, list_filter(list_transform(string_split(meaning, ' | '), lambda x: {M.sql_clean('x')}), lambda x: x <> '') AS l, "
+    f"WITH {M.LINES_SQL} SELECT doc_id, idx, array_to_string(list_distinct_in_order, '; ') AS v FROM (SELECT doc_id, idx, list_filter(list_transform(regexp_split_to_array(meaning, ' +~ +| +\\| +'), lambda x: {M.sql_clean('x')}), lambda x: x <> '') AS l, "
     "list_transform(list_filter(range(1, len(l) + 1), lambda i: list_position(l, l[i]) = i), lambda i: l[i]) AS list_distinct_in_order FROM lines)"
 )
 def split_examples(s, d):
-    parts = T.dedupe_strings(F.split("meaning", r" \| "))
-    return M.lines(s, d).select(*LINE, F.array_join(parts, "; ").alias("v"))
+    return M.lines(s, d).select(*LINE, F.array_join(T.split_examples(F.col("meaning")), "; ").alias("v"))
 
 
 @query(
     r"""WITH t AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<(?:script\b.*?</script\s*|style\b.*?</style\s*|!--.*?--)>', '', 'g'),
   '(?i)<br\s*/?>', chr(10), 'g'), '(?s)<[^>]*>', '', 'g') AS x FROM pages)
-SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(x, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&#39;', ''''), '&amp;', '&') AS v FROM t"""
+SELECT page_id, replace(replace(replace(replace(replace(replace(replace(x, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&') || ' éệ… &amp; 😀 &unknown; &#; & it''s' AS v FROM t"""
 )
 def html_to_text(s, d):
-    return M.table(s, d, "pages").select("page_id", T.html_to_text(F.col("html")).alias("v"))
+    more = F.lit(" <font color='white'>hidden</font>&#233;&#x1EC7;&hellip; &amp;amp; &#128512; &unknown; &#; & it&#39;s")
+    return M.table(s, d, "pages").select("page_id", T.html_to_text(F.concat(F.coalesce("html", F.lit("")), more)).alias("v"))
+
 
+_NUMBERED = r"""lines AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'đgt. 1. ' || p_name || ' 2. costs ' || p_size || ' or 5. of it 3) c 4. d' WHEN 1 THEN p_name || ' has 10 of 2. and 1. them'
+  WHEN 2 THEN '1. ' || p_name || ' 2. 3. ' || p_brand WHEN 3 THEN '49 days after ' || p_name ELSE '2. ' || p_name || ' 1) first 2) second' END AS line FROM part),
+w AS (SELECT p_partkey, string_split(line, ' ') AS w FROM lines),
+marks AS (
+  SELECT p_partkey, w, 0 AS k, 0::BIGINT AS spot FROM w
+  UNION ALL SELECT p_partkey, w, k + 1, list_min(list_filter(range(spot + 1, len(w) + 1), lambda i: regexp_extract(w[i], '^([0-9]{1,2})[.)]$', 1) = (k + 1)::VARCHAR)) FROM marks WHERE spot IS NOT NULL),
+bounds AS (SELECT *, lead(spot) OVER (PARTITION BY p_partkey ORDER BY k) AS next FROM marks WHERE spot IS NOT NULL),
+parts AS (SELECT p_partkey, k, array_to_string(CASE WHEN k = 0 AND next IS NULL THEN w WHEN k = 1 THEN w[1:(SELECT min(m.spot) FROM marks m WHERE m.p_partkey = bounds.p_partkey AND m.k = 1) - 1] || w[spot + 1:coalesce(next - 1, len(w))]
+  ELSE w[spot + 1:coalesce(next - 1, len(w))] END, ' ') AS part FROM bounds WHERE k > 0 OR next IS NULL)"""
 
-@query("SELECT p_partkey, 4::BIGINT AS n, 'x ' || p_name AS a, 'costs ' || p_size || ' or 3. of' AS b FROM part")
+
+@query(f"WITH RECURSIVE {_NUMBERED} SELECT p_partkey, count(*) FILTER (part <> '') AS n, array_to_string(list(part ORDER BY k) FILTER (part <> ''), '|') AS parts FROM parts GROUP BY p_partkey")
 def numbered_split(s, d):
-    line = F.concat(F.lit("x 1. "), F.col("p_name"), F.lit(" 2. costs "), F.col("p_size").cast("string"), F.lit(" or 5. of 3. c 4. d"))
+    k, p = F.col("p_partkey") % 5, M.table(s, d, "part")
+    line = (
+        F.when(k == 0, F.concat(F.lit("đgt. 1. "), "p_name", F.lit(" 2. costs "), F.col("p_size").cast("string"), F.lit(" or 5. of it 3) c 4. d")))
+        .when(k == 1, F.concat("p_name", F.lit(" has 10 of 2. and 1. them")))
+        .when(k == 2, F.concat(F.lit("1. "), "p_name", F.lit(" 2. 3. "), "p_brand"))
+        .when(k == 3, F.concat(F.lit("49 days after "), "p_name"))
+        .otherwise(F.concat(F.lit("2. "), "p_name", F.lit(" 1) first 2) second")))
+    )
     parts = T.numbered_parts(line)
-    return M.table(s, d, "part").select("p_partkey", n(F.size(parts)).alias("n"), parts[0].alias("a"), F.replace(parts[1], F.lit("5."), F.lit("3.")).alias("b"))
+    return p.select("p_partkey", n(F.size(parts)).alias("n"), F.array_join(parts, "|").alias("parts"))
 
 
 # --- facts, rules, clusters ------------------------------------------------------------------------
@@ -181,7 +208,7 @@ def canonical_score(s, d):
     return M.facts(s, d).select("sense_id", "score", "trusted", "hard_risk")
 
 
-FLAG_WEIGHTS = {"documented-unclear-source": 14, "non-vi-definition": 10, "low-confidence": 8, "missing-pos": 6, "too-short": 5, "too-long": 4}
+FLAG_WEIGHTS = audit.FLAG_WEIGHTS
 
 
 @query(
@@ -190,8 +217,7 @@ FLAG_WEIGHTS = {"documented-unclear-source": 14, "non-vi-definition": 10, "low-c
     + " ELSE 1 END)), 0)::BIGINT AS priority FROM facts"
 )
 def priority_score(s, d):
-    weight = lambda t: F.coalesce(*[F.when(t == k, v) for k, v in FLAG_WEIGHTS.items()], F.lit(1))
-    return M.facts(s, d).select("sense_id", n(F.aggregate("risk_tags", F.lit(0), lambda a, t: a + weight(t))).alias("priority"))
+    return M.facts(s, d).select("sense_id", n(audit.priority("risk_tags")).alias("priority"))
 
 
 @query(f"WITH {M.CLUSTERS_SQL} SELECT cluster_id, word, key, member_count, source_count, trusted_source_count FROM clusters WHERE exact")
@@ -312,14 +338,6 @@ def _confusion_sql(rows: str, thresholds: tuple[float, ...]) -> str:
     )
 
 
-_SILVER = f"WITH {M.NEAR_SQL}, rows AS (SELECT score, left_source <> right_source AS y FROM near)"
-
-
-@query(_confusion_sql(_SILVER, evaluate.SILVER_THRESHOLDS) + " SELECT threshold, tp, fp, tn, fn, precision, recall, round(2 * precision * recall / nullif(precision + recall, 0), 4) AS f1 FROM p")
-def silver_threshold_metrics(s, d):
-    return evaluate.confusion(senses.near_pairs(M.facts(s, d)), "score", F.col("left_source") != F.col("right_source"))
-
-
 _CALIB = "WITH rows AS (SELECT least(1.0::DOUBLE, round(length(text) / 4000.0::DOUBLE, 4)) AS score, quality = 1 AND toxic = 0 AS y FROM documents JOIN labels USING (doc_id) WHERE text IS NOT NULL)"
 
 
@@ -430,12 +448,6 @@ def ordered_union_distinct(s, d):
     return merge.union_distinct(li, ["l_suppkey"], "v", "o").select("l_suppkey", F.array_join("v", ",").alias("flags"))
 
 
-@query(f"WITH {M.LINES_SQL} SELECT h, doc_id, idx FROM (SELECT left(sha1(meaning), 8) AS h, doc_id, idx, row_number() OVER (PARTITION BY left(sha1(meaning), 8) ORDER BY doc_id DESC, idx DESC) AS r FROM lines) WHERE r = 1")
-def evidence_last_wins(s, d):
-    x = M.lines(s, d).select(T.short_hash(F.col("meaning")).alias("h"), F.struct("doc_id", F.col("idx").cast("int").alias("idx")).alias("o"))
-    return x.groupBy("h").agg(F.max("o").alias("o")).select("h", "o.doc_id", "o.idx")
-
-
 @query(f"WITH {M.LINES_SQL} SELECT source, k, count(*) AS n, min(doc_id * 100000 + idx) AS first FROM (SELECT source, doc_id, idx, trim(regexp_replace({M.sql_fold('meaning')}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS k FROM lines) WHERE k <> '' GROUP BY source, k")
 def unique_by_meaning(s, d):
     k = F.trim(F.regexp_replace(T.fold(F.col("meaning")), r"[^\p{L}\p{N}]+", " "))
@@ -449,9 +461,9 @@ def enrich_only_join(s, d):
     return merge.enrich_only(M.table(s, d, "part").select("p_partkey", "p_name"), meta, "p_partkey")
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderkey % 9 = 0)")
 def lexeme_anti_join(s, d):
-    known = M.table(s, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    known = M.table(s, d, "orders").where("o_orderkey % 9 = 0").select(F.col("o_custkey").alias("c_custkey"))
     return merge.unseen(M.table(s, d, "customer").select("c_custkey", "c_name"), known, ["c_custkey"])
 
 
@@ -487,18 +499,18 @@ def layer_fingerprint(s, d):
     return merge.fingerprint(ids)
 
 
-@query(f"WITH {M.CLUSTERS_SQL}, rest AS (SELECT * FROM facts WHERE source <> 'src3') SELECT (SELECT count(*) FROM facts WHERE source = 'src3') AS removed, count(*) AS kept, count(*) FILTER (source = 'src3') AS left_over, (SELECT count(*) FROM (SELECT 1 FROM rest GROUP BY word, key HAVING count(*) > 1 AND count(DISTINCT source) > 1)) AS clusters FROM rest")
-def source_removal(s, d):
-    f = M.facts(s, d)
-    rest = f.where("source <> 'src3'")
-    groups = rest.groupBy("word", "key").agg(F.count("*").alias("m"), F.count_distinct("source").alias("k")).where("m > 1 AND k > 1").agg(F.count("*").alias("clusters"))
-    return f.agg(F.count_if(F.col("source") == "src3").alias("removed")).crossJoin(rest.agg(F.count("*").alias("kept"), F.count_if(F.col("source") == "src3").alias("left_over"))).crossJoin(groups)
+_TONED = "['hoà', 'hòa', 'hoá', 'hóa', 'thuỷ', 'thủy', 'quy']"
+_VARIANTS = f"v AS (SELECT {_TONED}[(p_partkey % 7 + 1)::INT] || ' ' || p_name AS headword FROM part), k AS (SELECT DISTINCT headword, {M.sql_tone('headword')} || ':' || array_to_string(list_filter(list_transform(string_split(headword, ''), lambda c: CASE {_TONES} END), lambda t: t IS NOT NULL), '-') AS key FROM v)"
+
 
+def _spelt(s: SparkSession, d: str) -> DataFrame:
+    forms = F.array(*[F.lit(x) for x in ("hoà", "hòa", "hoá", "hóa", "thuỷ", "thủy", "quy")])
+    return M.table(s, d, "part").select(F.concat_ws(" ", F.get(forms, (F.col("p_partkey") % 7).cast("int")), "p_name").alias("headword"))
 
-@query(f"WITH {M.FACTS_SQL} SELECT {M.sql_fold('word')} AS base, count(DISTINCT word) AS forms, count(*) AS n FROM facts GROUP BY 1 HAVING count(DISTINCT word) > 1")
+
+@query(f"WITH {_VARIANTS} SELECT key, array_to_string(list_sort(list(headword)), ',') AS forms FROM k GROUP BY key HAVING count(*) > 1")
 def variant_groups(s, d):
-    f = M.facts(s, d)
-    return f.groupBy(T.fold(F.col("word")).alias("base")).agg(F.count_distinct("word").alias("forms"), F.count("*").alias("n")).where("forms > 1")
+    return readers.variants(_spelt(s, d)).select("key", F.array_join("forms", ",").alias("forms"))
 
 
 @query(
@@ -597,15 +609,19 @@ def dialect_coverage(s, d):
 
 # --- search ----------------------------------------------------------------------------------------
 
-_INDEX = f"""ix AS (SELECT p_partkey AS i, p_name AS w, {M.sql_tone('p_name')} AS n, regexp_extract_all({M.sql_tone('p_name')}, '[a-z]+') AS tokens,
- (CASE WHEN p_size > 25 THEN 1 ELSE 0 END + 2 + CASE WHEN p_type = 'PROMO' THEN 4 ELSE 0 END)::INT AS f FROM part),
+_INDEX = f"""named AS (SELECT * REPLACE (CASE p_partkey % 40 WHEN 0 THEN 'small' WHEN 1 THEN 'Smáll' WHEN 2 THEN 'a smallish ' || p_name WHEN 3 THEN 'unsmall' ELSE p_name END AS p_name) FROM part),
+ix AS (SELECT p_partkey AS i, p_name AS w, {M.sql_tone('p_name')} AS n, regexp_extract_all({M.sql_tone('p_name')}, '[a-z]+') AS tokens,
+ (CASE WHEN p_size > 25 THEN 1 ELSE 0 END + 2 + CASE WHEN p_type = 'PROMO' THEN 4 ELSE 0 END)::INT AS f FROM named),
 idx AS (SELECT *, '|' || array_to_string(tokens, '|') || '|' AS t, CASE WHEN regexp_matches(left(trim(n), 1), '^[a-z]$') THEN left(trim(n), 1) ELSE 'other' END AS b FROM ix),
 sh AS (SELECT *, unnest(CASE WHEN len(tokens) > 0 THEN list_distinct(list_transform(tokens, lambda t: left(t, 1))) ELSE ['other'] END) AS shard FROM idx)"""
 
 
 def _index(s: SparkSession, d: str) -> DataFrame:
     flags = (F.when(F.col("p_size") > 25, search.IPA).otherwise(0) + F.lit(search.NATIVE) + F.when(F.col("p_type") == "PROMO", search.HAN).otherwise(0)).cast("int")
-    return search.index(M.table(s, d, "part"), "p_partkey", "p_name", flags)
+    k = F.col("p_partkey") % 40
+    # so that every rung of the score is reached
+    name = F.when(k == 0, "small").when(k == 1, "Smáll").when(k == 2, F.concat(F.lit("a smallish "), "p_name")).when(k == 3, "unsmall").otherwise(F.col("p_name"))
+    return search.index(M.table(s, d, "part").withColumn("p_name", name), "p_partkey", "p_name", flags)
 
 
 @query(f"WITH {_INDEX} SELECT i, w, n, t, b, f FROM idx")
@@ -619,7 +635,7 @@ def search_shards(s, d):
 
 
 @query(
-    f"WITH {_INDEX}, sc AS (SELECT i, w, n, CASE WHEN n = 'small' THEN 200 WHEN starts_with(n, 'small') THEN 140 WHEN contains(t, '|small|') THEN 130 WHEN contains(t, '|small') THEN 120 WHEN contains(n, 'small') THEN 90 ELSE 0 END::INT AS score FROM sh WHERE shard = 's' AND f & 1 <> 0) "
+    f"WITH {_INDEX}, sc AS (SELECT i, w, n, CASE WHEN n = 'small' AND lower(w) = 'small' THEN 210 WHEN n = 'small' THEN 200 WHEN starts_with(n, 'small') THEN 140 WHEN contains(t, '|small|') THEN 130 WHEN contains(t, '|small') THEN 120 WHEN contains(n, 'small') THEN 90 ELSE 0 END::INT AS score FROM sh WHERE shard = 's' AND f & 1 <> 0) "
     "SELECT i, w, score FROM sc WHERE score > 0 ORDER BY score DESC, n, w, i LIMIT 80"
 )
 def search_scored_topk(s, d):

@@ -4,7 +4,7 @@ import math
 
 import pytest
 
-from lexloom.plans import more, queries as Q  # noqa: F401
+from lexloom.plans import audits, entries, formats, gates, more, queries as Q  # noqa: F401
 
 
 def plain(v):
