@@ -4,8 +4,8 @@ Voters are lexicons of insults, profanity, threats and slurs in four
 languages, patterns (an address with an insult, a wish of harm), and lexicons
 mined from training rows: words and stems that go with the label in the other half
 of them.  A generative model estimates the voters' accuracies and correlations
-by expectation-maximisation.  Labels mine lexicons and give the accuracies that
-EM starts from; the posterior of a row comes from its votes alone, so that voters
+by expectation-maximisation.  Labels mine lexicons and give accuracies that count
+beside EM's own; the posterior of a row comes from its votes alone, so that voters
 can overrule its label.  The posteriors train a hashed linear classifier on
 words and stems, which alone scores documents.
 """
@@ -29,6 +29,8 @@ from .weak import Features, LabelModel, LinearScorer, fit_label_model, fit_linea
 SAMPLE, LONGEST = 5000, 8192
 #: A document is toxic from this score on.
 THRESHOLD = 0.3
+#: How much the accuracies that labels give count beside those of EM, and how much correlations discount a voter.
+KNOWN, DISCOUNT = 1.0, 0.3
 #: Bytes of the stems that are features.
 STEMS = (3, 4, 5, 6, 8)
 
@@ -131,7 +133,7 @@ def train(texts: Sequence[str], labels: np.ndarray) -> tuple[LinearScorer, Label
         return LinearScorer(8.0 if always else -8.0, empty, np.empty(0), np.zeros(1 << 20, bool)), None
     found = gather(texts)
     cast = votes(texts, found, labels)
-    model = fit_label_model(cast, labels.mean(), start=np.where(labels > 0, 0.95, 0.05))
+    model = fit_label_model(cast, labels.mean(), start=np.where(labels > 0, 0.95, 0.05), weight=KNOWN, discount=DISCOUNT)
     target = model.posterior(cast)
     found = [promising(x, target) for x in found]
     both = Features(np.concatenate([x.rows for x in found]), np.concatenate([x.hashes for x in found]))

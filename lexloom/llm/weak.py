@@ -37,14 +37,16 @@ class LabelModel:
         return sigmoid(x)
 
 
-def fit_label_model(votes: np.ndarray, prior: float, counts: np.ndarray | None = None, start: np.ndarray | None = None, rounds: int = 30) -> LabelModel:
+def fit_label_model(votes: np.ndarray, prior: float, counts: np.ndarray | None = None, start: np.ndarray | None = None, weight: float = 0.0, discount: float = 1.0, rounds: int = 30) -> LabelModel:
     """Expectation-maximisation over ``votes`` (rows x voters; 1, -1, 0 abstains).
 
     ``counts``: how often each row of votes occurs, once by default.  Starts
-    from the posteriors ``start``, by default from the majority; after the
-    first step they play no part.  A voter whose errors go with those of
-    others, given the class, counts for less: its log odds are divided by one
-    plus its positive correlations.
+    from the posteriors ``start``, by default from the majority.  ``weight``:
+    how much the accuracies that ``start`` gives count, beside those that rows'
+    posteriors give, in every step; with 0 they only begin it.  A row's own
+    posterior comes from its votes alone.  A voter whose errors go with those
+    of others, given the class, counts for less: its log odds are divided by
+    one plus ``discount`` times its positive correlations.
     """
     m = votes.shape[1]
     prior = float(np.clip(prior, 0.005, 0.995))
@@ -54,18 +56,19 @@ def fit_label_model(votes: np.ndarray, prior: float, counts: np.ndarray | None =
     hits = [[votes[:, j] == v for v in (-1, 0, 1)] for j in range(m)]
     values = np.array([-1.0, 0.0, 1.0])
     p1 = p0 = None
+    begun = q
     for _ in range(rounds):
-        one, zero = q * w, (1 - q) * w
+        one, zero = (q + weight * begun) * w, (1 - q + weight * (1 - begun)) * w
         p1 = np.array([[(one[h].sum() + 0.5) for h in row] for row in hits]) / (one.sum() + 1.5)
         p0 = np.array([[(zero[h].sum() + 0.5) for h in row] for row in hits]) / (zero.sum() + 1.5)
-        prior = float(np.clip(one.sum() / w.sum(), 0.005, 0.995))
+        prior = float(np.clip(one.sum() / (one.sum() + zero.sum()), 0.005, 0.995))
         # errors, given the class
         left = votes - (q[:, None] * (p1 @ values) + (1 - q)[:, None] * (p0 @ values))
         left -= (w @ left) / w.sum()
         scale = np.sqrt((w @ left**2) / w.sum()) + 1e-9
         rho = (left.T * w @ left) / w.sum() / np.outer(scale, scale)
         np.fill_diagonal(rho, 0)
-        table = (np.log(p1) - np.log(p0)) / (1.0 + np.clip(rho, 0, None).sum(1))[:, None]
+        table = (np.log(p1) - np.log(p0)) / (1.0 + discount * np.clip(rho, 0, None).sum(1))[:, None]
         q = sigmoid(np.log(prior / (1 - prior)) + sum(table[j, votes[:, j] + 1] for j in range(m)))
     right = prior * p1[:, 2] + (1 - prior) * p0[:, 0]
     wrong = prior * p1[:, 0] + (1 - prior) * p0[:, 2]
