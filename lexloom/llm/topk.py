@@ -19,18 +19,22 @@ the task finds.  Queries are broadcast in blocks of bounded size.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import arrow_map, stored
+from .common import arrow_map, shared_dir, stored
 
 #: Rows of a bucket, queries of a block, longest vectors that thresholds start from.
 BUCKET, BLOCK, SEEDS = 4096, 16_384, 256
+#: Queries that are multiplied with a bucket at a time.
+PRODUCT = 256
 #: Local threshold from which coordinates prune, and how many of them.
 COORDINATES_FROM, FOCUS = 0.35, 3
 _SLACK = 1e-9
@@ -38,15 +42,23 @@ _SLACK = 1e-9
 
 def quantise(batch: pa.RecordBatch, scale: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Ids and integer vectors of the rows that take part."""
-    ids, out = [], []
-    for i, v in zip(batch.column(0).to_pylist(), batch.column(1)):
-        if i is None or not v.is_valid or v.values.null_count:
-            continue
-        x = np.floor(v.values.to_numpy(zero_copy_only=False).astype(np.float64) * scale)
-        if np.isfinite(x).all():
-            ids.append(i)
-            out.append(x.astype(np.int64))
-    return np.array(ids, np.int64), out
+    own = batch.filter(pa.compute.and_(batch.column(0).is_valid(), batch.column(1).is_valid()))
+    ids, lists = own.column(0).to_numpy(zero_copy_only=False).astype(np.int64), own.column(1)
+    sizes = np.unique(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
+    flat = lists.flatten()
+    if len(sizes) == 1 and sizes[0] and not flat.null_count:
+        # as a rule all are of one length
+        x = np.floor(flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, int(sizes[0])) * scale)
+        good = np.isfinite(x).all(1)
+        return ids[good], list(x[good].astype(np.int64))
+    kept, out = [], []
+    for i, v in zip(ids.tolist(), lists):
+        if not v.values.null_count:
+            x = np.floor(v.values.to_numpy(zero_copy_only=False).astype(np.float64) * scale)
+            if np.isfinite(x).all():
+                kept.append(i)
+                out.append(x.astype(np.int64))
+    return np.array(kept, np.int64), out
 
 
 def vectors(table: DataFrame, id: str, embedding: str, scale: int) -> DataFrame:
@@ -99,40 +111,58 @@ class _Queries:
     def search(self, ids: np.ndarray, p: np.ndarray, norms: np.ndarray) -> None:
         """Look through a bucket, whose rows are longest first."""
         longest = float(norms[0])
-        unit = sorted_by = None
-        for i in range(len(self.ids)):
-            t, n = self.threshold(i), float(self.norm[i])
-            reach = n * longest
-            if t > reach * (1 + _SLACK):
+        t = np.array([self.threshold(i) for i in range(len(self.ids))])
+        reach = self.norm * longest
+        local = np.divide(t, reach, out=np.full(len(t), -1.0), where=reach > 0)
+        wanted = t <= reach * (1 + _SLACK)
+        steep = wanted & (local >= COORDINATES_FROM)
+        self._by_coordinates(np.flatnonzero(steep), local, ids, p, norms)
+        # lengths: norms fall, so the rows that are long enough are a prefix; queries of like prefixes are one product
+        rest = np.flatnonzero(wanted & ~steep)
+        least = np.divide(t[rest], self.norm[rest], out=np.full(len(rest), -np.inf), where=(self.norm[rest] > 0) & (t[rest] > 0))
+        ends = np.searchsorted(-norms, -least * (1 - _SLACK), side="right")
+        order = np.argsort(ends, kind="stable")
+        for low in range(0, len(order), PRODUCT):
+            part = order[low : low + PRODUCT]
+            who, end = rest[part], int(ends[part].max())
+            if not end:
                 continue
-            rows = None
-            local = t / reach if reach > 0 else -1.0
-            if local >= COORDINATES_FROM:
-                if unit is None:
-                    unit = p / np.maximum(norms, 1e-300)[:, None]
-                    sorted_by = {}
-                local = min(1.0, local) * (1 - _SLACK)
-                hits = None
-                for f, x in zip(self.focus[i].tolist(), self.unit[i].tolist()):
-                    if f not in sorted_by:
-                        order = np.argsort(unit[:, f], kind="stable")
-                        sorted_by[f] = order, unit[order, f]
-                    order, values = sorted_by[f]
-                    reach_of = np.sqrt(max(0.0, (1 - local * local) * (1 - x * x)))
-                    low = local * x - reach_of if x > -local else -1.0
-                    high = local * x + reach_of if x < local else 1.0
-                    a, b = np.searchsorted(values, [low - 1e-9, high + 1e-9])
-                    part = order[a:b]
-                    hits = part if hits is None else np.intersect1d(hits, part, assume_unique=True)
-                    if len(hits) < 64:
-                        break
-                rows = hits
-            elif t > 0 and n > 0:
-                # norms fall
-                rows = slice(0, int(np.searchsorted(-norms, -t / n * (1 - _SLACK), side="right")))
-            else:
-                rows = slice(None)
-            self.offer(i, ids[rows], p[rows] @ self.q[i])
+            scores = p[:end] @ self.q[who].T
+            bar = t[who]
+            if end > self.k + 1:
+                # one more than k, as a query's own row may be among them
+                bar = np.maximum(bar, np.partition(scores, end - self.k - 1, axis=0)[end - self.k - 1])
+            rows, columns = np.nonzero(scores >= bar)
+            by = np.argsort(columns, kind="stable")
+            rows, columns = rows[by], columns[by]
+            bounds = np.searchsorted(columns, np.arange(len(who) + 1))
+            for j in np.flatnonzero(np.diff(bounds)).tolist():
+                own = rows[bounds[j] : bounds[j + 1]]
+                self.offer(int(who[j]), ids[own], scores[own, j])
+
+    def _by_coordinates(self, who: np.ndarray, local: np.ndarray, ids: np.ndarray, p: np.ndarray, norms: np.ndarray) -> None:
+        """Rows whose largest coordinates are near enough to the query's are verified."""
+        if not len(who):
+            return
+        unit = p / np.maximum(norms, 1e-300)[:, None]
+        sorted_by: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for i in who.tolist():
+            c = min(1.0, float(local[i])) * (1 - _SLACK)
+            hits = None
+            for f, x in zip(self.focus[i].tolist(), self.unit[i].tolist()):
+                if f not in sorted_by:
+                    order = np.argsort(unit[:, f], kind="stable")
+                    sorted_by[f] = order, unit[order, f]
+                order, values = sorted_by[f]
+                reach = np.sqrt(max(0.0, (1 - c * c) * (1 - x * x)))
+                low = c * x - reach if x > -c else -1.0
+                high = c * x + reach if x < c else 1.0
+                a, b = np.searchsorted(values, [low - 1e-9, high + 1e-9])
+                part = order[a:b]
+                hits = part if hits is None else np.intersect1d(hits, part, assume_unique=True)
+                if len(hits) < 64:
+                    break
+            self.offer(i, ids[hits], p[hits] @ self.q[i])
 
 
 def search(table: DataFrame, queries: DataFrame, k: int = 10, id: str = "vec_id", embedding: str = "embedding", scale: int = 1024, bucket: int = BUCKET, block: int = BLOCK) -> DataFrame:
@@ -143,7 +173,8 @@ def search(table: DataFrame, queries: DataFrame, k: int = 10, id: str = "vec_id"
     candidate; ties go to the smaller id; repeated rows are rows of their own,
     repeated queries one.  Vectors that are null or hold null or non-finite
     components take no part; missing components are 0.  Fewer than ``k``
-    candidates are all returned.
+    candidates are all returned.  Other columns are ignored; an empty table, or
+    no queries, give no rows.
     """
     spark = table.sparkSession
     rows = stored(
@@ -157,7 +188,7 @@ def search(table: DataFrame, queries: DataFrame, k: int = 10, id: str = "vec_id"
     seed_ids = seeds.column("id").to_numpy()
     asked = stored(vectors(queries, id, embedding, scale).dropDuplicates(["id"]), "queries")
     blocks = max(1, -(-asked.count() // block))
-    parts = None
+    path = f"{shared_dir(spark).rstrip('/')}/found-{uuid.uuid4().hex}"
     for at in range(blocks):
         # bounded: about ``block`` queries
         got = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == at).orderBy("id").toArrow()
@@ -198,7 +229,9 @@ def search(table: DataFrame, queries: DataFrame, k: int = 10, id: str = "vec_id"
                     names=["query_id", "id", "score"],
                 )
 
-        found = arrow_map(rows, work, "query_id long, id long, score long")
-        parts = found if parts is None else parts.unionByName(found)
+        # each block's result is written, so that the plan doesn't grow with the queries
+        arrow_map(rows, work, "query_id long, id long, score long").write.mode("append").parquet(path)
+        sent.unpersist()
+    parts = spark.read.schema("query_id long, id long, score long").parquet(path)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
     return parts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id), "score")
