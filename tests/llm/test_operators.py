@@ -423,6 +423,25 @@ def test_topk_equals_brute_force(spark, n, bucket, spread):
     assert {(r.query_id, r.rank, r.vec_id, r.score) for r in got.collect()} == brute_topk(rows, asked, 10)
 
 
+def test_topk_of_repeated_rows_ragged_vectors_and_extra_columns(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i % 40, [float(x) for x in rng.normal(size=3 + i % 4)]) for i in range(60)]
+    table = spark.createDataFrame([(i, v, 1, 2.0) for i, v in rows], "vec_id long, embedding array<float>, query_id int, score double")
+    got = topk.search(table, table.where("vec_id % 10 = 0 AND vec_id >= 20"), k=7, bucket=9, block=2)
+    vectors = [(i, np.floor(np.float32(v).astype(float) * 1024)) for i, v in rows]
+
+    def score(a, b):
+        n = min(len(a), len(b))
+        return int(a[:n] @ b[:n])
+
+    want = set()
+    for i, v in vectors:
+        if i in (20, 30):
+            ranked = sorted((-score(v, w), j) for j, w in vectors if j != i)[:7]
+            want |= {(i, r + 1, j, -s) for r, (s, j) in enumerate(ranked)}
+    assert {(r.query_id, r.rank, r.vec_id, r.score) for r in got.collect()} == want
+
+
 def test_topk_empty(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.search(table, table).count() == 0
