@@ -205,6 +205,12 @@ def snippet(x: Column, most: int = 180) -> Column:
     return F.when(F.length(x) <= most, x).otherwise(F.concat(F.rtrim(F.substring(x, 1, most - 1)), F.lit("…")))
 
 
+def length_bucket(x: Column) -> Column:
+    """The names of lengths up to 40, 120, 300 characters and beyond."""
+    size = F.length(x)
+    return F.when(size < 40, "0-39").when(size < 120, "40-119").when(size < 300, "120-299").otherwise("300+")
+
+
 def token_count(x: Column) -> Column:
     return F.size(non_empty(F.split(x, " ")))
 

@@ -219,10 +219,12 @@ def near_pairs(facts: DataFrame, least: float = NEAR, min_tokens: int = MIN_TOKE
 
     A prefix filter: sets of n tokens with a Jaccard similarity of ``least`` or
     more share one of the first ``n - ceil(least * n) + 1`` tokens in any fixed
-    order, here the alphabet's.  So the join is on (headword, token), not on
-    headwords alone, and common headwords don't meet all with all.
+    order, here the longest first, as long words are rare as a rule.  So the
+    join is on (headword, token), not on headwords alone, its keys are shared by
+    few, and common headwords don't meet all with all.
     """
-    own = facts.where(F.size("tokens") >= min_tokens).select("word", "sense_id", "source", "meaning", "key", "trusted", F.array_sort(F.array_distinct("tokens")).alias("set"))
+    rare_first = F.array_sort(F.transform(F.array_distinct("tokens"), lambda t: F.struct((-F.length(t)).alias("size"), t.alias("token"))))
+    own = facts.where(F.size("tokens") >= min_tokens).select("word", "sense_id", "source", "meaning", "key", "trusted", F.transform(rare_first, lambda x: x["token"]).alias("set"))
     n = F.size("set")
     tokens = own.select("word", "sense_id", "key", n.alias("n"), F.explode(F.slice("set", F.lit(1), (n - F.ceil(n * F.lit(least)) + 1).cast("int"))).alias("token"))
     a, b = tokens.alias("a"), tokens.alias("b")

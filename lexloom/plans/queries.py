@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as T
 from ..functions.unicode_tables import tone_classes
-from ..operators import audit, evaluate, merge, pronunciation, search, senses
+from ..operators import audit, checks, evaluate, merge, pronunciation, search, senses
 from ..sources import readers
 from . import mapping as M
 
@@ -108,8 +108,7 @@ def snippets(s, d):
     f"WITH {M.LINES_SQL} SELECT doc_id, idx, CASE WHEN length(m) < 40 THEN '0-39' WHEN length(m) < 120 THEN '40-119' WHEN length(m) < 300 THEN '120-299' ELSE '300+' END AS v FROM (SELECT *, {M.sql_clean('meaning')} AS m FROM lines)"
 )
 def length_bucket(s, d):
-    size = F.length(T.clean(F.col("meaning")))
-    return M.lines(s, d).select(*LINE, F.when(size < 40, "0-39").when(size < 120, "40-119").when(size < 300, "120-299").otherwise("300+").alias("v"))
+    return M.lines(s, d).select(*LINE, T.length_bucket(T.clean(F.col("meaning"))).alias("v"))
 
 
 _POS = "CASE code " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in T.POS_CODES.items()) + " ELSE 'khác' END"
@@ -414,12 +413,14 @@ def agreement_rate(s, d):
 # --- merges, joins, sets ---------------------------------------------------------------------------
 
 
-@query(f"SELECT p_partkey, CASE WHEN r = 1 THEN slug ELSE slug || '-' || left(sha1(w), 8) END AS id FROM (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY w) AS r FROM (SELECT p_partkey, p_name || ' ' || p_brand || p_size AS w, {M.sql_slug('p_name')} AS slug FROM part))")
+@query(
+    f"WITH w AS (SELECT DISTINCT CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN upper(p_name) ELSE p_name || ' !' END AS word FROM part), s AS (SELECT word, {M.sql_slug('word')} AS slug FROM w) "
+    "SELECT word, CASE WHEN row_number() OVER (PARTITION BY slug ORDER BY word) = 1 THEN slug ELSE slug || '-' || left(sha1(word), 8) END AS id FROM s"
+)
 def slug_collision(s, d):
-    p = M.table(s, d, "part").select("p_partkey", "p_name", F.concat(F.col("p_name"), F.lit(" "), F.col("p_brand"), F.col("p_size").cast("string")).alias("w"))
-    r = F.row_number().over(Window.partitionBy("slug").orderBy("w"))
-    q = p.withColumn("slug", T.slug(F.col("p_name")))
-    return q.select("p_partkey", F.when(r == 1, F.col("slug")).otherwise(F.concat("slug", F.lit("-"), T.short_hash(F.col("w")))).alias("id"))
+    k = F.col("p_partkey") % 3
+    word = F.when(k == 0, F.col("p_name")).when(k == 1, F.upper("p_name")).otherwise(F.concat("p_name", F.lit(" !")))
+    return merge.assign_slugs(M.table(s, d, "part").select(word.alias("word")).distinct()).select("word", "id")
 
 
 @query(
@@ -473,15 +474,16 @@ def projection_semi_join(s, d):
     return e.select("user_id", "event_type").distinct().join(e.where("value > 100").select("user_id", "event_type"), ["user_id", "event_type"], "left_semi")
 
 
-@query("SELECT 'orders without customer' AS name, count(*) AS n FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) UNION ALL SELECT 'lines without order', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) UNION ALL SELECT 'labels without document', count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)")
+@query("SELECT 'orders without customer' AS name, count(*) AS n FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) UNION ALL SELECT 'lines without order', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) UNION ALL SELECT 'labels without document', count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 3 <> 0)")
 def ref_integrity(s, d):
     t = lambda x: M.table(s, d, x)
-
-    def missing(name, a, ka, b, kb):
-        return t(a).join(t(b), F.col(ka) == F.col(kb), "left_anti").agg(F.lit(name).alias("name"), F.count("*").alias("n")).select("name", "n")
-
-    left = t("labels").join(t("documents").select("doc_id"), "doc_id", "left_anti").agg(F.count("*").alias("n")).select(F.lit("labels without document").alias("name"), "n")
-    return missing("orders without customer", "orders", "o_custkey", "customer", "c_custkey").unionByName(missing("lines without order", "lineitem", "l_orderkey", "orders", "o_orderkey")).unionByName(left)
+    checked = [
+        ("orders without customer", checks.missing(t("orders"), "o_custkey", t("customer"), "c_custkey")),
+        ("lines without order", checks.missing(t("lineitem"), "l_orderkey", t("orders"), "o_orderkey")),
+        ("labels without document", checks.missing(t("labels"), "doc_id", t("documents").where("doc_id % 3 <> 0"), "doc_id")),
+    ]
+    counts = [rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, rows in checked]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
 @query("SELECT 'documents' AS layer, count(*) - count(DISTINCT text) AS repeated, count(*) - count(DISTINCT doc_id) AS ids FROM documents")
