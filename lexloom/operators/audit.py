@@ -84,7 +84,7 @@ def source_audit(facts: DataFrame) -> DataFrame:
         F.count_if(F.col("review_status") == "machine-checked").alias("machine_checked"),
         F.count_if(F.col("review_status") == "unreviewed").alias("unreviewed"),
         F.sum(F.size("flags").cast("long")).alias("flags"),
-        F.round(F.avg("confidence"), 4).alias("confidence"),
+        evaluate.mean("confidence").alias("confidence"),
     )
 
 

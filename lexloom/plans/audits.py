@@ -65,7 +65,7 @@ def review_queue(s, d):
 @query(
     f"WITH {_FLAGGED} SELECT source, max(rights) AS rights, count(DISTINCT word) AS headwords, count(*) AS definitions, count(*) FILTER (language = 'vi') AS vi, count(*) FILTER (language = 'en') AS en, "
     "count(*) FILTER (entry_id % 3 = 0) AS with_examples, count(*) FILTER (len(labels) > 0) AS with_labels, count(*) FILTER (confidence < 0.75) AS low_confidence, count(*) FILTER (review_status = 'human-reviewed') AS human_reviewed, "
-    "count(*) FILTER (review_status = 'machine-checked') AS machine_checked, count(*) FILTER (review_status = 'unreviewed') AS unreviewed, sum(len(flags))::BIGINT AS flags, round(avg(confidence), 4) AS confidence FROM queue GROUP BY source"
+    "count(*) FILTER (review_status = 'machine-checked') AS machine_checked, count(*) FILTER (review_status = 'unreviewed') AS unreviewed, sum(len(flags))::BIGINT AS flags, floor(sum(confidence::DECIMAL(18,4))::DOUBLE / count(confidence) * 10000 + 0.5) / 10000 AS confidence FROM queue GROUP BY source"
 )
 def source_audit(s, d):
     return audit.source_audit(_audited(s, d))

@@ -263,10 +263,10 @@ def status_zero_fill(s, d):
     return dim.join(got, "status", "left").na.fill(0, ["clusters", "definitions"])
 
 
-@query(f"WITH {M.CLUSTERS_SQL} SELECT status, NULL AS source, round(avg(confidence), 4) AS conf, count(*) AS n FROM clusters GROUP BY status UNION ALL SELECT NULL, source, round(avg(confidence), 4), count(*) FROM clusters GROUP BY source")
+@query(f"WITH {M.CLUSTERS_SQL} SELECT status, NULL AS source, floor(sum(confidence::DECIMAL(18,4))::DOUBLE / count(confidence) * 10000 + 0.5) / 10000 AS conf, count(*) AS n FROM clusters GROUP BY status UNION ALL SELECT NULL, source, floor(sum(confidence::DECIMAL(18,4))::DOUBLE / count(confidence) * 10000 + 0.5) / 10000, count(*) FROM clusters GROUP BY source")
 def confidence_grouping_sets(s, d):
     c = senses.clusters(M.facts(s, d)).select("status", F.col("canonical.source").alias("source"), F.col("canonical.confidence").alias("conf"))
-    return c.groupingSets([["status"], ["source"]], "status", "source").agg(F.round(F.avg("conf"), 4).alias("conf"), F.count("*").alias("n")).select("status", "source", "conf", "n")
+    return c.groupingSets([["status"], ["source"]], "status", "source").agg(evaluate.mean("conf").alias("conf"), F.count("*").alias("n")).select("status", "source", "conf", "n")
 
 
 @query(
@@ -526,7 +526,7 @@ def locf_placeholder(s, d):
 # --- histograms, audits ----------------------------------------------------------------------------
 
 
-@query(f"WITH {M.FACTS_SQL} SELECT source, count(DISTINCT word) AS headwords, count(*) AS definitions, count(*) FILTER (trusted) AS trusted, count(*) FILTER (hard_risk) AS risky, count(*) FILTER (len(risk_tags) = 0) AS clean, round(avg(confidence), 4) AS confidence, max(length(meaning))::BIGINT AS longest FROM facts GROUP BY source")
+@query(f"WITH {M.FACTS_SQL} SELECT source, count(DISTINCT word) AS headwords, count(*) AS definitions, count(*) FILTER (trusted) AS trusted, count(*) FILTER (hard_risk) AS risky, count(*) FILTER (len(risk_tags) = 0) AS clean, floor(sum(confidence::DECIMAL(18,4))::DOUBLE / count(confidence) * 10000 + 0.5) / 10000 AS confidence, max(length(meaning))::BIGINT AS longest FROM facts GROUP BY source")
 def source_stats(s, d):
     return M.facts(s, d).groupBy("source").agg(
         F.count_distinct("word").alias("headwords"),
@@ -534,7 +534,7 @@ def source_stats(s, d):
         F.count_if("trusted").alias("trusted"),
         F.count_if("hard_risk").alias("risky"),
         F.count_if(F.size("risk_tags") == 0).alias("clean"),
-        F.round(F.avg("confidence"), 4).alias("confidence"),
+        evaluate.mean("confidence").alias("confidence"),
         n(F.max(F.length("meaning"))).alias("longest"),
     )
 
