@@ -36,9 +36,10 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
-def release() -> None:
+def release(collect: bool = True) -> None:
     """Give freed memory back to the system: a driver fits models and then lives on."""
-    gc.collect()
+    if collect:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # only glibc has it
         ctypes.CDLL(None).malloc_trim(0)
@@ -56,22 +57,47 @@ def tidy(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def made(spark: SparkSession) -> list[str]:
+    """The folders that :func:`stored` has made in this session, in order."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_llm_stored"):
+        sc._llm_stored = []
+    return sc._llm_stored
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder, and read again."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    made(spark).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders that :func:`stored` has made, once nothing reads them any more."""
+    for path in list(paths):
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+        made(spark).remove(path)
+
+
 def arrow_map(
     df: DataFrame,
     func: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]],
     schema: str | StructType,
 ) -> DataFrame:
-    """``mapInArrow`` in batches of so few rows that long texts fit a worker's memory."""
+    """``mapInArrow`` in batches of so few rows that long texts fit a worker's memory.
+
+    A worker lives on and serves other stages: what a task has freed goes back to the system.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from func(batches)
+        release(collect=False)
+
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.mapInArrow(func, schema)
+    return df.mapInArrow(run, schema)
 
 
 def not_held_out(doc_id: str = "doc_id") -> Column:

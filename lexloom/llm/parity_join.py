@@ -38,15 +38,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, stored, tidy
+from .common import arrow_map, cut, discard, made, stored, tidy
 from .components import components
 from .tokens import SPACES, Words, groups, mix
 
 #: Documents of a cluster that one side of a task has, and bytes of their sets; and the share of
 #: them that a task has of a larger cluster.
 CHUNK, CHUNK_BYTES, PARTS = 1024, 1 << 24, 4
+#: Documents of a side where all pairs of a cluster's chunks are compared: each set goes to as many tasks as there are chunks.
+PAIRED = 2048
+#: Nodes of large clusters up to which their ids (8 bytes each) are broadcast; more are joined by shuffle.
+BROADCAST = 1 << 20
 #: Keys of a task that are combined at a time before they are dealt out.
-COMBINED = 1 << 20
+COMBINED = 1 << 19
 #: Words of 64 bits of the sketch that verification looks at first.
 SKETCH = 32
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -195,11 +199,12 @@ def _signatures(docs: DataFrame, link: Link) -> DataFrame:
 
 
 def _combined(reps: DataFrame) -> DataFrame:
-    """(key, node, least): the keys of ``reps`` (node, keys), each once for as many rows as fit a buffer.
+    """(key, node): the keys of ``reps`` (node, keys), each once for as many rows as fit a buffer, with its least node.
 
-    Where several nodes of a buffer have a key, the least stands for them: the
-    others are rows with it as ``least``.  So a key that a third of all
-    documents have comes from each task a few times, whatever their number.
+    The other nodes of a buffer that have a key are connected to that least one
+    by a key which those two alone have, once for all the keys that they share.  So a key
+    that a third of all documents have comes from each task a few times,
+    whatever their number.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,15 +212,19 @@ def _combined(reps: DataFrame) -> DataFrame:
         keys: list[np.ndarray] = []
         held = 0
 
-        def out() -> pa.RecordBatch:
+        def out() -> Iterator[pa.RecordBatch]:
             node, key = np.concatenate(nodes), np.concatenate(keys)
             order = np.lexsort((node, key))
             node, key = node[order], key[order]
             new = np.ones(len(key), bool)
             new[1:] = key[1:] != key[:-1]
             least = np.repeat(node[new], np.diff(np.append(np.flatnonzero(new), len(key))))
-            own = new | (node != least)
-            return pa.RecordBatch.from_arrays([pa.array(key[own]), pa.array(node[own]), pa.array(least[own], mask=new[own])], names=["key", "node", "least"])
+            other = node != least
+            pairs = np.unique(np.stack([node[other], least[other]], 1), axis=0)
+            own = mix(pairs[:, 0].astype(np.uint64) * _STEP + mix(pairs[:, 1].astype(np.uint64))).view(np.int64)
+            key, node = np.concatenate([key[new], own, own]), np.concatenate([node[new], pairs[:, 0], pairs[:, 1]])
+            for low in range(0, len(key), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(key[low : low + (1 << 16)]), pa.array(node[low : low + (1 << 16)])], names=["key", "node"])
 
         for batch in batches:
             lists = batch.column(1)
@@ -224,16 +233,16 @@ def _combined(reps: DataFrame) -> DataFrame:
             keys.append(lists.values.to_numpy()[offsets[0] : offsets[-1]])
             held += len(keys[-1])
             if held >= COMBINED:
-                yield out()
+                yield from out()
                 nodes, keys, held = [], [], 0
         if held:
-            yield out()
+            yield from out()
 
-    return arrow_map(reps.select("node", "keys"), work, "key long, node long, least long")
+    return arrow_map(reps.select("node", "keys"), work, "key long, node long")
 
 
 def _edges(reps: DataFrame) -> DataFrame:
-    """(u, v): every document of a key with one that has it too, so that those of a key are connected.
+    """(u, v): every document of a key with the least one of it.
 
     Keys come sorted, so a task holds one document of the key at hand, however
     many share it.
@@ -242,26 +251,21 @@ def _edges(reps: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_key, last_first = None, None
         for batch in batches:
-            joined = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
-            node = batch.column(1).to_numpy()
-            pairs = [np.stack([node[joined], batch.column(2).drop_null().to_numpy()], 1)]
-            key, node = batch.column(0).to_numpy()[~joined], node[~joined]
-            if len(key):
-                new = np.ones(len(key), bool)
-                new[1:] = key[1:] != key[:-1]
-                starts = np.flatnonzero(new)
-                first = node[starts]
-                if key[0] == last_key:
-                    first[0] = last_first
-                least = np.repeat(first, np.diff(np.append(starts, len(key))))
-                last_key, last_first = key[-1], least[-1]
-                pairs.append(np.stack([node, least], 1)[node != least])
-            out = np.unique(np.concatenate(pairs), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["u", "v"])
-
-    # what is joined already goes anywhere
-    to = F.when(F.col("least").isNull(), F.col("key")).otherwise(F.xxhash64("node"))
-    rows = _combined(reps).withColumn("to", to).repartition("to").sortWithinPartitions("key", "node").select("key", "node", "least")
+            key, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            if not len(key):
+                continue
+            new = np.ones(len(key), bool)
+            new[1:] = key[1:] != key[:-1]
+            starts = np.flatnonzero(new)
+            first = node[starts]
+            if key[0] == last_key:
+                first[0] = last_first
+            least = np.repeat(first, np.diff(np.append(starts, len(key))))
+            last_key, last_first = key[-1], least[-1]
+            pairs = np.unique(np.stack([node, least], 1)[node != least], axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
+
+    rows = _combined(reps).repartition("key").sortWithinPartitions("key", "node")
     return arrow_map(rows, work, "u long, v long").distinct()
 
 
@@ -317,27 +321,29 @@ def _forest(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, link: Lin
     return out
 
 
-def _searched(docs: DataFrame, tasks: DataFrame, link: Link) -> DataFrame:
-    """(u, v): a spanning forest of the links in each task.
-
-    ``tasks``: node, cluster, a, b, side; a and b number the task within its cluster, and links
-    are sought between sides, or where all are 0 among all nodes.
-    """
+def _sets(docs: DataFrame, nodes: DataFrame, link: Link) -> DataFrame:
+    """(node, cluster, chunks, tokens): the set of every node (node, cluster, n, chunks), made once and stored."""
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
-    # a node's set is made once, however many tasks have it
-    places = tasks.groupBy("node").agg(F.collect_set(F.struct("cluster", "a", "b", "side")).alias("places"))
 
-    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [x or "" for x in batch.column(2).to_pylist()]
+            texts = [x or "" for x in batch.column(3).to_pylist()]
             for low, high in groups(texts):
                 h, offsets = shingles(texts[low:high], link)
                 sets = [h[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
                 part = batch.slice(low, high - low)
-                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(sets, pa.binary())], names=["node", "places", "tokens"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(sets, pa.binary())], names=["node", "cluster", "chunks", "tokens"])
+
+    rows = texts.join(nodes, "node").select("node", "cluster", "chunks", "text")
+    return stored(arrow_map(rows, work, "node long, cluster long, chunks int, tokens binary"), "sets")
 
-    sets = arrow_map(texts.join(places, "node").select("node", "places", "text"), to_sets, "node long, places array<struct<cluster:long,a:int,b:int,side:int>>, tokens binary")
-    dealt = sets.select("node", F.explode("places").alias("p"), "tokens").select("p.cluster", "p.a", "p.b", "node", "p.side", "tokens")
+
+def _searched(tasks: DataFrame, link: Link) -> DataFrame:
+    """(u, v): a spanning forest of the links in each task.
+
+    ``tasks``: cluster, a, b, node, side, tokens; a and b number the task within its cluster, and links
+    are sought between sides, or where all are 0 among all nodes.
+    """
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, ids, sides, sets, seen = None, [], [], [], set()
@@ -364,66 +370,73 @@ def _searched(docs: DataFrame, tasks: DataFrame, link: Link) -> DataFrame:
         if ids:
             yield done()
 
-    rows = dealt.repartition("cluster", "a", "b").sortWithinPartitions("cluster", "a", "b", "node")
+    rows = tasks.select("cluster", "a", "b", "node", "side", "tokens").repartition("cluster", "a", "b").sortWithinPartitions("cluster", "a", "b", "node")
     return arrow_map(rows, search, "u long, v long")
 
 
-def _sized(nodes: DataFrame) -> DataFrame:
+def _sized(nodes: DataFrame, chunk: int | None = None) -> DataFrame:
     """``nodes`` (node, cluster, n) with the number of ``chunks`` that the cluster needs; clusters of one node are left out."""
-    need = F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") * 8 / CHUNK_BYTES)).cast("int")
+    need = F.greatest(F.ceil(F.count("*") / (chunk or CHUNK)), F.ceil(F.sum("n") * 8 / CHUNK_BYTES)).cast("int")
     sizes = nodes.groupBy("cluster").agg(need.alias("chunks"), F.count("*").alias("_nodes")).where("_nodes > 1").drop("_nodes")
     return nodes.join(sizes, "cluster")
 
 
-def _dealt(nodes: DataFrame, round_: int) -> DataFrame:
+def _dealt(sets: DataFrame, round_: int) -> DataFrame:
     """Tasks that each have one part of a cluster, dealt by a hash that ``round_`` changes."""
     parts = F.when(F.col("chunks") > 1, F.col("chunks") * PARTS).otherwise(1)
     own = F.pmod(F.xxhash64("node", F.lit(round_)), parts).cast("int")
-    return nodes.select("node", "cluster", own.alias("a"), F.lit(-1).alias("b"), F.lit(0).alias("side"))
+    return sets.select("cluster", own.alias("a"), F.lit(-1).alias("b"), "node", F.lit(0).alias("side"), "tokens")
 
 
-def _all_pairs(nodes: DataFrame) -> DataFrame:
+def _all_pairs(sets: DataFrame) -> DataFrame:
     """A task for each pair of chunks of a cluster, and one for each chunk."""
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    rows = nodes.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    return rows.select("node", "cluster", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), (F.col("own") > F.col("other")).cast("int").alias("side"))
+    rows = sets.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return rows.select("cluster", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "node", (F.col("own") > F.col("other")).cast("int").alias("side"), "tokens")
 
 
-def _linked(docs: DataFrame, reps: DataFrame, clusters: DataFrame, known: DataFrame, link: Link) -> DataFrame:
+def _linked(docs: DataFrame, signed: DataFrame, reps: DataFrame, clusters: DataFrame, known: DataFrame, link: Link) -> DataFrame:
     """(node, component) of what is linked within the clusters (node, component), or in ``known`` (u, v).
 
-    ``reps``: node, n, keys of every set.
+    ``signed``: doc_id and keys of every row; ``reps``: node and n of every set.
     """
     nodes = cut(_sized(clusters.select("node", F.col("component").alias("cluster")).join(reps.select("node", "n"), "node")))
-    found = cut(_searched(docs, _dealt(nodes, 0), link).unionByName(known))
+    sets = _sets(docs, nodes, link)
+    tidy(docs.sparkSession)
+    found = cut(_searched(_dealt(sets, 0), link).unionByName(known))
     tidy(docs.sparkSession)
     classed = components(found)
     large = nodes.where("chunks > 1")
     if large.isEmpty():
         return classed
+    # from here on the sets of large clusters alone
+    tokens = sets.where("chunks > 1").select("node", "tokens")
     # of each class one set goes on, dealt anew, as long as a round halves them and they don't all fit a task
-    before = large.count()
+    before = total = large.count()
     for round_ in range(1, 60):
         heads = large.join(classed, "node", "left").where("coalesce(component, node) = node").select("node", "cluster", "n")
         heads = cut(_sized(heads))
         left, chunks = heads.agg(F.count("*"), F.max("chunks")).first()
         if not left or left > before // 2:
             break
-        found = cut(found.unionByName(_searched(docs, _dealt(heads, round_), link)))
+        found = cut(found.unionByName(_searched(_dealt(tokens.join(heads, "node"), round_), link)))
         classed = components(found)
         tidy(docs.sparkSession)
         if chunks == 1:
             break
         before = left
     # keys whose sets aren't all of one class by now
-    own = cut(reps.join(large.select("node"), "node").join(classed, "node", "left").select("node", "keys", F.coalesce("component", "node").alias("class")))
+    ids = large.select("node").distinct()
+    own = signed.select(F.col("doc_id").alias("node"), "keys").join(F.broadcast(ids) if total <= BROADCAST else ids, "node")
+    own = cut(own.join(classed, "node", "left").select("node", "keys", F.coalesce("component", "node").alias("class")))
     keyed = own.select(F.explode("keys").alias("key"), "node", "class")
     undecided = keyed.groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least <> most").select("key")
     rest = cut(keyed.join(undecided, "key").groupBy("node").agg(F.collect_set("key").alias("keys")))
+    tidy(docs.sparkSession)
     if rest.isEmpty():
         return classed
     pairs = components(_edges(rest)).select("node", F.col("component").alias("cluster")).join(reps.select("node", "n"), "node")
-    return components(found.unionByName(_searched(docs, _all_pairs(_sized(pairs)), link)))
+    return components(found.unionByName(_searched(_all_pairs(tokens.join(_sized(pairs, PAIRED), "node")), link)))
 
 
 def classes(docs: DataFrame, link: Link = Link()) -> DataFrame:
@@ -445,7 +458,7 @@ def classes(docs: DataFrame, link: Link = Link()) -> DataFrame:
     of = F.struct("n", "f1", "f2")
     several = named.groupBy("doc_id").agg(F.min(of).alias("a"), F.max(of).alias("b")).where("a <> b").select("doc_id")
     same = named.join(several, "doc_id").join(least, ["n", "f1", "f2"]).select(F.col("node").alias("u"), F.col("doc_id").alias("v"))
-    linked = _linked(docs, reps, clusters, same, link)
+    linked = _linked(docs, signed, reps, clusters, same, link)
     classed = least.join(linked, "node", "left").select(F.col("n"), "f1", "f2", F.coalesce("component", "node").alias("class"))
     return signed.select("doc_id", "n", "f1", "f2").join(classed, ["n", "f1", "f2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("class")).otherwise(F.col("doc_id")).alias("component_id")
@@ -453,11 +466,16 @@ def classes(docs: DataFrame, link: Link = Link()) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, link: Link = Link(words=5, p=80)) -> DataFrame:
-    """One row of each class, that of the least doc_id; columns stay.
+    """One row of each class, that of the least doc_id; columns stay, whatever their names.
 
-    Rows without a doc_id stay.
+    Rows without a doc_id, a text or a word are copies of nothing and stay; of
+    rows that repeat a doc_id one stays.  An empty table gives no rows.
     """
+    first = len(made(docs.sparkSession))
     found = cut(classes(docs, link))
+    # what the search has stored and shuffled isn't needed any more
+    discard(docs.sparkSession, made(docs.sparkSession)[first:])
+    tidy(docs.sparkSession)
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     left = docs.join(gone, "doc_id", "left_anti")
     if found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():

@@ -178,7 +178,7 @@ def small_corpus(spark, sf_dir, most=60):
     return rows, items
 
 
-@pytest.mark.parametrize("most", [10**6, 0])
+@pytest.mark.parametrize("most", [10**6, 5000, 0])
 def test_templates_equal_plain_loops(spark, sf_dir, most):
     rows, items = small_corpus(spark, sf_dir)
     more = "Tom has 12 apples and Ann Smith buys 30 kg of flour from Őrs Vezér for 3.50 euros, so how many apples has Tom after 4 days in Łódź?"

@@ -215,6 +215,8 @@ def test_classes_in_chunks(spark, monkeypatch, chunk, size):
     monkeypatch.setattr(parity_join, "CHUNK", chunk)
     monkeypatch.setattr(parity_join, "CHUNK_BYTES", size)
     monkeypatch.setattr(parity_join, "COMBINED", 50)
+    monkeypatch.setattr(parity_join, "PAIRED", 5 * chunk)
+    monkeypatch.setattr(parity_join, "BROADCAST", chunk)
     rng = random.Random(5)
     rows = []
     for base in ([f"w{i}" for i in range(120)], [f"w{i}" for i in range(80)] + [f"x{i}" for i in range(40)]):
@@ -594,7 +596,7 @@ def test_weights_move_rows_within_their_subtree_only(spark):
 # --- op7 -------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("most", [10**6, 0])
+@pytest.mark.parametrize("most", [10**6, 30, 0])
 def test_templates(spark, most):
     item = "Tom has 12 apples and buys 30 kg of flour from the market near Paris today, so how many apples has Tom?"
     rows = [
