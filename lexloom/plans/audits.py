@@ -226,6 +226,15 @@ def collated_headwords(s, d):
     return layers.numbered(words, [audit.vi("word"), F.col("word")], "place").select("word", F.col("place").cast("int").alias("place"))
 
 
+@query("WITH k AS (SELECT DISTINCT p_type || '/' || CASE WHEN p_size % 3 = 0 THEN lower(p_name) WHEN p_size % 3 = 1 THEN 'Á ' || p_name ELSE p_name END AS id FROM part) SELECT id, row_number() OVER (ORDER BY id COLLATE en, id)::INT AS place FROM k")
+def root_order(s, d):
+    """Ids in the order of no language in particular, numbered; the tie-break is binary."""
+    k = F.col("p_size") % 3
+    name = F.when(k == 0, F.lower("p_name")).when(k == 1, F.concat(F.lit("Á "), "p_name")).otherwise(F.col("p_name"))
+    ids = M.table(s, d, "part").select(F.concat("p_type", F.lit("/"), name).alias("id")).distinct()
+    return layers.numbered(ids, [F.collate("id", "UNICODE"), F.col("id")], "place").select("id", F.col("place").cast("int").alias("place"))
+
+
 @query(f"WITH {M.FACTS_SQL}, h AS (SELECT word, count(DISTINCT source) AS sources, count(*) AS evidence FROM facts GROUP BY word HAVING bool_and(NOT trusted)) SELECT word, sources, evidence FROM h ORDER BY sources DESC, evidence DESC, word COLLATE vi, word LIMIT 5000")
 def missing_definition_priority(s, d):
     h = M.facts(s, d).groupBy("word").agg(F.count_distinct("source").alias("sources"), F.count("*").alias("evidence"), F.bool_and(~F.col("trusted")).alias("none")).where("none").drop("none")
