@@ -246,26 +246,21 @@ def frequent(words: DataFrame, most: int) -> DataFrame:
     words = words.where(F.octet_length("word") <= CACHE_BYTES)
     step = F.when(F.col("n") < 4096, F.col("n")).otherwise(4096 + F.floor(F.log2(F.col("n") / 4096) * 64)).cast("int")
 
-    def fitting(places: DataFrame, room: int) -> tuple[list[int], int | None]:
-        """Places in order as long as they fit, and the first that doesn't; places are a few thousand."""
-        taken, last = [], None
+    def fitting(places: DataFrame, room: int) -> tuple[int | None, int | None, int]:
+        """The last place that fits when they are taken in order, the first that doesn't, and the room that is left; places are a few thousand."""
+        fits = None
         for at, count in places.collect():
-            room -= count
-            if room < 0:
-                last = at
-                break
-            taken.append(at)
-        return taken, last
+            if count > room:
+                return fits, at, room
+            fits, room = at, room - count
+        return fits, None, room
 
-    steps = words.groupBy(step.alias("at")).count().orderBy(F.desc("at"))
-    taken, last = fitting(steps, most)
-    if last is None:
+    _, split, room = fitting(words.groupBy(step.alias("at")).count().orderBy(F.desc("at")), most)
+    if split is None:
         return words
-    whole = step > last
-    room = most - words.where(whole).count() if taken else most
     place = F.pmod(F.xxhash64("word"), F.lit(4096)).cast("int")
-    part, _ = fitting(words.where(step == last).groupBy(place.alias("at")).count().orderBy("at"), room)
-    return words.where(whole | (step == last) & (place <= (max(part) if part else -1)))
+    fits, _, _ = fitting(words.where(step == split).groupBy(place.alias("at")).count().orderBy("at"), room)
+    return words.where((step > split) | (step == split) & (place <= (-1 if fits is None else fits)))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: str = "text", cache: int = CACHE, digests: bool = False) -> DataFrame:
