@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lexloom.operators import checks, evaluate, search, senses
+from lexloom.operators import audit, checks, evaluate, search, senses
 from lexloom.plans import mapping
 
 COLUMNS = "word string, meaning string, source string, entry_id long, definition_index int, record_hash string, language string, review_status string, confidence double, labels array<string>, part_of_speech array<string>, rights string, quality string"
@@ -65,6 +65,26 @@ def test_near_pairs(spark):
     assert len(got) == 1 and got[0].score >= 0.82 and {got[0].left_source, got[0].right_source} == {"a", "b"}
 
 
+def test_copies_are_one_key_in_the_search_for_near_pairs(spark):
+    """Forty equal definitions and two others alike: three pairs of keys, and a pair of definitions for each copy."""
+    a, b = "một hai ba bốn năm sáu bảy tám chín mười", "một hai ba bốn năm sáu bảy tám chín"
+    rows = [definition(a, f"s{i % 3}") for i in range(40)] + [definition(b, "s1"), definition("hai một ba bốn năm sáu bảy tám chín mười", "s2"), definition("chín " * 9, "s2")]
+    facts = senses.definition_facts(spark.createDataFrame([r[:3] + (k,) + r[4:] for k, r in enumerate(rows)], COLUMNS))
+    keys = senses.near_keys(facts).collect()
+    assert sorted(round(r.raw, 4) for r in keys) == [0.8889, 0.8889, 1.0]
+    got = senses.near_pairs(facts).collect()
+    # the copies with each of two others, and those with each other
+    assert len(got) == 40 + 40 + 1 and all(r.left_id < r.right_id for r in got)
+    assert len({(r.left_id, r.right_id) for r in got}) == len(got)
+
+
+def test_exact_pairs_are_the_first_of_two_sources(spark):
+    rows = [definition(TEXT, s) for s in "bbac"] + [definition("rất tốt", "a"), definition("rất tốt", "a")]
+    facts = senses.definition_facts(spark.createDataFrame([r[:3] + (k,) + r[4:] for k, r in enumerate(rows)], COLUMNS))
+    got = audit.exact_pairs(facts).collect()
+    assert [(r.n, r.left.ord.entry_id, r.right.ord.entry_id) for r in got] == [(4, 0, 2)]
+
+
 def test_every_definition_is_in_one_cluster(spark, sf_dir):
     facts = mapping.facts(spark, sf_dir)
     c = senses.clusters(facts)
