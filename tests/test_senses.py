@@ -85,6 +85,17 @@ def test_exact_pairs_are_the_first_of_two_sources(spark):
     assert [(r.n, r.left.ord.entry_id, r.right.ord.entry_id) for r in got] == [(4, 0, 2)]
 
 
+def test_distant_pairs_of_the_first_headwords_only(spark):
+    """Whether the first headwords have enough pairs or more are needed, the first pairs are those of all."""
+    texts = ["một hai ba bốn năm sáu", "đồ vật dùng hàng ngày", "cây cao bóng mát quanh"]
+    rows = [definition(t, f"s{i}", word=f"w{w}") for w in range(20) for i, t in enumerate(texts)]
+    facts = senses.definition_facts(spark.createDataFrame([r[:3] + (k,) + r[4:] for k, r in enumerate(rows)], COLUMNS))
+    of = lambda most, words: [(r.word, r.left_id, r.right_id) for r in audit.distant_pairs(facts, most, words).collect()]
+    everything = of(1000, 1000)
+    assert len(everything) == 60
+    assert sorted(of(5, 1)) == everything[:5] and sorted(of(30, 1)) == everything[:30] and sorted(of(1000, 1)) == everything
+
+
 def test_every_definition_is_in_one_cluster(spark, sf_dir):
     facts = mapping.facts(spark, sf_dir)
     c = senses.clusters(facts)
