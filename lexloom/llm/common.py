@@ -52,8 +52,22 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def tidy(spark: SparkSession) -> None:
-    """Let go of what earlier rounds have shuffled and checkpointed: Spark deletes it when the driver's objects are gone."""
+    """Let go of what earlier rounds have shuffled and checkpointed: Spark deletes it when the driver's objects are gone.
+
+    The JVM holds an object until Python says that it is dropped, which a thread of py4j does up to a second
+    later: what waits for it is said here, else this round's collection of garbage would find it still in use.
+    """
     gc.collect()
+    waiting = getattr(spark.sparkContext._gateway._gateway_client, "finalizer_deque", None)
+    while waiting:
+        try:
+            item = waiting.pop()
+        except IndexError:  # the thread was first
+            break
+        if not isinstance(item, tuple):  # the mark of its end
+            waiting.append(item)
+            break
+        item[0].garbage_collect_object(item[1], False)
     spark.sparkContext._jvm.System.gc()
 
 

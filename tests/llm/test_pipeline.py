@@ -26,3 +26,16 @@ def test_stages_and_run(spark, sf_dir):
     out = {r.doc_id: r for r in corpus_pipeline.run(spark, sf_dir).collect()}
     assert set(out) == set(texts)
     assert all(out[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest() for i, t in texts.items())
+
+
+def test_tidy_lets_go_of_what_python_has_dropped(spark):
+    """What no name holds any more is gone when tidy() returns, and so what Spark keeps for it; py4j alone takes up to a second."""
+    from lexloom.llm.common import tidy
+
+    jvm = spark.sparkContext._jvm
+    for _ in range(4):
+        held = jvm.java.util.ArrayList()
+        ref = jvm.java.lang.ref.WeakReference(held)
+        del held
+        tidy(spark)
+        assert ref.get() is None
