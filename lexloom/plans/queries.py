@@ -371,11 +371,12 @@ def stratified_top50(s, d):
     "SELECT dimension, bucket, cluster_id FROM (SELECT *, row_number() OVER (PARTITION BY dimension, bucket ORDER BY sha256(dimension || ':' || bucket || ':' || cluster_id), cluster_id) AS r FROM x) WHERE r <= 50"
 )
 def stratified_dimensions(s, d):
-    size = F.length("canonical.meaning")
+    size = F.col("canonical.size")
     bucket = F.when(size < 40, "short-under-40").when(size < 120, "medium-40-119").when(size < 300, "long-120-299").otherwise("very-long-300-plus")
     names = ["by-status", "by-source", "by-confidence-tier", "by-length"]
     of = [F.col("status"), F.col("canonical.source"), F.col("tier"), bucket]
-    c = senses.clusters(M.facts(s, d)).select("cluster_id", *[x.alias(n) for n, x in zip(names, of)])
+    _, members = M.members(s, d)
+    c = senses.clusters(members).select("cluster_id", *[x.alias(n) for n, x in zip(names, of)])
     rows = c.unpivot("cluster_id", names, "dimension", "bucket")
     return evaluate.top_by_hash(rows, ["dimension", "bucket"], "cluster_id", 50).select("dimension", "bucket", "cluster_id")
 

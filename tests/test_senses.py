@@ -140,3 +140,31 @@ def test_search_tiers(spark):
     assert set(got[:2]) == {(1, 210), (2, 210)} and got[2] == (3, 200) and dict(got)[4] == 140 and dict(got)[5] == 130 and dict(got)[6] == 120 and 7 not in dict(got)
     assert [r.i for r in shards.where("shard = 'other'").collect()] == [8]
     assert search.search(shards, "ba", mask=search.HAN).isEmpty()
+
+
+def test_clusters_of_brief_rows_are_those_of_whole_facts(spark):
+    """No text of a definition is dealt: clusters come the same of hashes, lengths and marks."""
+    rows = [definition(TEXT, "a"), definition(TEXT, "b", labels=NAME), definition(TEXT, "b"), definition("rất tốt", "a"), definition("rất tốt", "a"), definition("!", "a"), definition("!", "b"), definition(TEXT, "a", word="khác")]
+    facts = senses.definition_facts(spark.createDataFrame([r[:3] + (k,) + r[4:] for k, r in enumerate(rows)], COLUMNS))
+    members = senses.clustered(senses.brief(facts))
+    assert not {"word", "meaning", "key", "tokens", "record_hash", "risk_tags"} & set(members.columns)
+    of = lambda c: sorted(c.select("cluster_id", "cluster_type", "status", "member_count", "source_count", "canonical.sense_id", "selection_confidence").collect())
+    got = of(senses.clusters(members))
+    assert got == of(senses.clusters(facts)) and sorted(r.member_count for r in got) == [1, 1, 1, 1, 1, 3]
+    plan = senses.clusters(members).select("cluster_id", "status")._jdf.queryExecution().optimizedPlan().toString()
+    # what nobody reads isn't dealt, and no distinct count makes rows of its own
+    assert "Expand" not in plan and "runner_up" not in plan
+
+
+def test_same_rows_counts_repeats(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None)], "a int, b string")
+    assert checks.same_rows(a, a.orderBy("a", ascending=False))
+    assert not checks.same_rows(a, a.distinct()) and not checks.same_rows(a.distinct(), a)
+    plan = []
+    run = type(a).isEmpty
+    type(a).isEmpty = lambda self: plan.append(self) or run(self)
+    try:
+        checks.same_rows(a, a)
+    finally:
+        type(a).isEmpty = run
+    assert len(plan) == 1  # one pass for both directions
