@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -145,14 +146,14 @@ def gold_gate(s, d):
 )
 def count_reconciliation(s, d):
     """Figures that a report claims against those that its rows give; one is changed, one has no rows."""
-    f = M.facts(s, d)
-    c = senses.clusters(f).select("status", "member_count")
-    counted = c.groupBy(F.col("status").alias("name")).agg(F.count("*").alias("n"))
+    rows, members = M.members(s, d)
+    c = senses.clusters(members).groupBy("status").agg(F.count("*").alias("n"), F.sum("member_count").alias("member_count")).persist()  # a row for each status
+    counted = c.select(F.col("status").alias("name"), "n")
     claimed = counted.withColumn("n", F.col("n") + F.when(F.col("name") == "needs_review", 1).otherwise(0))
-    total = f.agg(F.count("*").alias("n")).select(F.lit("definitions").alias("name"), "n")
+    total = rows.agg(F.count("*").alias("n")).select(F.lit("definitions").alias("name"), "n")
     lost = total.select(F.lit("lost").alias("name"), F.lit(7).cast("long").alias("n"))
-    members = c.agg(F.sum("member_count").alias("n")).select(F.lit("definitions").alias("name"), "n")
-    return checks.reconcile(claimed.unionByName(total).unionByName(lost), counted.unionByName(members))
+    kept = c.agg(F.sum("member_count").alias("n")).select(F.lit("definitions").alias("name"), "n")
+    return checks.reconcile(claimed.unionByName(total).unionByName(lost), counted.unionByName(kept))
 
 
 _BROKEN = f"""cl AS (SELECT cluster_id, cluster_type, CASE WHEN member_count = 2 AND has_vi THEN 'reference_non_vi' WHEN word LIKE 'en:a%' THEN 'auto_accepted' ELSE status END AS status, {_TIER} AS tier, has_vi, CASE WHEN word LIKE 'en:b%' THEN 'none' ELSE sense_id END AS sense_id FROM clusters),
@@ -166,11 +167,11 @@ cl2 AS (SELECT * FROM cl UNION ALL SELECT * FROM cl WHERE cluster_type = 'exact'
 )
 def cluster_invariants(s, d):
     """Clusters of which some are broken on purpose."""
-    f = M.facts(s, d)
-    c = senses.clusters(f).select("cluster_id", "cluster_type", "status", "tier", "has_vi", F.col("canonical.sense_id").alias("sense_id"), "member_count", "word")
+    _, members = M.members(s, d, "word")
+    c = senses.clusters(members).select("cluster_id", "cluster_type", "status", "tier", "has_vi", F.col("canonical.sense_id").alias("sense_id"), "member_count", "word")
     c = c.withColumn("status", F.when((F.col("member_count") == 2) & F.col("has_vi"), "reference_non_vi").when(F.startswith("word", F.lit("en:a")), "auto_accepted").otherwise(F.col("status")))
-    c = c.withColumn("sense_id", F.when(F.startswith("word", F.lit("en:b")), "none").otherwise(F.col("sense_id"))).drop("member_count", "word")
-    return checks.cluster_invariants(c.unionByName(c.where("cluster_type = 'exact'")), senses.clustered(f).select("cluster_id", "sense_id"))
+    c = c.withColumn("sense_id", F.when(F.startswith("word", F.lit("en:b")), "none").otherwise(F.col("sense_id"))).drop("member_count", "word").persist(StorageLevel.MEMORY_AND_DISK)
+    return checks.cluster_invariants(c.unionByName(c.where("cluster_type = 'exact'")), members.select("cluster_id", "sense_id"))
 
 
 @query(
@@ -180,9 +181,10 @@ def cluster_invariants(s, d):
     f"UNION ALL SELECT 'duplicate definition', (SELECT count(*) FROM (SELECT 1 FROM x GROUP BY sense_id HAVING count(*) > 1)) UNION ALL SELECT 'member without a risk', (SELECT count(*) FROM x WHERE scope = 'member' AND NOT list_has_any(risk_tags, {M._ENTITY}))"
 )
 def entity_invariants(s, d):
-    f = M.facts(s, d)
-    e = senses.entity_layer(f).select("sense_id", "cluster_id", "scope", F.when(F.col("source") == "src1", "other").otherwise(F.col("status")).alias("status"), F.when(F.col("source") == "src2", F.array().cast("array<string>")).otherwise(F.col("risk_tags")).alias("risk_tags"))
-    known = senses.clusters(f).where(~F.startswith("word", F.lit("fr:"))).select("cluster_id", "status")
+    risks = F.filter("risk_tags", lambda t: t.isin(*senses.ENTITY_RISKS))  # others aren't asked for
+    _, members = M.members(s, d, "word", risks.alias("risk_tags"))
+    e = senses.entity_layer(members).select("sense_id", "cluster_id", "scope", F.when(F.col("source") == "src1", "other").otherwise(F.col("status")).alias("status"), F.when(F.col("source") == "src2", F.array().cast("array<string>")).otherwise(F.col("risk_tags")).alias("risk_tags")).persist(StorageLevel.MEMORY_AND_DISK)
+    known = senses.clusters(members).where(~F.startswith("word", F.lit("fr:"))).select("cluster_id", "status")
     return checks.entity_invariants(e, known, senses.ENTITY_RISKS)
 
 
@@ -281,13 +283,12 @@ def source_contributions(s, d):
 @query(f"WITH {M.CLUSTERS_SQL}, rest AS (SELECT * FROM facts WHERE source <> 'src3') SELECT (SELECT count(*) FROM facts WHERE source = 'src3') AS removed, 0::BIGINT AS left_over, (SELECT count(*) FROM (SELECT 1 FROM rest GROUP BY word, key HAVING count(*) > 1 AND count(DISTINCT source) > 1)) AS clusters, true AS restored")
 def source_removal(s, d):
     """A source is disabled, the build has nothing of it, and with the source again it is as it was."""
-    f = M.facts(s, d)
-    rest = f.where("source <> 'src3'")
-    build = lambda rows: senses.clusters(rows).select("cluster_id", "status", "member_count", "source_count")
-    again = rest.unionByName(f.where("source = 'src3'"))
-    restored = checks.same_rows(build(f), build(again))
-    exact = senses.clusters(rest).agg(F.count_if(F.col("cluster_type") == "exact").alias("clusters"), F.count_if(F.col("canonical.source") == "src3").alias("left_over"))
-    return f.agg(F.count_if(F.col("source") == "src3").alias("removed")).crossJoin(exact).select("removed", "left_over", "clusters", F.lit(restored).alias("restored"))
+    rows, members = M.members(s, d)
+    rest, own = rows.where("source <> 'src3'"), rows.where("source = 'src3'")
+    build = lambda x: senses.clusters(x).select("cluster_id", "status", "member_count", "source_count")
+    restored = checks.same_rows(build(members), build(senses.clustered(rest.unionByName(own))))
+    exact = senses.clusters(senses.clustered(rest)).agg(F.count_if(F.col("cluster_type") == "exact").alias("clusters"), F.count_if(F.col("canonical.source") == "src3").alias("left_over"))
+    return own.agg(F.count("*").alias("removed")).crossJoin(exact).select("removed", "left_over", "clusters", F.lit(restored).alias("restored"))
 
 
 @query(
