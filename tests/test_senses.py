@@ -80,6 +80,23 @@ def test_copies_are_one_key_in_the_search_for_near_pairs(spark):
     assert len({(r.left_id, r.right_id) for r in got}) == len(got)
 
 
+def test_only_entries_of_near_pairs_are_made_again(spark):
+    """Members of pairs are made of the entries that have one, not of all: before, of all, once for each use."""
+    near = ["một loài cây thân gỗ mọc trong rừng già nhiệt đới", "một loài cây thân gỗ mọc trong rừng già nhiệt đới xanh"]
+    texts = near + [" ".join(f"xa{i}b{j}" for j in range(6)) for i in range(10)]
+    rows = [definition(t, f"s{i}") for i, t in enumerate(texts)]
+    facts = senses.definition_facts(spark.createDataFrame([r[:3] + (k,) + r[4:] for k, r in enumerate(rows)], COLUMNS))
+    asked = []
+
+    def again(buckets):
+        asked.append(buckets.count())
+        return facts.withColumn("bucket", senses.entry_bucket(F.xxhash64("entry_id"))).join(buckets, "bucket", "left_semi").drop("bucket")
+
+    got = sorted((r.left_id, r.right_id, r.score) for r in senses.near_pairs(facts, again=again).collect())
+    everything = sorted((r.left_id, r.right_id, r.score) for r in senses.near_pairs(facts).collect())
+    assert got == everything and len(got) == 1 and asked == [2]
+
+
 def test_exact_pairs_are_the_first_of_two_sources(spark):
     rows = [definition(TEXT, s) for s in "bbac"] + [definition("rất tốt", "a"), definition("rất tốt", "a")]
     facts = senses.definition_facts(spark.createDataFrame([r[:3] + (k,) + r[4:] for k, r in enumerate(rows)], COLUMNS))
