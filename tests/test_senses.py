@@ -115,6 +115,18 @@ def test_distant_pairs_of_the_first_headwords_only(spark):
     assert sorted(of(5, 1)) == everything[:5] and sorted(of(30, 1)) == everything[:30] and sorted(of(1000, 1)) == everything
 
 
+def test_least_alike_are_of_all_pairs_not_of_the_first(spark):
+    """The least score is that of the last headword, which no number of first pairs holds; bounds leave out no pair."""
+    near, far = ["w%d một hai ba bốn năm sáu", "w%d một đồ vật dùng hàng ngày"], ["cây cao bóng mát quanh", "máy bay đường dài"]
+    texts = lambda w: [t % w for t in near] if w < 19 else far
+    rows = [definition(t, f"s{i}", word=f"w{w:02d}") for w in range(20) for i, t in enumerate(texts(w))]
+    facts = senses.definition_facts(spark.createDataFrame([r[:3] + (k,) + r[4:] for k, r in enumerate(rows)], COLUMNS))
+    of = lambda most, words: [(r.score, r.word, r.left_id, r.right_id) for r in audit.least_alike(facts, most, words).collect()]
+    everything = of(1000, 1000)
+    assert len(everything) == 20 and everything[0][:2] == (0.0, "w19") and everything == sorted(everything)
+    assert sorted(of(1, 1)) == everything[:1] and sorted(of(3, 1)) == everything[:3] and sorted(of(1000, 1)) == everything
+
+
 def test_every_definition_is_in_one_cluster(spark, sf_dir):
     facts = mapping.facts(spark, sf_dir)
     c = senses.clusters(facts)
